@@ -1,0 +1,5 @@
+"""No streams: every job here is a triggered batch.
+
+``custvalue.operators.serve.entities`` is row-wise, so it also accepts a
+streaming DataFrame of prediction lines.
+"""
