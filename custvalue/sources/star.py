@@ -27,7 +27,9 @@ def transactions_from_star(
         "lineitem",
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
     )
-    orders = table("orders", "o_orderkey", "o_custkey", "o_orderdate")
+    orders = table("orders", "o_orderkey", "o_custkey", "o_orderdate").withColumn(
+        "o_datetext", F.date_format("o_orderdate", "MM/dd/yy HH:mm")
+    )
     if "Country" in columns:
         homes = table("customer", "c_custkey", "c_nationkey").join(
             table("nation", "n_nationkey", "n_name"),
@@ -50,7 +52,7 @@ def transactions_from_star(
         "Quantity": F.when(is_return, -F.col("l_quantity"))
         .otherwise(F.col("l_quantity"))
         .cast("bigint"),
-        "InvoiceDate": F.date_format("o_orderdate", "MM/dd/yy HH:mm"),
+        "InvoiceDate": F.col("o_datetext"),
         "UnitPrice": round_half_away(F.col("l_extendedprice") / F.col("l_quantity") / 100.0, 2),
         "CustomerID": F.col("o_custkey").cast("string"),
         "Country": F.col("n_name"),
