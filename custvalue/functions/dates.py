@@ -25,8 +25,10 @@ def parse_day(text: Column, strict: bool = True) -> Column:
 
 def parse_moment(text: Column, strict: bool = True) -> Column:
     """Timestamp without zone of ``MM/dd/yy HH:mm`` text, same century rule."""
-    reader = F.to_timestamp if strict else F.try_to_timestamp
-    fmt = "M/d/yy H:mm"
-    moment = reader(text, fmt if strict else F.lit(fmt)).cast("timestamp_ntz")
+    fmt = F.lit("M/d/yy H:mm")
+    if strict:
+        moment = F.to_timestamp_ntz(text, fmt)
+    else:
+        moment = F.try_to_timestamp(text, fmt).cast("timestamp_ntz")
     century = F.make_ym_interval(F.lit(100))
     return F.when(F.year(moment) >= FIRST_YEAR_OF_LAST_CENTURY, moment - century).otherwise(moment)
