@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custvalue.functions.hashing import hash_bucket
+from custvalue.functions import hashing
 from custvalue.functions.numeric import round_half_away
 from custvalue.functions.scratch import scratch_path, settle
 from custvalue.operators import (
@@ -280,7 +280,7 @@ def features_clipped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def hash_bucket_of_key(spark: SparkSession, folder: str) -> DataFrame:
+def hash_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return split.with_bucket(_features(spark, folder).select("customer_id"), PARAMS)
 
 
@@ -493,7 +493,7 @@ def feat_crossed(spark: SparkSession, folder: str) -> DataFrame:
 def feat_cross_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Slot of each cross in its dense form."""
     width = featurize.cross_dimension(CROSS)
-    slot = hash_bucket(F.col("crossed"), width)
+    slot = hashing.hash_bucket(F.col("crossed"), width)
     return feat_crossed(spark, folder).select(
         "customer_id", slot.alias("slot"), F.lit(width).cast("bigint").alias("width")
     )

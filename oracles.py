@@ -15,6 +15,11 @@ def rnd(x: str, digits: int = 2) -> str:
     return f"(sign({x})*floor(abs({x})*{scale}.0+0.5)/{scale}.0)"
 
 
+def text_hash(x: str) -> str:
+    """The first 15 hex digits of the md5 of a text, as a number."""
+    return f"cast('0x' || substr(md5({x}), 1, 15) AS bigint)"
+
+
 CTES = {
     "src": f"""
 SELECT cast(l_orderkey AS varchar) AS "InvoiceNo",
@@ -91,12 +96,12 @@ SELECT tf.customer_id, monetary_dnn, monetary_btyd,
        target_monetary
 FROM tf JOIN tt ON tf.customer_id = tt.customer_id
 WHERE monetary_dnn > 0 AND monetary_dnn <= 25000 AND monetary_btyd > 0""",
-    "labelled": """
+    "labelled": f"""
 SELECT *, CASE WHEN bucket <= 70000 THEN 'train'
                WHEN bucket > 70000 AND bucket < 85000 THEN 'eval'
                WHEN bucket > 85000 AND bucket < 100000 THEN 'test'
                ELSE 'none' END AS split
-FROM (SELECT *, @hash(customer_id) % 100000 AS bucket FROM feats)""",
+FROM (SELECT *, {text_hash('customer_id')} % 100000 AS bucket FROM feats)""",
     "days": """
 SELECT date_diff('day', min(order_date), DATE '2000-06-30') AS feature_days,
        date_diff('day', DATE '2000-06-30', DATE '2001-08-01') AS target_days FROM cleaned""",
@@ -133,10 +138,10 @@ SELECT customer_id, has_returned, frequency_dnn, recency,
        CASE WHEN recency < 250 THEN 0 WHEN recency < 500 THEN 1 WHEN recency < 1000 THEN 2
             WHEN recency < 1500 THEN 3 ELSE 4 END AS recency_bin
 FROM feats""",
-    "crosses": """
+    "crosses": f"""
 SELECT customer_id,
        CASE WHEN frequency_dnn >= 0 AND frequency_dnn < 12 THEN
-         @hash(recency_bin || '_X_' || frequency_dnn || '_X_' || has_returned) % 120
+         {text_hash("recency_bin || '_X_' || frequency_dnn || '_X_' || has_returned")} % 120
        END AS crossed
 FROM binned""",
 }
@@ -161,13 +166,7 @@ def _needed(body: str) -> list[str]:
 def statement(body: str, freq: str = "600", money: str = "100000.0") -> str:
     head = ",\n".join(f"{name} AS ({CTES[name]})" for name in _needed(body))
     text = f"WITH {head}\n{body}" if head else body
-    text = text.replace("@freq", freq).replace("@money", money)
-    # Hash of a text: the first 15 hex digits of its md5.
-    return re.sub(
-        r"@hash(\((?:[^()]|\([^()]*\))*\))",
-        r"cast('0x' || substr(md5\1, 1, 15) AS bigint)",
-        text,
-    )
+    return text.replace("@freq", freq).replace("@money", money)
 
 
 FEATURE_COLUMNS = (
@@ -280,7 +279,7 @@ WITH_BINS AS (SELECT -1000.0 + floor((monetary+1000.0)/50)*50.0 + 25 AS x, count
 rule AS (SELECT sum(n) AS total, sqrt((sum(x*x*n)/sum(n) - pow(sum(x*n)/sum(n), 2))
     * sum(n)/(sum(n)-1)) * pow(sum(n), -0.2) AS h FROM with_bins)
 SELECT point, {rnd('(d*1000000.0)', 6)} AS density FROM (
-  SELECT -1000.0 + i*500.0 AS point,
+  SELECT -1000.0::DOUBLE + i*500.0 AS point,
          sum(n*exp(-0.5*pow((-1000.0 + i*500.0 - x)/h, 2))/sqrt(2*pi())/(total*h)) AS d
   FROM with_bins, rule, (SELECT unnest(range(33)) AS i) GROUP BY 1)"""
 
@@ -292,6 +291,10 @@ def density() -> str:
     return f"{head},{DENSITY.replace('WITH_BINS', 'with_bins')}"
 
 
+SAMPLE_TEXT = (
+    '"InvoiceNo" || "Quantity" || "InvoiceDate" || ("UnitPrice"::DECIMAL(18,4)) || "CustomerID"'
+)
+
 BODIES = {
     "src_transactions": "SELECT * FROM src",
     "line_value": """SELECT "InvoiceNo" AS invoice_no, "StockCode" AS stock_code,
@@ -319,7 +322,7 @@ BODIES = {
     "features_rfm": "SELECT * FROM tf",
     "features_n_target": "SELECT * FROM feats",
     "export_roundtrip": "SELECT * FROM feats",
-    "hash_bucket_of_key": "SELECT customer_id, bucket FROM labelled",
+    "hash_bucket": "SELECT customer_id, bucket FROM labelled",
     "split_train": f"SELECT {FEATURE_COLUMNS} FROM labelled WHERE split = 'train'",
     "split_eval": f"SELECT {FEATURE_COLUMNS} FROM labelled WHERE split = 'eval'",
     "split_test": f"SELECT {FEATURE_COLUMNS} FROM labelled WHERE split = 'test'",
@@ -352,7 +355,7 @@ BODIES = {
        SELECT CASE WHEN b <= 70000 THEN 'train' WHEN b < 85000 THEN 'eval'
                    WHEN b > 85000 THEN 'test' ELSE 'none' END AS split, count(*) AS n,
               sqrt(avg(pow(predicted_monetary-target_monetary, 2))) AS e
-       FROM (SELECT *, @hash(customer_id) % 100000 AS b FROM base) GROUP BY 1)""",
+       FROM (SELECT *, {text_hash('customer_id')} % 100000 AS b FROM base) GROUP BY 1)""",
     "evaluation_report": f"""SELECT n, {rnd('rm')} AS rmse, {rnd('ms')} AS mse, {rnd('ma')} AS mae,
        {rnd('rr', 6)} AS r2 FROM (SELECT count(*) AS n,
          sqrt(avg(pow(predicted_monetary-target_monetary, 2))) AS rm,
@@ -361,10 +364,7 @@ BODIES = {
          1 - sum(pow(predicted_monetary-target_monetary, 2))
              / (count(*)*var_pop(target_monetary)) AS rr FROM base)""",
     "explore_day_number": "SELECT * FROM numbered",
-    "explore_sample": """SELECT * FROM numbered WHERE @hash(concat_keys) % 50 = 1""".replace(
-        "concat_keys",
-        '"InvoiceNo" || "Quantity" || "InvoiceDate" || ("UnitPrice"::DECIMAL(18,4)) || "CustomerID"',
-    ),
+    "explore_sample": f"SELECT * FROM numbered WHERE {text_hash(SAMPLE_TEXT)} % 50 = 1",
     "explore_threshold_date": "SELECT min(moment) + INTERVAL 250 DAY AS threshold_moment FROM moments",
     "explore_threshold_share": f"""SELECT {rnd('s', 6)} AS share_before FROM (
        SELECT avg(CASE WHEN day_number < 250 THEN 1.0 ELSE 0.0 END) AS s FROM numbered)""",
@@ -394,7 +394,7 @@ BODIES = {
     "feat_identity": """SELECT customer_id, CASE WHEN frequency_dnn BETWEEN 0 AND 9
        THEN frequency_dnn END AS frequency_index FROM feats""",
     "feat_crossed": "SELECT customer_id, crossed FROM crosses",
-    "feat_cross_dim": """SELECT customer_id, @hash(crossed::VARCHAR) % 3 AS slot,
+    "feat_cross_dim": f"""SELECT customer_id, {text_hash('crossed::VARCHAR')} % 3 AS slot,
        3::BIGINT AS width FROM crosses""",
     "regression_line": f"""SELECT {rnd('a', 6)} AS slope, {rnd('b', 6)} AS intercept FROM (
        SELECT regr_slope(target_monetary, monetary_dnn) AS a,

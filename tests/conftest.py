@@ -4,6 +4,7 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -21,3 +22,19 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def params():
+    from custvalue import ClvParams
+
+    return ClvParams(threshold_date="2000-06-30", predict_end="2001-08-01", max_monetary=25000.0)
+
+
+@pytest.fixture(scope="session")
+def feature_rows(spark):
+    from custvalue.plans import catalog
+
+    rows = catalog.features_n_target(spark, "/root/testdata/sf0.01").cache()
+    yield rows
+    rows.unpersist()
