@@ -137,6 +137,16 @@ def describe(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
     )
 
 
+def describe_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """``describe`` of several columns, one row each; ``digits`` gives their decimals."""
+    source = settle(df.select(*digits))
+    rows = [
+        describe(source, name, places).select(F.lit(name).alias("column"), "*")
+        for name, places in digits.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 def limited(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows whose value lies within the limits of a plot, both ends included."""
     return df.where(F.col(column).between(low, high))

@@ -418,6 +418,14 @@ def profile_recency(spark: SparkSession, folder: str) -> DataFrame:
     return _profile(explore_recency(spark, folder), "recency")
 
 
+@query
+def profile_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of the numeric columns of the sampled lines."""
+    digits = {"day_number": 0, "Quantity": 0, "UnitPrice": 4}
+    table = profile.describe_columns(explore_sample(spark, folder), digits)
+    return _rounded(table, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
 @query
 def profile_unit_price(spark: SparkSession, folder: str) -> DataFrame:
     prices = transactions_from_star(spark, folder, ("UnitPrice",))
@@ -533,6 +541,17 @@ def fit_linear_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(models.score(model, labelled), 2, models.PREDICTION)
 
 
+@query
+def fit_linear_crossed(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide model with one crossed column."""
+    labelled = _labelled(spark, folder)
+    options = models.FitOptions(l2=0.01)
+    model = models.fit_model(
+        models.WIDE, labelled.where("split = 'train'"), options, crosses=(CROSS,)
+    )
+    return models.evaluate_splits(model, labelled)
+
+
 @query
 def fit_nonlinear(spark: SparkSession, folder: str) -> DataFrame:
     return _report(spark, folder, "dnn_model")

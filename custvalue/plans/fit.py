@@ -130,7 +130,12 @@ def _fit(
         cost = np.array([math.inf if m is None else -m for m in means])
         return cost + penalizer * (params**2).sum(axis=1)
 
-    logs, value = minimise(evaluate, np.zeros(len(names)))
+    # Cached copies lost with an executor are read again from the settled table.
+    inputs.persist()
+    try:
+        logs, value = minimise(evaluate, np.zeros(len(names)))
+    finally:
+        inputs.unpersist()
     return dict(zip(names, map(float, np.exp(logs)))), value
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.base import Transformer
+from pyspark.ml.feature import Bucketizer, FeatureHasher, SQLTransformer
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ LEAST_SQUARES = "linear_model"
 WIDE = "Linear"
 NONLINEAR = ("DNNRegressor", "dnn_model")
 FACTORIZATION = "fm_model"
-ABSOLUTE_ERROR = "automl"
+ABSOLUTE_ERROR = "gbt_mae"
 REGRESSION_TYPES = (LEAST_SQUARES, WIDE, *NONLINEAR, FACTORIZATION, ABSOLUTE_ERROR)
 REPEAT_TYPES = ("paretonbd_model", "bgnbd_model")
 
@@ -56,6 +57,30 @@ def _indicators() -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
+def _cross_stages(
+    keys: list[featurize.CrossKey], name: str, width: int
+) -> list[Transformer]:
+    """Vector column of a cross: its combined key hashed into ``width`` places."""
+    cut = [k for k in keys if k.name in featurize.NUMERICS and k.boundaries is not None]
+    stages: list[Transformer] = [
+        Bucketizer(
+            splits=[float("-inf"), *k.boundaries, float("inf")],
+            inputCol=k.name,
+            outputCol=f"{name}_{k.name}_bin",
+        )
+        for k in cut
+    ]
+    parts = [f"CAST({f'{name}_{k.name}_bin' if k in cut else k.name} AS INT)" for k in keys]
+    text = f"concat_ws('_X_', {', '.join(parts)})"
+    stages.append(SQLTransformer(statement=f"SELECT *, {text} AS {name}_key FROM __THIS__"))
+    stages.append(
+        FeatureHasher(
+            inputCols=[f"{name}_key"], outputCol=name, numFeatures=width, categoricalCols=[f"{name}_key"]
+        )
+    )
+    return stages
+
+
 def _linear(options: FitOptions) -> LinearRegression:
     strength = options.l1 + options.l2
     return LinearRegression(
@@ -82,8 +107,16 @@ def _trees(options: FitOptions, loss: str) -> GBTRegressor:
     )
 
 
-def pipeline(model_type: str, options: FitOptions = FitOptions()) -> Pipeline:
-    """Unfitted pipeline of a regression type."""
+def pipeline(
+    model_type: str,
+    options: FitOptions = FitOptions(),
+    crosses: tuple[list[featurize.CrossKey], ...] = (),
+) -> Pipeline:
+    """Unfitted pipeline of a regression type.
+
+    Crosses are hashed to their full size for the wide model, and to their dense
+    width for the others; none are used by default.
+    """
     deep = featurize.deep_columns()
     if model_type == LEAST_SQUARES:
         inputs, regressor = schemas.used_columns(), _linear(options)
@@ -105,13 +138,23 @@ def pipeline(model_type: str, options: FitOptions = FitOptions()) -> Pipeline:
         )
     else:
         raise ValueError(f"model_type must be one of {REGRESSION_TYPES}, got {model_type!r}")
-    return Pipeline(stages=[_indicators(), featurize.assembler(inputs), regressor])
-
-
-def fit_model(model_type: str, train: DataFrame, options: FitOptions = FitOptions()) -> PipelineModel:
+    size = featurize.cross_size if model_type == WIDE else featurize.cross_dimension
+    stages: list = [_indicators()]
+    for i, keys in enumerate(crosses):
+        stages += _cross_stages(keys, f"cross_{i}", size(keys))
+    names = inputs + [f"cross_{i}" for i in range(len(crosses))]
+    return Pipeline(stages=[*stages, featurize.assembler(names), regressor])
+
+
+def fit_model(
+    model_type: str,
+    train: DataFrame,
+    options: FitOptions = FitOptions(),
+    crosses: tuple[list[featurize.CrossKey], ...] = (),
+) -> PipelineModel:
     """Fit on the used columns of the training rows."""
     rows = train.select(*schemas.used_columns(with_key=True, with_target=True))
-    return pipeline(model_type, options).fit(rows)
+    return pipeline(model_type, options, crosses).fit(rows)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -128,7 +171,7 @@ def evaluate_splits(model: PipelineModel, labelled: DataFrame) -> DataFrame:
 
 def linear_terms(model: PipelineModel) -> list[tuple[str, float]]:
     """Intercept and coefficients of a fitted linear model by input name."""
-    _, assembler, regression = model.stages
+    assembler, regression = model.stages[-2:]
     return [
         ("intercept", float(regression.intercept)),
         *zip(assembler.getInputCols(), map(float, regression.coefficients)),

@@ -375,6 +375,10 @@ BODIES = {
     "profile_monetary": profile("money", "monetary"),
     "profile_frequency": profile("freq", "num_transactions"),
     "profile_recency": profile("rec", "recency"),
+    "profile_sample": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", * FROM ({profile('numbered', f'"{name}"', f"{text_hash(SAMPLE_TEXT)} % 50 = 1")})"""
+        for name in ("day_number", "Quantity", "UnitPrice")
+    ),
     "profile_unit_price": profile("src", '"UnitPrice"'),
     "profile_quantity": profile("src", '"Quantity"', '"Quantity" BETWEEN -40 AND 40'),
     "monetary_histogram": """SELECT cast(floor((monetary+1000)/500) AS bigint) AS bin,

@@ -117,3 +117,21 @@ def test_build_then_serve(spark, params, tmp_path, model_type):
     assert spark.read.text(f"{out}/entities").count() == rows.count()
     assert spark.read.text(f"{out}/errors").count() == 0
     assert readers.shard_names(spark.read.text(f"{out}/output")).count() >= 1
+
+
+def test_crosses_are_saved_with_the_model(labelled, tmp_path):
+    from custvalue.plans import catalog
+
+    train = labelled.where("split = 'train'")
+    plain = models.fit_model(models.WIDE, train)
+    crossed = models.fit_model(
+        models.WIDE, train, models.FitOptions(l2=0.01), crosses=(catalog.CROSS,)
+    )
+    assert crossed.stages[-1].numFeatures == 2 + 120
+    score = lambda m: evaluation_report(
+        models.score(m, train), models.PREDICTION, schemas.TARGET
+    ).first()
+    assert score(crossed).rmse < score(plain).rmse
+    models.save_version(crossed, str(tmp_path), 3)
+    again = models.load_latest(labelled.sparkSession, str(tmp_path))
+    assert score(again).rmse == pytest.approx(score(crossed).rmse)
