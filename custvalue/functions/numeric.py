@@ -18,7 +18,10 @@ UNITS_PER_CENT = 100
 def round_half_away(value: Column, digits: int = 2) -> Column:
     """Round a double half away from zero."""
     scale = 10.0**digits
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / F.lit(scale)
+    scaled = F.abs(value) * scale
+    rounded = F.signum(value) * F.floor(scaled + 0.5) / F.lit(scale)
+    # From 2**53 on a double has no such digits, and FLOOR would not fit a BIGINT.
+    return F.when(scaled >= 2.0**53, value).otherwise(rounded)
 
 
 def line_units(unit_price: Column, quantity: Column) -> Column:

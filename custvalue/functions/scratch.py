@@ -12,14 +12,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names; a temporary one only on a local master."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="custvalue-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="custvalue-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -29,6 +29,7 @@ from custvalue.functions.special import (
 from custvalue.params import ClvParams
 
 DAYS_PER_MONTH = 30
+NEAR_ONE = 1e-7
 CUSTOMER_COLUMNS = ("frequency", "recency", "T")
 
 
@@ -119,7 +120,9 @@ class BgNbd(_Model):
         """
         if t == 0:
             return F.lit(0.0)
-        r, alpha, a, b = self.r, self.alpha, self.a, self.b
+        r, alpha, b = self.r, self.alpha, self.b
+        # The formula has a removable singularity at a = 1.
+        a = self.a if abs(self.a - 1) > NEAR_ONE else 1 + NEAR_ONE
         z = F.lit(float(t)) / (alpha + T + t)
         series = hyp2f1(F.lit(a + b - 1 - r), F.lit(a - 1), a + b - 1 + x, z)
         growth = 1.0 - F.pow((alpha + T) / (alpha + T + t), a - 1) * series
@@ -181,9 +184,11 @@ class ParetoNbd(_Model):
         return self.purchases_if_alive(t, x, T) * self.p_alive(x, tx, T)
 
     def purchases_if_alive(self, t: float, x: Column, T: Column) -> Column:
-        r, alpha, s, beta = self.r, self.alpha, self.s, self.beta
-        shrink = F.pow((beta + T) / (beta + T + float(t)), s - 1)
-        return (r + x) * (beta + T) / ((alpha + T) * (s - 1)) * (1.0 - shrink)
+        r, alpha, beta = self.r, self.alpha, self.beta
+        # The formula has a removable singularity at s = 1.
+        s = self.s if abs(self.s - 1) > NEAR_ONE else 1 + NEAR_ONE
+        shrink = F.expm1((s - 1) * F.ln((beta + T) / (beta + T + float(t))))
+        return (r + x) * (beta + T) / ((alpha + T) * (s - 1)) * -shrink
 
 
 @dataclasses.dataclass(frozen=True)

@@ -53,9 +53,8 @@ def _wanted_blocks(counts: DataFrame, ranks: set[int]) -> list[tuple[int, int]]:
     return [tuple(row) for row in rows.collect()]
 
 
-def _at_rank(counts: DataFrame, fractions: list[float]) -> DataFrame:
-    """Value around position ``q * (rows - 1)`` for each fraction: ``q, share, u_low, u_high``."""
-    total = counts.agg(F.sum("n")).first()[0]
+def _at_rank(counts: DataFrame, fractions: list[float], total: int | None) -> DataFrame:
+    """Value around position ``q * (total - 1)`` for each fraction: ``q, share, u_low, u_high``."""
     places = [q * (total - 1) for q in fractions] if total else []
     ranks = {math.floor(p) for p in places} | {math.ceil(p) for p in places}
     found = _wanted_blocks(counts, ranks) if total else []
@@ -93,7 +92,8 @@ def _at_rank(counts: DataFrame, fractions: list[float]) -> DataFrame:
 
 def quantiles(df: DataFrame, column: str, fractions: list[float], digits: int = 0) -> DataFrame:
     """Linearly interpolated quantiles as rows ``(q, value)``, exact at any size."""
-    ranks = _at_rank(settle(value_counts(df, column, digits)), fractions)
+    counts = settle(value_counts(df, column, digits))
+    ranks = _at_rank(counts, fractions, counts.agg(F.sum("n")).first()[0])
     return ranks.select("q", _between(digits).alias("value"))
 
 
@@ -106,34 +106,39 @@ def _between(digits: int) -> Column:
 def describe(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
     """One row: count, mean, std (sample), min, quartiles and max of a column.
 
-    Sums are exact decimals over the distinct values, which are written once, as
-    several small aggregates read them.
+    The distinct values are written once, as several small aggregates read them.
     """
     counts = settle(value_counts(df, column, digits))
     scale = 10.0**digits
-    rows = F.sum("n")
-    u = F.col("u").cast("decimal(19,0)")
-    moments = counts.agg(
-        F.coalesce(rows, F.lit(0)).alias("count"),
-        F.sum(u * F.col("n")).cast("double").alias("s1"),
-        F.sum((u * F.col("u")).cast("decimal(38,0)") * F.col("n")).cast("double").alias("s2"),
-        (F.min("u") / F.lit(scale)).alias("min"),
-        (F.max("u") / F.lit(scale)).alias("max"),
-    )
+    total = F.sum(F.col("u").cast("decimal(19,0)") * F.col("n"))
+    head = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        total.alias("total"),
+        F.min("u").alias("low"),
+        F.max("u").alias("high"),
+    ).first()
+    mean = float(head.total / head.rows) if head.rows else None
+
+    def scaled(value: float | None) -> Column:
+        return F.lit(None if value is None else value / scale).cast("double")
+
     fractions = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    ranks = _at_rank(counts, list(fractions.values())).select("q", _between(digits).alias("v"))
-    quartiles = ranks.agg(
+    ranks = _at_rank(counts, list(fractions.values()), head.rows)
+    quartiles = ranks.select("q", _between(digits).alias("v")).agg(
         *[F.max(F.when(F.col("q") == q, F.col("v"))).alias(name) for name, q in fractions.items()]
     )
-    spread = F.col("s2") - F.col("s1") * F.col("s1") / F.col("count")
-    names = list(fractions)
-    return moments.withColumn("q", quartiles.select(F.struct(*names)).scalar()).select(
-        "count",
-        (F.try_divide("s1", F.col("count")) / scale).alias("mean"),
-        (F.sqrt(F.try_divide(spread, F.col("count") - 1)) / scale).alias("std"),
-        "min",
-        *[F.col(f"q.{name}").alias(name) for name in names],
-        "max",
+    spread = F.sum(F.col("n") * F.pow(F.col("u") - F.lit(mean), 2))
+    return (
+        counts.agg(F.sqrt(F.try_divide(spread, F.lit(head.rows - 1))).alias("std"))
+        .withColumn("q", quartiles.select(F.struct(*fractions)).scalar())
+        .select(
+            F.lit(head.rows).cast("bigint").alias("count"),
+            scaled(mean).alias("mean"),
+            (F.col("std") / scale).cast("double").alias("std"),
+            scaled(head.low).alias("min"),
+            *[F.col(f"q.{name}").alias(name) for name in fractions],
+            scaled(head.high).alias("max"),
+        )
     )
 
 

@@ -88,7 +88,8 @@ def test_bgnbd_likelihood_by_hand(spark):
 
 @pytest.mark.parametrize(
     "model",
-    [btyd.BgNbd(0.9, 30.0, 0.7, 2.1), btyd.BgNbd(0.9, 30.0, 1.6, 2.1), btyd.ParetoNbd(0.9, 30.0, 0.6, 45.0)],
+    [btyd.BgNbd(0.9, 30.0, 0.7, 2.1), btyd.BgNbd(0.9, 30.0, 1.6, 2.1), btyd.ParetoNbd(0.9, 30.0, 0.6, 45.0),
+     btyd.BgNbd(0.9, 30.0, 1.0, 2.1), btyd.ParetoNbd(0.9, 30.0, 1.0, 45.0)],
 )
 def test_expectation_grows_and_probability_is_one_at_most(spark, model):
     rows = [(0, 0, 90), (1, 30, 90), (12, 85, 90), (300, 20, 400), (600, 400, 400)]
@@ -200,3 +201,15 @@ def test_fit_needs_rows(spark):
         fit.fit_bgnbd(empty, FREE)
     with pytest.raises(ValueError):
         fit.fit_gamma_gamma(empty)
+
+
+@pytest.mark.parametrize("name,kind", [("a", btyd.BgNbd), ("s", btyd.ParetoNbd)])
+def test_expectation_is_continuous_at_one(spark, name, kind):
+    df = table(spark, [(4, 60.0, 90.0)], list(btyd.CUSTOMER_COLUMNS))
+    fields = [f for f in kind.__annotations__ if f in ("r", "alpha", "a", "b", "s", "beta")]
+    base = dict(zip(fields, (0.9, 30.0, 1.0, 20.0)))
+    got = [
+        values(df, kind(**(base | {name: v})).expected_purchases(200, *customer()))[0]
+        for v in (0.999, 1.0, 1.001)
+    ]
+    assert got[1] == pytest.approx((got[0] + got[2]) / 2, rel=1e-4)

@@ -13,6 +13,7 @@ from custvalue.operators import profile
         [7],
         [5] * 999 + [-3],
         list(range(-2_000_000, 2_000_000, 1237)),
+        [2**62, 2**62, -(2**62), 5],
         [-(2**50), -(2**41), -1, 0, 3, 2**30, 2**44, 2**50 + 1],
     ],
 )
