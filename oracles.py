@@ -1,8 +1,7 @@
 """SQL text for an independent engine, one statement per named query.
 
-Each statement is written the literal way (joins to per-customer aggregates,
-decimals, textbook series) and not the way the Spark plans work, so that an
-agreement of both means something.
+Each statement works another way than the Spark plan it checks (decimals, row
+numbers, IN lists, textbook series), so that an agreement of both means something.
 """
 
 from __future__ import annotations
@@ -45,74 +44,62 @@ FROM src WHERE CustomerID IS NOT NULL GROUP BY 1, 2""",
     "orders_": """
 SELECT customer_id, order_date, round(raw_value, 2) AS order_value, order_qty_articles
 FROM daily""",
-    "latest": "SELECT customer_id, max(order_date) AS latest_order FROM daily GROUP BY 1",
+    "latest": "SELECT customer_id, max(order_date) AS latest_order FROM daily GROUP BY ALL",
     "positive": """
-SELECT customer_id, cast(sum(CASE WHEN raw_value > 0 THEN 1 ELSE 0 END) AS bigint)
-         AS cnt_positive_value
-FROM daily WHERE order_date < DATE '2000-06-30' GROUP BY 1""",
+SELECT customer_id, count(*) FILTER (raw_value > 0) AS cnt_positive_value
+FROM daily WHERE order_date < DATE '2000-06-30' GROUP BY ALL""",
     "cleaned": """
-SELECT a.customer_id, order_date, order_value, order_qty_articles
-FROM orders_ a
-JOIN positive b ON a.customer_id = b.customer_id
-JOIN latest l ON a.customer_id = l.customer_id
-WHERE cnt_positive_value > 1
-  AND date_diff('day', latest_order, DATE '2001-08-01') <= 90
-  AND ((order_qty_articles > 0 AND order_value > 0)
-    OR (order_qty_articles < 0 AND order_value < 0))""",
-    "zeroed": """
-SELECT a.*, CASE WHEN order_date = order_date_min THEN 0 ELSE order_value END AS order_value_btyd
-FROM cleaned a
-JOIN (SELECT customer_id, min(order_date) AS order_date_min FROM cleaned GROUP BY 1) c
-  ON a.customer_id = c.customer_id""",
-    "tf": """
+FROM orders_
+WHERE customer_id IN (SELECT customer_id FROM positive WHERE cnt_positive_value > 1)
+  AND customer_id IN (SELECT customer_id FROM latest
+                      WHERE latest_order >= DATE '2001-08-01' - INTERVAL 90 DAY)
+  AND sign(order_value) * sign(order_qty_articles) = 1""",
+    "ranked": """
+SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date) AS nth,
+       order_date <= DATE '2000-06-30' AS early
+FROM cleaned""",
+    "rfm": """
 SELECT customer_id,
-       cast(sum(order_value) AS double) AS monetary_dnn,
-       CASE WHEN count(DISTINCT order_date) = 1 THEN 0.0
-            ELSE cast(sum(order_value_btyd) AS double) / (count(DISTINCT order_date) - 1)
-       END AS monetary_btyd,
-       date_diff('day', min(order_date), max(order_date)) AS recency,
-       date_diff('day', min(order_date), DATE '2000-06-30') AS "T",
-       count(DISTINCT order_date) AS cnt_orders,
-       cast(sum(order_qty_articles) AS double) / count(*) AS avg_basket_size,
-       cast(sum(order_value) AS double) / count(*) AS avg_basket_value,
-       cast(sum(CASE WHEN order_value < 1 THEN 1 ELSE 0 END) AS bigint) AS cnt_returns
-FROM zeroed WHERE order_date <= DATE '2000-06-30' GROUP BY 1""",
-    "tt": """
-SELECT customer_id, cast(sum(order_value) AS double) AS target_monetary FROM cleaned GROUP BY 1""",
+       sum(order_value) FILTER (early) :: DOUBLE AS monetary_dnn,
+       coalesce(sum(order_value) FILTER (early AND nth > 1) :: DOUBLE
+                / nullif(count(*) FILTER (early) - 1, 0), 0.0) AS monetary_btyd,
+       (max(order_date) FILTER (early)) - (min(order_date) FILTER (early)) AS recency,
+       DATE '2000-06-30' - (min(order_date) FILTER (early)) AS "T",
+       count(*) FILTER (early) AS cnt_orders,
+       sum(order_qty_articles) FILTER (early) :: DOUBLE / count(*) FILTER (early)
+         AS avg_basket_size,
+       sum(order_value) FILTER (early) :: DOUBLE / count(*) FILTER (early) AS avg_basket_value,
+       count(*) FILTER (early AND order_value < 1) AS cnt_returns
+FROM ranked GROUP BY ALL HAVING bool_or(early)""",
+    "spent": """
+SELECT customer_id, sum(order_value) :: DOUBLE AS target_monetary FROM cleaned GROUP BY ALL""",
     "feats": f"""
-SELECT tf.customer_id, monetary_dnn, monetary_btyd,
+SELECT customer_id, monetary_dnn, monetary_btyd,
        cnt_orders AS frequency_dnn, cnt_orders - 1 AS frequency_btyd, recency, "T",
        {rnd('(recency/cnt_orders)')} AS time_between,
        {rnd('avg_basket_value')} AS avg_basket_value,
        {rnd('avg_basket_size')} AS avg_basket_size,
        cnt_returns,
-       CASE WHEN cnt_returns > 0 THEN 1 ELSE 0 END AS has_returned,
-       CASE WHEN cnt_orders - 1 > @freq THEN @freq ELSE cnt_orders - 1 END
-         AS frequency_btyd_clipped,
-       CASE WHEN monetary_btyd > @money THEN @money ELSE {rnd('monetary_btyd')} END
-         AS monetary_btyd_clipped,
-       CASE WHEN target_monetary > @money THEN @money ELSE target_monetary END
-         AS target_monetary_clipped,
+       (cnt_returns > 0) :: INT AS has_returned,
+       least(cnt_orders - 1, @freq) AS frequency_btyd_clipped,
+       least({rnd('monetary_btyd')}, @money) AS monetary_btyd_clipped,
+       least(target_monetary, @money) AS target_monetary_clipped,
        target_monetary
-FROM tf JOIN tt ON tf.customer_id = tt.customer_id
-WHERE monetary_dnn > 0 AND monetary_dnn <= 25000 AND monetary_btyd > 0""",
+FROM rfm JOIN spent USING (customer_id)
+WHERE monetary_dnn BETWEEN 0.01 AND 25000 AND monetary_btyd > 0""",
     "labelled": f"""
-SELECT *, CASE WHEN bucket <= 70000 THEN 'train'
-               WHEN bucket > 70000 AND bucket < 85000 THEN 'eval'
-               WHEN bucket > 85000 AND bucket < 100000 THEN 'test'
-               ELSE 'none' END AS split
+SELECT *, CASE bucket WHEN 85000 THEN 'none'
+         ELSE list_extract(['train', 'eval', 'test'],
+                           1 + (bucket > 70000)::INT + (bucket > 85000)::INT) END AS split
 FROM (SELECT *, {text_hash('customer_id')} % 100000 AS bucket FROM feats)""",
     "days": """
 SELECT date_diff('day', min(order_date), DATE '2000-06-30') AS feature_days,
        date_diff('day', DATE '2000-06-30', DATE '2001-08-01') AS target_days FROM cleaned""",
     "base": """
-SELECT f.customer_id,
+SELECT customer_id,
        avg_basket_value * (cnt_orders * (1 + target_days / feature_days)) AS predicted_monetary,
        target_monetary
-FROM (SELECT customer_id, cast(sum(order_value) AS double) / count(*) AS avg_basket_value,
-             count(DISTINCT order_date) AS cnt_orders
-      FROM cleaned WHERE order_date <= DATE '2000-06-30' GROUP BY 1) f
-JOIN tt ON f.customer_id = tt.customer_id, days""",
+FROM rfm JOIN spent USING (customer_id) CROSS JOIN days""",
     "lines": f"""
 SELECT cast(to_json({{'customer_id': customer_id,
                      'predicted_monetary': {rnd('predicted_monetary')}}}) AS varchar) AS value
@@ -124,12 +111,11 @@ SELECT date_diff('day', cast((SELECT min(moment) FROM moments) AS date), cast(mo
          AS day_number, * EXCLUDE (moment)
 FROM moments""",
     "money": """
-SELECT customer_id, cast(sum(order_value) AS double) AS monetary FROM cleaned GROUP BY 1""",
+SELECT customer_id, target_monetary AS monetary FROM spent""",
     "freq": """
-SELECT customer_id, count(DISTINCT order_date) - 1 AS num_transactions FROM cleaned GROUP BY 1""",
+SELECT customer_id, max(nth) - 1 AS num_transactions FROM ranked GROUP BY ALL""",
     "rec": """
-SELECT customer_id, date_diff('day', min(order_date), max(order_date)) AS recency
-FROM cleaned GROUP BY 1""",
+SELECT customer_id, max(order_date) - min(order_date) AS recency FROM cleaned GROUP BY ALL""",
     "summary": """
 SELECT customer_id, frequency_btyd AS frequency, recency, "T", monetary_btyd AS monetary_value
 FROM feats""",
@@ -308,18 +294,17 @@ BODIES = {
     "positive_days": "SELECT * FROM positive",
     "repeat_customers": "SELECT * FROM positive WHERE cnt_positive_value > 1",
     "sign_consistent": """SELECT customer_id, order_date, cast(order_value AS double) AS order_value,
-       order_qty_articles FROM orders_ WHERE (order_qty_articles > 0 AND order_value > 0)
-       OR (order_qty_articles < 0 AND order_value < 0)""",
+       order_qty_articles FROM orders_ WHERE sign(order_value) * sign(order_qty_articles) = 1""",
     "clean_orders": """SELECT customer_id, order_date, cast(order_value AS double) AS order_value,
        order_qty_articles FROM cleaned""",
-    "first_order": "SELECT customer_id, min(order_date) AS order_date_min FROM cleaned GROUP BY 1",
+    "first_order": "SELECT customer_id, order_date AS order_date_min FROM ranked WHERE nth = 1",
     "first_order_zeroed": """SELECT customer_id, order_date,
        cast(order_value AS double) AS order_value, order_qty_articles,
-       cast(order_value_btyd AS double) AS order_value_btyd FROM zeroed""",
-    "target": "SELECT * FROM tt",
+       if(nth = 1, 0.0, cast(order_value AS double)) AS order_value_btyd FROM ranked""",
+    "target": "SELECT * FROM spent",
     "target_after": """SELECT customer_id, cast(sum(order_value) AS double) AS target_monetary
        FROM cleaned WHERE order_date > DATE '2000-06-30' GROUP BY 1""",
-    "features_rfm": "SELECT * FROM tf",
+    "features_rfm": "SELECT * FROM rfm",
     "features_n_target": "SELECT * FROM feats",
     "export_roundtrip": "SELECT * FROM feats",
     "hash_bucket": "SELECT customer_id, bucket FROM labelled",
