@@ -34,6 +34,8 @@ def sample(source: DataFrame, one_in: int = 50) -> DataFrame:
 
     A row with a NULL in one of them is never sampled.
     """
+    if one_in < 2:
+        raise ValueError("one_in must be 2 or more")
     price = F.col("UnitPrice").cast("decimal(18,4)")
     parts = [price if c == "UnitPrice" else F.col(c) for c in SAMPLE_KEY]
     text = F.concat(*[p.cast("string") for p in parts])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.feature import Bucketizer, FeatureHasher, SQLTransformer
@@ -89,7 +90,6 @@ def _linear(options: FitOptions) -> LinearRegression:
         maxIter=max(options.max_iter, 100),
         regParam=strength,
         elasticNetParam=options.l1 / strength if strength else 0.0,
-        solver="auto" if options.l1 else "normal",
     )
 
 
@@ -193,17 +193,27 @@ def load_latest(spark: SparkSession, base: str) -> PipelineModel:
     return PipelineModel.load(version_path(base, version))
 
 
+def has_version(spark: SparkSession, base: str) -> bool:
+    """Whether a version was saved under ``base``."""
+    try:
+        return latest_version(spark, base).first()[0] is not None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def fit_or_resume(
-    model_type: str, train: DataFrame, base: str, version: int,
-    options: FitOptions = FitOptions(), resume: bool = False,
+    model_type: str,
+    train: DataFrame,
+    base: str,
+    version: int,
+    options: FitOptions = FitOptions(),
+    resume: bool = False,
 ) -> PipelineModel:
     """Load the latest version if resuming and there is one; otherwise fit and save."""
-    if resume:
-        try:
-            return load_latest(train.sparkSession, base)
-        except Exception as missing:  # an absent folder is reported by the file system
-            if "not exist" not in str(missing) and not isinstance(missing, FileNotFoundError):
-                raise
+    if resume and has_version(train.sparkSession, base):
+        return load_latest(train.sparkSession, base)
     model = fit_model(model_type, train, options)
     save_version(model, base, version)
     return model

@@ -24,10 +24,14 @@ def query(spark: SparkSession, sql: str, **args: object) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True
 ) -> DataFrame:
-    """CSV with the given schema; empty fields are NULL; a malformed row stops the job."""
+    """CSV with the given schema; empty fields are NULL.
+
+    A malformed row, or a header with other names than the schema, stops the job.
+    """
     return (
         spark.read.schema(schema)
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("nullValue", "")
         .option("escape", '"')
         .option("mode", "FAILFAST")

@@ -52,6 +52,51 @@ def test_exchanges(spark):
     assert exchanges(features.features_n_target(cleaned, catalog.PARAMS)) == (2, 0)
 
 
+def test_scan_reads_only_what_the_features_need(spark):
+    plan = catalog.features_n_target(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert not any(name in plan for name in ("l_discount", "l_tax", "l_shipdate", "o_totalprice", "p_name"))
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_stored_orders_need_one_exchange(spark, params, tmp_path):
+    """From a stored order table everything by customer is one partial aggregation."""
+    catalog.clean_orders(spark, FOLDER).write.parquet(str(tmp_path / "cleaned"))
+    stored = spark.read.parquet(str(tmp_path / "cleaned"))
+    rows = features.features_n_target(stored, params)
+    assert exchanges(rows) == (1, 0)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_skewed_order_is_split(spark):
+    """With one order holding a third of the lines, adaptive execution splits its partition."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in names}
+    lines = spark.range(0, 600_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id")).alias("k"), F.rand(1).alias("value")
+    )
+    orders = spark.range(600_000).withColumn("customer", F.col("id") % 1000)
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        joined = lines.join(orders, F.col("k") == F.col("id"))
+        summed = joined.groupBy("customer").agg(
+            F.count("value").alias("q"), F.sum("value").alias("v")
+        )
+        assert sum(r.q for r in summed.collect()) == 600_000
+        assert "skew=true" in summed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_input_order_does_not_matter(spark):
     source = catalog._lines(spark, FOLDER)
     mixed = source.repartition(5).orderBy(F.rand(3))

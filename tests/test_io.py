@@ -49,6 +49,16 @@ def test_scoring_forms(spark, tmp_path):
         readers.read_scoring(spark, str(plain), fmt="xml")
 
 
+def test_other_header_is_refused(spark, tmp_path):
+    path = tmp_path / "old.csv"
+    path.write_text(
+        "customer_id,monetary,recency,frequency,avg_basket_value,avg_basket_size,date_range,"
+        "cnt_orders,cnt_returns,has_returned\n" + SAMPLE
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_scoring(spark, str(path), header=True).collect()
+
+
 def test_used_columns_and_defaults():
     assert len(schemas.FEATURES) == 16 and len(schemas.SCORING) == 10
     used = schemas.used_columns(with_key=True, with_target=True)
@@ -116,7 +126,8 @@ def test_sample_never_takes_rows_without_customer(spark):
     assert explore.sample(source).count() == 0
     known = source.fillna({"CustomerID": "7"})
     assert 0 < explore.sample(known).count() < 30
-    assert explore.sample(known, one_in=1).count() == 0
+    with pytest.raises(ValueError):
+        explore.sample(known, one_in=1)
 
 
 def test_stream_of_lines(spark, tmp_path):
