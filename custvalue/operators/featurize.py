@@ -6,7 +6,7 @@ import dataclasses
 import functools
 import operator
 
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +41,16 @@ def one_hot(name: str, values: tuple) -> dict[str, Column]:
     }
 
 
+def as_category(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Treat a column of few distinct values as a category, numbered from the most frequent.
+
+    Ties are in text order.  The distinct values become part of the plan, so this
+    is for short lists such as flags and small counts.
+    """
+    indexer = StringIndexer(inputCol=name, outputCol=out, stringOrderType="frequencyDesc")
+    return indexer.fit(df).transform(df).withColumn(out, F.col(out).cast("int"))
+
+
 def bucketize(df: DataFrame, name: str, boundaries: list[float], out: str) -> DataFrame:
     """Left-closed bins; the first and last are open-ended."""
     edges = [float("-inf"), *map(float, boundaries), float("inf")]
@@ -114,6 +124,11 @@ def training_matrix(features: DataFrame, with_continuous: bool = True) -> DataFr
     )
 
 
+def input_columns(table: DataFrame) -> list[str]:
+    """Columns of a feature table left after the key, the unused ones and the target."""
+    return [name for name in table.columns if name not in (*schemas.UNUSED, schemas.TARGET)]
+
+
 def assembler(inputs: list[str], out: str = "features") -> VectorAssembler:
     """Vector column of the named inputs; a NULL input stops the job."""
     return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="error")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from custvalue.sources import schemas
 
+# Fixed value of the serving records.
 ENTITY_KIND = "clv"
 CORRUPT = "_corrupt_record"
 LINE_SCHEMA = T.StructType(

@@ -24,6 +24,7 @@ class ClvParams:
     target_window: str = "all"
     # "fail": an unreadable invoice date stops the job; "null": the line is left out.
     bad_dates: str = "fail"
+    # Caps, bounds of the split buckets, monthly discount, penalty.
     freq_clip: int = 600
     money_clip: float = 100000.0
     buckets: int = 100000

@@ -470,6 +470,12 @@ def feat_vocab(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def feat_category(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _features(spark, folder).select("customer_id", "cnt_returns")
+    return featurize.as_category(rows, "cnt_returns", "returns_category")
+
+
 @query
 def feat_onehot(spark: SparkSession, folder: str) -> DataFrame:
     hot = featurize.one_hot("cnt_returns", (0, 1))

@@ -377,6 +377,10 @@ BODIES = {
     "feat_vocab": """SELECT customer_id,
        CASE has_returned WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE -1 END AS returned_index,
        CASE cnt_returns WHEN 0 THEN 0 WHEN 2 THEN 1 ELSE -1 END AS returns_index FROM feats""",
+    "feat_category": """SELECT customer_id, cnt_returns, place - 1 AS returns_category
+       FROM feats JOIN (SELECT cnt_returns, row_number() OVER (
+         ORDER BY count(*) DESC, cnt_returns::VARCHAR) AS place FROM feats GROUP BY 1)
+       USING (cnt_returns)""",
     "feat_onehot": """SELECT customer_id, CASE WHEN cnt_returns = 0 THEN 1 ELSE 0 END AS cnt_returns_0,
        CASE WHEN cnt_returns = 1 THEN 1 ELSE 0 END AS cnt_returns_1 FROM feats""",
     "feat_bucketized": "SELECT customer_id, recency, recency_bin FROM binned",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from custvalue.operators import clean, features, featurize, split
 from custvalue.plans import catalog
+from custvalue.sources import schemas
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -147,6 +148,10 @@ def test_shuffle_is_reproducible(feature_rows):
     assert one == two and one != other and sorted(one) == sorted(other)
 
 
+def test_input_columns_are_the_used_ones(feature_rows):
+    assert featurize.input_columns(feature_rows) == schemas.used_columns()
+
+
 def test_cross_sizes():
     keys = [featurize.CrossKey("recency", 300), featurize.CrossKey("T", 400)]
     assert featurize.cross_size(keys) == 10000
