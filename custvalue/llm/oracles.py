@@ -43,3 +43,33 @@ SELECT p.doc_id, p.source, p.size::BIGINT AS size, p.source_size, p.target,
 FROM placed p LEFT JOIN taken t
   ON p.doc_id IS NOT DISTINCT FROM t.doc_id AND p.rank = t.rank AND p.reached = t.reached AND p.size > 0
 """
+
+STATEMENTS["op6_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER best AS kept, text_sha256
+FROM d
+WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id ASC NULLS LAST)
+"""
+
+STATEMENTS["op10_url_filters"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+urls AS (SELECT DISTINCT host, path FROM parts),
+judged AS (
+  SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+  FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN judged USING (host, path)
+"""

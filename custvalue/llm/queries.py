@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custvalue.llm import mix
+from custvalue.llm import exact, mix, urls
 from custvalue.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,3 +21,24 @@ def query(function: Query) -> Query:
 @query
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix(table(spark, folder, "documents"))
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_groups(table(spark, folder, "documents"))
+
+
+#: Host, path prefix and verdict of the rules that pages are judged by.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules)
