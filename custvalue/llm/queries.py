@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from custvalue.llm import exact, mix, urls
-from custvalue.llm.common import table
+from custvalue.llm import counts, exact, mix, pieces, segment, urls
+from custvalue.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +43,29 @@ URL_RULES = [
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, folder, "pages"), rules)
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every text, and whether they decode to it."""
+    docs = table(spark, folder, "documents")
+    text = F.replace(text_of("text"), F.lit(pieces.SPACE), F.lit(" "))
+    hashed = docs.select("doc_id", "text", F.sha2(text, 256).alias("text_sha256"))
+    encoded = segment.encode(hashed, ("doc_id", "text_sha256")).withColumns(
+        {
+            "n_tokens": F.size("ids").cast("long"),
+            "ids_sha256": F.sha2(F.array_join("ids", " "), 256),
+        }
+    )
+    return segment.decode(encoded).select(
+        "doc_id",
+        "n_tokens",
+        "ids_sha256",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
+    )
+
+
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.token_counts(table(spark, folder, "documents"))
