@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +42,20 @@ def word_count(text: Column) -> Column:
     """Number of maximal runs without white space, without building a list of them."""
     dots = F.regexp_replace(text, f"[^{SPACE}]+", "x")
     return F.length(F.regexp_replace(dots, f"[{SPACE}]+", "")).cast("long")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session's cluster, once."""
+    context = spark.sparkContext
+    if getattr(context, "_custvalue_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    package = os.path.join(tempfile.mkdtemp(), "custvalue_package.zip")
+    with zipfile.ZipFile(package, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "custvalue")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(package)
+    context._custvalue_shipped = True

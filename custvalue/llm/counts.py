@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from custvalue.llm import pieces
-from custvalue.llm.common import text_of
+from custvalue.llm.common import ship, text_of
 
 #: Nodes that a worker's trie has at most.
 NODES = 400_000
@@ -84,6 +84,7 @@ class CountTrie:
 
 def token_counts(docs: DataFrame, path: str = pieces.MODEL, nodes: int = NODES) -> DataFrame:
     """doc_id and n_tokens of every document."""
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = CountTrie(pieces.load(path), nodes)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import settle, text_of
+from custvalue.llm.common import settle, ship, text_of
 from custvalue.llm.cuckoo import CuckooIndex
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -130,6 +130,7 @@ def update(
     ``index`` is what an earlier call returned, stored as a table. ``deleted`` has a column
     text_sha256; those digests are no longer live afterwards, whatever was inserted.
     """
+    ship(rows.sparkSession)
     columns = ["digest", "members", "chars", "holder"]
     changes = _summed(rows)
     if index is not None:

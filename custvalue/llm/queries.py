@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custvalue.llm import counts, exact, mix, pieces, segment, urls
+from custvalue.llm import (
+    counts,
+    exact,
+    language,
+    mix,
+    pieces,
+    segment,
+    simhash,
+    toxicity,
+    urls,
+)
 from custvalue.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +79,30 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.token_counts(table(spark, folder, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = language.held_out(4, 2)
+    learned = language.profiles(docs.where(~held))
+    return language.identify(docs, learned).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = language.held_out(3, 1)
+    chain = toxicity.fit(docs.where(~held), labels.where(~held))
+    return toxicity.score(docs, chain).select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
+@query
+def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))

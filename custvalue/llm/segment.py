@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from custvalue.llm import pieces
-from custvalue.llm.common import settle, text_of
+from custvalue.llm.common import settle, ship, text_of
 
 #: Characters of a chunk; longer documents are encoded by several tasks.
 CHUNK = 32768
@@ -186,6 +186,7 @@ def encode(
     docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str = pieces.MODEL, chunk: int = CHUNK
 ) -> DataFrame:
     """The columns ``keep`` and ``ids``, the piece numbers of every text."""
+    ship(docs.sparkSession)
     rows = docs.select(*keep, text_of("text").alias("segment_text"))
     fields = [docs.schema[c] for c in keep]
     with_ids = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -222,6 +223,7 @@ def encode(
 
 def decode(encoded: DataFrame, path: str = pieces.MODEL) -> DataFrame:
     """All columns with ``ids`` replaced by ``decoded``, the text of the pieces."""
+    ship(encoded.sparkSession)
     fields = [f for f in encoded.schema.fields if f.name != "ids"]
     schema = T.StructType([*fields, T.StructField("decoded", T.StringType())])
 

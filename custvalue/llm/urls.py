@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custvalue.llm.common import settle
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Hexadecimal digits of the short digest that rules and expressions are joined on.
 SHORT = 8
@@ -80,7 +82,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         for n, m in shapes
     ]
     digests = F.array_compact(F.array(*expressions)) if shapes else F.array().cast("array<string>")
-    found = (
+    # Written, so that the join below can split a host with very many pages.
+    found = settle(
         urls.where("host <> ''")
         .select("host", "start")
         .distinct()
@@ -90,7 +93,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .where("own = digest")
         .groupBy("host", "start")
         .agg(F.max(F.struct(F.length("rule"), "rule_verdict", "rule")).alias("best"))
-        .select("host", "start", "best.rule", "best.rule_verdict")
+        .select("host", "start", "best.rule", "best.rule_verdict"),
+        "url-rules",
     )
     return urls.join(found, ["host", "start"], "left").select(
         "page_id",
