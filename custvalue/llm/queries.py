@@ -15,6 +15,7 @@ from custvalue.llm import (
     pieces,
     segment,
     simhash,
+    syncmers,
     toxicity,
     urls,
 )
@@ -106,3 +107,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@query
+def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.edit_likeness(table(spark, folder, "documents"))
