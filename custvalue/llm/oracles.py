@@ -73,3 +73,24 @@ judged AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN judged USING (host, path)
 """
+
+#: Base 32 of a SHA-1, five hexadecimal digits at a time.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v[{i + 1}] // {1 << shift}) % 32 + 1)::INT, 1)"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+STATEMENTS["op3_warc"] = rf"""
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS h FROM pages),
+coded AS (
+  SELECT *, [('0x' || substr(h, i, 5))::BIGINT FOR i IN [1, 6, 11, 16, 21, 26, 31, 36]] AS v FROM hashed),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM coded)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM kept
+"""

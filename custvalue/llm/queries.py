@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custvalue.functions.scratch import scratch_path
 from custvalue.llm import (
     counts,
     exact,
@@ -18,6 +19,7 @@ from custvalue.llm import (
     syncmers,
     toxicity,
     urls,
+    warc,
 )
 from custvalue.llm.common import table, text_of
 
@@ -112,3 +114,18 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.edit_likeness(table(spark, folder, "documents"))
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the pages as archives, then read all records back, checking every payload."""
+    path = scratch_path(spark, "archive")
+    warc.write_warc(warc.page_records(table(spark, folder, "pages")), path)
+    records = warc.read_warc(spark, path, types=("response", "revisit"), payload="digest")
+    return records.select(
+        warc.page_of("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
