@@ -38,6 +38,24 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores as needed to differ from all columns of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
+def without(docs: DataFrame, going: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in ``going``; columns unchanged."""
+    (name,) = fresh(docs, "going_id")
+    going = going.select(F.col("doc_id").alias(name))
+    return docs.join(going, docs["doc_id"].eqNullSafe(going[name]), "left_anti")
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs without white space, without building a list of them."""
     dots = F.regexp_replace(text, f"[^{SPACE}]+", "x")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import settle, ship, text_of
+from custvalue.llm.common import fresh, settle, ship, text_of
 from custvalue.llm.cuckoo import CuckooIndex
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -194,11 +194,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
         .drop("n")
     )
 
+    own_id, own_digest = fresh(docs, "own_id", "own_digest")
+
     def rows_in(found: DataFrame, how: str) -> DataFrame:
-        found = found.toDF("own_id", "own_digest")
+        found = found.toDF(own_id, own_digest)
         digest = F.sha2(normalized(text_of(docs["text"])), 256)
-        same = docs["doc_id"].eqNullSafe(found["own_id"]) & (digest == found["own_digest"])
+        same = docs["doc_id"].eqNullSafe(found[own_id]) & (digest == found[own_digest])
         return docs.join(found, same, how)
 
-    once = rows_in(repeated, "inner").dropDuplicates(["own_id", "own_digest"])
+    once = rows_in(repeated, "inner").dropDuplicates([own_id, own_digest])
     return rows_in(going.unionByName(repeated), "left_anti").unionByName(once.select(docs.columns))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.llm.common import settle, text_of, word_count
+from custvalue.llm.common import fresh, settle, text_of, word_count
 
 #: Finish-time ranges per unit of virtual time; only one of them is ever ranked.
 RANGES = 4096
@@ -172,17 +172,19 @@ def mix(
 
 
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix, a document taken twice as two rows; columns unchanged."""
+    """The documents of the mix, one taken twice as two rows; columns unchanged.
+
+    Of rows that share a doc_id all are taken as often as the one taken most.
+    """
+    own_id, copies, copy = fresh(docs, "own_id", "copies", "copy")
     taken = (
         mix(docs, **settings)
         .where("taken > 0")
-        .select(F.col("doc_id").alias("mix_doc_id"), (F.col("taken") / F.col("size")).cast("int").alias("mix_copies"))
-        .groupBy("mix_doc_id")
-        .agg(F.max("mix_copies").alias("mix_copies"))
+        .groupBy(F.col("doc_id").alias(own_id))
+        .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(copies))
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
     return (
-        docs.join(taken, docs["doc_id"].eqNullSafe(taken["mix_doc_id"]))
-        .select(*[docs[c] for c in docs.columns], copies.alias("mix_copy"))
-        .drop("mix_copy")
+        docs.join(taken, docs["doc_id"].eqNullSafe(taken[own_id]))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+        .select(*[docs[c] for c in docs.columns])
     )
