@@ -5,6 +5,9 @@ n-grams are compared with each by out-of-place distance, the sum of rank differe
 n-gram that a profile lacks counts as the full profile length. The nearest profile wins, the
 first by name of equally near ones.
 
+n-grams are one to three lower-case characters of a word with a blank on each side, as numbers
+of 21 bits per character. Equally frequent ones rank by that number.
+
 Defined cases: a null text and one without a letter are ``und`` with score 0, as is everything if
 no profile was learned; rows without a language teach nothing; repeated rows are all counted and
 judged alike; other columns of the input are ignored.
@@ -12,98 +15,98 @@ judged alike; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custvalue.llm.common import ship
 
 UNDETERMINED = "und"
-LENGTHS = (1, 2, 3)
 #: n-grams of a profile.
 PROFILE = 300
-#: Distinct words that a task counts before it passes their n-grams on.
-WORDS_HELD = 100_000
+#: Characters of a text, and n-grams of a task's counts, that are held at once.
+BLOCK, HELD = 1 << 20, 1 << 21
+BLANK, BITS = 32, 21
 
-LETTERS = re.compile(r"[^\W\d_]+")
+Profiles = dict[str, list[int]]
 
 
-@lru_cache(maxsize=100_000)
-def _short_grams(word: str) -> tuple[str, ...]:
-    padded = f" {word} "
-    return tuple(
-        padded[i : i + n]
-        for n in LENGTHS
-        for i in range(len(padded) - n + 1)
-        if padded[i : i + n] != " "
-    )
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def _spelled(text: str) -> np.ndarray:
+    """Lower-case letters with single blanks for all else, at both ends too."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    points = np.where(_letters()[points], points, BLANK)
+    blank = points == BLANK
+    return points[np.concatenate(([True], ~(blank[1:] & blank[:-1])))]
 
 
-def grams(word: str) -> tuple[str, ...]:
-    """n-grams of a word with a blank on each side."""
-    return _short_grams(word) if len(word) <= 32 else _short_grams.__wrapped__(word)
+def _merged(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, places = np.unique(np.concatenate(grams), return_inverse=True)
+    return keys, np.bincount(places, np.concatenate(counts), len(keys)).astype(np.int64)
 
 
-def gram_counts(words: Counter) -> dict[str, int]:
-    counts: dict[str, int] = {}
-    get = counts.get
-    for word, n in words.items():
-        for gram in grams(word):
-            counts[gram] = get(gram, 0) + n
-    return counts
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a text in order, and how often each occurs."""
+    points = _spelled(text).astype(np.int64)
+    grams, counts = [], []
+    for start in range(0, len(points), BLOCK):
+        a = points[start : start + BLOCK + 2]
+        one, two, three = a[:BLOCK], a[: BLOCK + 1], a
+        pairs = two[:-1] << BITS | two[1:]
+        triples = (three[:-2] << BITS | three[1:-1]) << BITS | three[2:]
+        found = np.concatenate((one[one != BLANK], pairs, triples[three[1:-1] != BLANK]))
+        keys, n = np.unique(found, return_counts=True)
+        grams.append(keys)
+        counts.append(n)
+    return (grams[0], counts[0]) if len(grams) == 1 else _merged(grams, counts)
 
 
-def ranked(counts: dict[str, int], size: int = PROFILE) -> list[str]:
-    """The most frequent n-grams, equally frequent ones by text."""
-    edge, above = 0, 0
-    for count, n in sorted(Counter(counts.values()).items(), reverse=True):
-        edge = count
-        if above + n >= size:
-            break
-        above += n
-    top = sorted((-c, g) for g, c in counts.items() if c > edge)
-    ties = sorted(g for g, c in counts.items() if c == edge)
-    return [g for _, g in top] + ties[: size - len(top)]
+def ranked(keys: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.ndarray:
+    """The most frequent n-grams."""
+    return keys[np.argsort(-counts, kind="stable")[:size]]
 
 
-def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, list[str]]:
+def profiles(docs: DataFrame, size: int = PROFILE) -> Profiles:
     """Profile of every language in ``docs`` (text, lang), learned from all its rows.
 
-    Tasks count words, then n-grams; Spark adds the counts and keeps the first ``size`` of a
-    language, within tasks first. Only the profiles come to the driver.
+    Tasks count n-grams; Spark adds the counts and keeps the first ``size`` of a language,
+    within tasks first. Only the profiles come to the driver.
     """
     ship(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def passed_on(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-            for lang, words in held.items():
-                found = gram_counts(words)
-                yield pa.record_batch(
-                    [
-                        pa.array([lang] * len(found), pa.string()),
-                        pa.array(list(found), pa.string()),
-                        pa.array(list(found.values()), pa.int64()),
-                    ],
-                    names=["lang", "gram", "n"],
-                )
-
-        held: dict[str, Counter] = {}
+        def passed_on(lang: str, parts: list) -> pa.RecordBatch:
+            keys, n = _merged([k for k, _ in parts], [n for _, n in parts])
+            return pa.record_batch(
+                [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n)],
+                names=["lang", "gram", "n"],
+            )
+
+        held: dict[str, list] = {}
+        sizes: dict[str, int] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
-                if len(held[lang]) > WORDS_HELD:
-                    yield from passed_on({lang: held.pop(lang)})
-        yield from passed_on(held)
+                held.setdefault(lang, []).append(gram_counts(text))
+                sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1][0])
+                if sizes[lang] > HELD:
+                    yield passed_on(lang, held.pop(lang))
+                    sizes[lang] = 0
+        for lang, parts in held.items():
+            yield passed_on(lang, parts)
 
     counted = (
         docs.where("text is not null and lang is not null")
         .select("text", "lang")
-        .mapInArrow(count, "lang string, gram string, n long")
+        .mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -114,40 +117,46 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, list[str]]:
         .orderBy("lang", "place")
         .collect()
     )
-    found: dict[str, list[str]] = {}
+    found: Profiles = {}
     for row in rows:
         found.setdefault(row["lang"], []).append(row["gram"])
     return found
 
 
-def nearest(own: list[str], ranks: list[tuple[str, dict[str, int]]], size: int) -> tuple[str, float]:
-    """Nearest language and its score: 1 for the profile's own order, 0 for nothing shared."""
-    best, distance = UNDETERMINED, None
-    for lang, rank in ranks:
-        get = rank.get
-        total = 0
-        for place, gram in enumerate(own):
-            other = get(gram)
-            total += size if other is None else abs(other - place)
-        if distance is None or total < distance:
-            best, distance = lang, total
-    return (best, 1 - distance / (size * len(own))) if distance is not None else (best, 0.0)
+class Judge:
+    """Nearest language of a text, with the ranks of all profiles in one table."""
 
+    def __init__(self, learned: Profiles, size: int = PROFILE):
+        self.size, self.names = size, sorted(learned)
+        self.keys = np.unique([g for p in learned.values() for g in p]).astype(np.int64)
+        self.ranks = np.full((len(self.keys), len(self.names)), -1)
+        for j, name in enumerate(self.names):
+            self.ranks[np.searchsorted(self.keys, learned[name]), j] = np.arange(len(learned[name]))
 
-def identify(docs: DataFrame, learned: dict[str, list[str]], size: int = PROFILE) -> DataFrame:
+    def nearest(self, text: str | None) -> tuple[str, float]:
+        """Language and score: 1 for the profile's own order, 0 for nothing shared."""
+        if not text or not self.names:
+            return UNDETERMINED, 0.0
+        keys, counts = gram_counts(text)
+        if not len(keys):
+            return UNDETERMINED, 0.0
+        own = ranked(keys, counts, self.size)
+        places = np.searchsorted(self.keys, own).clip(max=len(self.keys) - 1)
+        ranks = np.where((self.keys[places] == own)[:, None], self.ranks[places], -1)
+        apart = np.where(ranks < 0, self.size, abs(ranks - np.arange(len(own))[:, None]))
+        total = apart.sum(axis=0)
+        best = int(total.argmin())
+        return self.names[best], float(1 - total[best] / (self.size * len(own)))
+
+
+def identify(docs: DataFrame, learned: Profiles, size: int = PROFILE) -> DataFrame:
     """doc_id, lang_pred and score of every document, from its whole text."""
     ship(docs.sparkSession)
-    ranks = [(lang, {g: i for i, g in enumerate(p)}) for lang, p in sorted(learned.items())]
-
-    def judge(text: str | None) -> tuple[str, float]:
-        words = Counter(LETTERS.findall(text.lower())) if text else None
-        if not words:
-            return UNDETERMINED, 0.0
-        return nearest(ranked(gram_counts(words), size), ranks, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(learned, size)
         for batch in batches:
-            found = [judge(t) for t in batch.column(1).to_pylist()]
+            found = [judge.nearest(t) for t in batch.column(1).to_pylist()]
             yield pa.record_batch(
                 [
                     batch.column(0),
@@ -162,28 +171,21 @@ def identify(docs: DataFrame, learned: dict[str, list[str]], size: int = PROFILE
     )
 
 
-def held_out(divisor: int, remainder: int):
+def held_out(divisor: int, remainder: int) -> Column:
     """Whether a document belongs to the part that no model learns from."""
     code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     return F.coalesce(code % divisor == remainder, F.lit(False))
 
 
-def keep_identified(
-    docs: DataFrame, learned: dict[str, list[str]], least: float = 0.05
-) -> DataFrame:
+def keep_identified(docs: DataFrame, learned: Profiles, least: float = 0.05) -> DataFrame:
     """Documents with a determined language whose score is ``least`` or more, columns unchanged."""
     ship(docs.sparkSession)
-    ranks = [(lang, {g: i for i, g in enumerate(p)}) for lang, p in sorted(learned.items())]
-
-    def fits(text: str | None) -> bool:
-        words = Counter(LETTERS.findall(text.lower())) if text else None
-        if not words:
-            return False
-        lang, score = nearest(ranked(gram_counts(words)), ranks, PROFILE)
-        return lang != UNDETERMINED and score >= least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(learned)
         for batch in batches:
-            yield batch.filter(pa.array([fits(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+            found = [judge.nearest(t) for t in batch.column("text").to_pylist()]
+            fits = [lang != UNDETERMINED and score >= least for lang, score in found]
+            yield batch.filter(pa.array(fits, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
