@@ -49,13 +49,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def without(docs: DataFrame, going: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in ``going``; columns unchanged."""
-    (name,) = fresh(docs, "going_id")
-    going = going.select(F.col("doc_id").alias(name))
-    return docs.join(going, docs["doc_id"].eqNullSafe(going[name]), "left_anti")
-
-
 def word_count(text: Column) -> Column:
     """Number of maximal runs without white space, without building a list of them."""
     dots = F.regexp_replace(text, f"[^{SPACE}]+", "x")
