@@ -1,6 +1,6 @@
 """Money and rounding.
 
-Money sums run on integers (cents, or ten-thousandths for line values), so a
+Money sums run on integers (cents, or fractions of them for line values), so a
 sum does not depend on the order in which shuffled rows arrive, and stays in
 primitive arithmetic.  ANSI mode turns an overflow into an error.
 """
@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unit prices are read to four decimals.
-PRICE_SCALE = 10000
-UNITS_PER_CENT = 100
+# Decimals that unit prices have at most, unless a run says otherwise.
+PRICE_DIGITS = 4
 
 
 def round_half_away(value: Column, digits: int = 2) -> Column:
@@ -24,15 +23,25 @@ def round_half_away(value: Column, digits: int = 2) -> Column:
     return F.when(scaled >= 2.0**53, value).otherwise(rounded)
 
 
-def line_units(unit_price: Column, quantity: Column) -> Column:
-    """Value of an order line in ten-thousandths of the currency, as BIGINT."""
-    return F.rint(unit_price * float(PRICE_SCALE)).cast("bigint") * quantity
+def price_units(unit_price: Column, digits: int = PRICE_DIGITS) -> Column:
+    """A price as a whole number of ``10**-digits``; one with more decimals stops the job."""
+    scaled = unit_price * 10.0**digits
+    whole = F.rint(scaled)
+    fits = F.abs(scaled - whole) <= 1e-6 + 1e-12 * F.abs(scaled)
+    message = F.concat(F.lit(f"price with more than {digits} decimals: "), unit_price.cast("string"))
+    # A NULL price is neither; it stays NULL.
+    return F.when(~fits, F.raise_error(message).cast("bigint")).otherwise(whole.cast("bigint"))
 
 
-def units_to_cents(units: Column) -> Column:
-    """Ten-thousandths to cents, half away from zero, in integer arithmetic."""
-    half = F.lit(UNITS_PER_CENT // 2)
-    whole = F.call_function("div", F.abs(units) + half, F.lit(UNITS_PER_CENT))
+def line_units(unit_price: Column, quantity: Column, digits: int = PRICE_DIGITS) -> Column:
+    """Value of an order line in ``10**-digits`` of the currency, as BIGINT."""
+    return price_units(unit_price, digits) * quantity
+
+
+def units_to_cents(units: Column, digits: int = PRICE_DIGITS) -> Column:
+    """Units of ``10**-digits`` to cents, half away from zero, in integer arithmetic."""
+    per_cent = 10 ** (digits - 2)
+    whole = F.call_function("div", F.abs(units) + F.lit(per_cent // 2), F.lit(per_cent))
     return F.when(units < 0, -whole).otherwise(whole)
 
 

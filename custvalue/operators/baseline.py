@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custvalue.functions.numeric import from_cents, to_cents
+from custvalue.functions.scratch import settle
 from custvalue.operators.features import in_feature_window
 from custvalue.params import ClvParams
 
@@ -29,7 +30,9 @@ def baseline_predictions(cleaned: DataFrame, params: ClvParams) -> DataFrame:
         F.sum(cents).alias("target_cents"),
         F.min("order_date").alias("first_day"),
     )
-    # The first day of all is the least first day; the subquery runs once.
+    # The first day of all is the least first day.  The subquery is a plan of its own, so the
+    # customers are written once and both read them.
+    per_customer = settle(per_customer)
     first = per_customer.agg(F.min("first_day")).scalar()
     feature_days = F.datediff(F.lit(params.threshold_date), first)
     growth = 1 + F.lit(params.time_days) / feature_days

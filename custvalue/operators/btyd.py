@@ -13,14 +13,16 @@ is computed once per point.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import math
+import operator
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custvalue.functions.special import (
-    hyp2f1,
+    dropout_purchases,
     hyp2f1_unit,
     lgamma,
     log1p_exp,
@@ -72,6 +74,12 @@ def _literals(values: dict[str, float]) -> dict[str, Column]:
     return {name: F.lit(value) for name, value in values.items()}
 
 
+def _if_known(value: Column, *inputs: Column) -> Column:
+    """NULL if an input is."""
+    known = functools.reduce(operator.and_, [c.isNotNull() for c in inputs])
+    return F.when(known, value)
+
+
 class _Model:
     """A fitted model: its parameters are the dataclass fields."""
 
@@ -110,23 +118,21 @@ class BgNbd(_Model):
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
         odds = self.a / (self.b + x - 1) * F.pow((self.alpha + T) / (self.alpha + tx), self.r + x)
-        return F.when(x > 0, 1.0 / (1.0 + odds)).otherwise(1.0)
+        alive = F.when(x > 0, 1.0 / (1.0 + odds)).otherwise(1.0)
+        return _if_known(alive, x, tx, T)
 
     def expected_purchases(self, t: float, x: Column, tx: Column, T: Column) -> Column:
-        """Expected purchases in the ``t`` days after ``T``.
-
-        The hypergeometric term is written in its Euler-transformed form, whose
-        first two parameters do not grow with ``x``.
-        """
+        """Expected purchases in the ``t`` days after ``T``."""
         if t == 0:
             return F.lit(0.0)
-        r, alpha, b = self.r, self.alpha, self.b
-        # The formula has a removable singularity at a = 1.
-        a = self.a if abs(self.a - 1) > NEAR_ONE else 1 + NEAR_ONE
-        z = F.lit(float(t)) / (alpha + T + t)
-        series = hyp2f1(F.lit(a + b - 1 - r), F.lit(a - 1), a + b - 1 + x, z)
-        growth = 1.0 - F.pow((alpha + T) / (alpha + T + t), a - 1) * series
-        return (a + b + x - 1) / (a - 1) * growth * self.p_alive(x, tx, T)
+        return self.purchases_if_alive([float(t)], [1.0], x, T) * self.p_alive(x, tx, T)
+
+    def purchases_if_alive(
+        self, times: list[float], weights: list[float], x: Column, T: Column
+    ) -> Column:
+        """Weighted sum of the expected purchases at several times, in one call per row."""
+        kernel = dropout_purchases(self.r, self.alpha, self.a, self.b, times, weights)
+        return kernel(x, T)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -177,7 +183,7 @@ class ParetoNbd(_Model):
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
         odds = self._log_dropout_odds(self.point(), x, tx, T)
-        return F.coalesce(F.exp(-log1p_exp(odds)), F.lit(1.0))
+        return _if_known(F.coalesce(F.exp(-log1p_exp(odds)), F.lit(1.0)), x, tx, T)
 
     def expected_purchases(self, t: float, x: Column, tx: Column, T: Column) -> Column:
         """Expected purchases in the ``t`` days after ``T``."""
@@ -231,20 +237,17 @@ def customer_lifetime_value(
     """
     x, tx, T = (F.col(name) for name in CUSTOMER_COLUMNS)
     discount = [(1 + rate) ** -k for k in range(1, months + 1)] + [0.0]
-    purchases = F.lit(0.0)
-    if isinstance(model, ParetoNbd):
-        parts = [
-            model.purchases_if_alive(DAYS_PER_MONTH * k, x, T) for k in range(1, months + 1)
-        ]
-        alive = model.p_alive(x, tx, T)
+    weights = [now - later for now, later in zip(discount, discount[1:])]
+    times = [float(DAYS_PER_MONTH * k) for k in range(1, months + 1)]
+    if not months:
+        purchases = F.lit(0.0)
+    elif isinstance(model, ParetoNbd):
+        parts = [w * model.purchases_if_alive(t, x, T) for t, w in zip(times, weights)]
+        purchases = functools.reduce(operator.add, parts)
     else:
-        parts = [
-            model.expected_purchases(DAYS_PER_MONTH * k, x, tx, T) for k in range(1, months + 1)
-        ]
-        alive = F.lit(1.0)
-    for k, part in enumerate(parts):
-        purchases = purchases + part * (discount[k] - discount[k + 1])
-    return money.expected_profit(x, F.col("monetary_value")) * purchases * alive
+        purchases = model.purchases_if_alive(times, weights, x, T)
+    profit = money.expected_profit(x, F.col("monetary_value"))
+    return profit * purchases * model.p_alive(x, tx, T)
 
 
 def predict_value(

@@ -6,19 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custvalue.functions.dates import day_text, parse_day
-from custvalue.functions.numeric import from_cents, line_units, units_to_cents
+from custvalue.functions.numeric import PRICE_DIGITS, from_cents, line_units, units_to_cents
 from custvalue.params import ClvParams
 
 
-def line_value(source: DataFrame) -> DataFrame:
+def line_value(source: DataFrame, price_digits: int = PRICE_DIGITS) -> DataFrame:
     """Value of each order line."""
-    units = line_units(F.col("UnitPrice"), F.col("Quantity"))
+    units = line_units(F.col("UnitPrice"), F.col("Quantity"), price_digits)
     return source.select(
         F.col("InvoiceNo").alias("invoice_no"),
         F.col("StockCode").alias("stock_code"),
         F.col("CustomerID").alias("customer_id"),
         F.col("Quantity").alias("quantity"),
-        (units / F.lit(10000.0)).alias("line_value"),
+        (units / F.lit(10.0**price_digits)).alias("line_value"),
     )
 
 
@@ -31,6 +31,7 @@ def daily_units(source: DataFrame, params: ClvParams) -> DataFrame:
     dates; it and later steps by customer share one exchange, in which a
     customer has at most one row per way of writing a day.
     """
+    units = line_units(F.col("UnitPrice"), F.col("Quantity"), params.price_digits)
     by_text = (
         source.where(F.col("CustomerID").isNotNull())
         .groupBy(
@@ -38,7 +39,7 @@ def daily_units(source: DataFrame, params: ClvParams) -> DataFrame:
             day_text(F.col("InvoiceDate")).alias("day_text"),
         )
         .agg(
-            F.sum(line_units(F.col("UnitPrice"), F.col("Quantity"))).alias("units"),
+            F.sum(units).alias("units"),
             F.sum("Quantity").alias("qty"),
         )
     )
@@ -52,18 +53,18 @@ def daily_units(source: DataFrame, params: ClvParams) -> DataFrame:
     )
 
 
-def _as_orders(units: DataFrame) -> DataFrame:
+def _as_orders(units: DataFrame, params: ClvParams) -> DataFrame:
     return units.select(
         "customer_id",
         "order_date",
-        from_cents(units_to_cents(F.col("units"))).alias("order_value"),
+        from_cents(units_to_cents(F.col("units"), params.price_digits)).alias("order_value"),
         "order_qty_articles",
     )
 
 
 def daily_orders(source: DataFrame, params: ClvParams) -> DataFrame:
     """One row per customer and day: value rounded to cents, and article count."""
-    return _as_orders(daily_units(source, params))
+    return _as_orders(daily_units(source, params), params)
 
 
 def latest_order(daily: DataFrame) -> DataFrame:
@@ -128,6 +129,6 @@ def clean_orders(source: DataFrame, params: ClvParams) -> DataFrame:
         )
         .where(is_recently_active(F.col("latest_order"), params))
         .where(F.col("positive_days") > 1)
-        .transform(_as_orders)
+        .transform(_as_orders, params)
         .where(is_sign_consistent())
     )

@@ -7,25 +7,32 @@ from pyspark.sql import functions as F
 
 from custvalue.functions.dates import parse_moment
 from custvalue.functions.hashing import hash_bucket
-from custvalue.functions.numeric import from_cents, to_cents
+from custvalue.functions.numeric import from_cents, price_units, to_cents
 
 SAMPLE_KEY = ("InvoiceNo", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID")
 
 
-def first_moment(source: DataFrame) -> DataFrame:
+def first_moment(source: DataFrame, bad_dates: str = "fail") -> DataFrame:
     """One row with the first and last invoice moment.
 
     Dates repeat over very many lines, so distinct texts are parsed, not lines.
     """
     texts = source.select("InvoiceDate").distinct()
-    moment = parse_moment(F.col("InvoiceDate"))
+    moment = parse_moment(F.col("InvoiceDate"), strict=bad_dates == "fail")
     return texts.agg(F.min(moment).alias("mind"), F.max(moment).alias("maxd"))
 
 
-def day_number(source: DataFrame) -> DataFrame:
-    """Raw rows with the number of calendar days since the first transaction."""
-    first = F.to_date(first_moment(source).select("mind").scalar())
-    day = F.to_date(parse_moment(F.col("InvoiceDate")))
+def day_number(
+    source: DataFrame, dates: DataFrame | None = None, bad_dates: str = "fail"
+) -> DataFrame:
+    """Raw rows with the number of calendar days since the first transaction.
+
+    ``dates`` is a frame of the same lines that reads little more than the date; the first
+    day is taken from it.  With ``bad_dates="null"`` a line whose date is unreadable has none.
+    """
+    moments = first_moment(source if dates is None else dates, bad_dates)
+    first = F.to_date(moments.select("mind").scalar())
+    day = F.to_date(parse_moment(F.col("InvoiceDate"), strict=bad_dates == "fail"))
     return source.select(F.datediff(day, first).cast("bigint").alias("day_number"), "*")
 
 
@@ -36,7 +43,9 @@ def sample(source: DataFrame, one_in: int = 50) -> DataFrame:
     """
     if one_in < 2:
         raise ValueError("one_in must be 2 or more")
-    price = F.col("UnitPrice").cast("decimal(18,4)")
+    price = F.col("UnitPrice")
+    # A price that four decimals cannot hold stops the job here as well.
+    price = F.when(price_units(price).isNotNull(), price.cast("decimal(18,4)"))
     parts = [price if c == "UnitPrice" else F.col(c) for c in SAMPLE_KEY]
     text = F.concat(*[p.cast("string") for p in parts])
     return source.where(hash_bucket(text, one_in) == 1)

@@ -6,6 +6,8 @@ count is therefore a count of distinct days.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,8 @@ def _per_customer(cleaned: DataFrame, params: ClvParams) -> DataFrame:
             F.count_if(inside & (F.col("order_value") < 1)).alias("cnt_returns"),
             F.sum(F.when(wanted, cents)).alias("target_cents"),
         )
-        .where(F.col("cnt_orders") > 0)
+        # Only customers with both features and a target, as the inner join of the two gives.
+        .where((F.col("cnt_orders") > 0) & F.col("target_cents").isNotNull())
     )
 
 
@@ -84,7 +87,8 @@ def _rfm_columns(params: ClvParams) -> dict[str, Column]:
 def features_rfm(cleaned: DataFrame, params: ClvParams) -> DataFrame:
     """Features from days up to and including the threshold, before rounding and filters."""
     columns = _rfm_columns(params)
-    return _per_customer(cleaned, params).select(*[c.alias(n) for n, c in columns.items()])
+    whole = dataclasses.replace(params, target_window="all")  # the target plays no part here
+    return _per_customer(cleaned, whole).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def clip(value: Column, bound: float, otherwise: Column | None = None) -> Column:

@@ -6,11 +6,11 @@ import dataclasses
 import functools
 import operator
 
-from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custvalue.functions.hashing import hash_bucket
+from custvalue.functions.hashing import hash_bucket_sql
 from custvalue.sources import schemas
 
 # Numeric model inputs and the categorical one with its vocabulary.
@@ -42,13 +42,19 @@ def one_hot(name: str, values: tuple) -> dict[str, Column]:
 
 
 def as_category(df: DataFrame, name: str, out: str) -> DataFrame:
-    """Treat a column of few distinct values as a category, numbered from the most frequent.
+    """Treat a column as a category, numbered from the most frequent value; ties in text order.
 
-    Ties are in text order.  The distinct values become part of the plan, so this
-    is for short lists such as flags and small counts.
+    The values are counted into a dictionary and joined back; none comes to the driver.  A NULL
+    has no number.
     """
-    indexer = StringIndexer(inputCol=name, outputCol=out, stringOrderType="frequencyDesc")
-    return indexer.fit(df).transform(df).withColumn(out, F.col(out).cast("int"))
+    order = Window.orderBy(F.desc("n"), F.col(name).cast("string"))
+    dictionary = (
+        df.where(F.col(name).isNotNull())
+        .groupBy(name)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(name, (F.row_number().over(order) - 1).cast("int").alias(out))
+    )
+    return df.join(dictionary, name, "left").select(*df.columns, out)
 
 
 def bucketize(df: DataFrame, name: str, boundaries: list[float], out: str) -> DataFrame:
@@ -91,22 +97,34 @@ def _cells(keys: list[CrossKey]) -> int:
     return functools.reduce(operator.mul, (key.buckets for key in keys), 1)
 
 
-def crossed(df: DataFrame, keys: list[CrossKey], out: str) -> DataFrame:
-    """Hash bucket of the combined keys; NULL if a key is out of its range."""
-    parts = []
-    for key in keys:
-        if key.name in NUMERICS and key.boundaries is not None:
-            df = bucketize(df, key.name, list(key.boundaries), f"_{key.name}_bin")
-            parts.append(F.col(f"_{key.name}_bin"))
-        elif key.name in NUMERICS:
-            parts.append(identity_index(F.col(key.name), key.buckets))
-        else:
-            parts.append(F.col(key.name))
+def _key_sql(key: CrossKey) -> str:
+    """Text of one key: its bin, its known value, or the value as it is."""
+    if key.name in NUMERICS and key.boundaries is not None:
+        bins = "".join(f" WHEN {key.name} < {edge!r}D THEN {i}" for i, edge in enumerate(map(float, key.boundaries)))
+        return f"CASE WHEN {key.name} IS NULL THEN NULL{bins} ELSE {len(key.boundaries)} END"
+    if key.name in NUMERICS:
+        whole = f"CAST({key.name} AS BIGINT)"
+        return f"CASE WHEN {whole} >= 0 AND {whole} < {key.buckets} THEN {whole} END"
+    return key.name
+
+
+def cross_stage(keys: list[CrossKey], out: str, dense: bool = False) -> SQLTransformer:
+    """Stage that adds the slot of a cross; NULL if a key is out of its range.
+
+    The combined keys are hashed into ``cross_size`` slots, and those into the dense width if
+    that is asked for.  Models save this very stage.
+    """
     # concat with separators, not concat_ws, so that a missing key gives NULL.
-    texts = [p.cast("string") for p in parts]
-    joined = functools.reduce(lambda a, b: F.concat(a, F.lit("_X_"), b), texts)
-    helpers = [c for c in df.columns if c.startswith("_") and c.endswith("_bin")]
-    return df.withColumn(out, hash_bucket(joined, cross_size(keys))).drop(*helpers)
+    texts = [f"CAST({_key_sql(key)} AS STRING)" for key in keys]
+    slot = hash_bucket_sql(f"concat({', \'_X_\', '.join(texts)})", cross_size(keys))
+    if dense:
+        slot = hash_bucket_sql(f"CAST({slot} AS STRING)", cross_dimension(keys))
+    return SQLTransformer(statement=f"SELECT *, {slot} AS {out} FROM __THIS__")
+
+
+def crossed(df: DataFrame, keys: list[CrossKey], out: str, dense: bool = False) -> DataFrame:
+    """Add the slot of the combined keys."""
+    return cross_stage(keys, out, dense).transform(df)
 
 
 def deep_columns(with_continuous: bool = True) -> list[str]:

@@ -31,8 +31,8 @@ def r2(prediction: str, label: str) -> Column:
 def evaluation_report(
     scored: DataFrame, prediction: str, label: str, by: list[str] | None = None
 ) -> DataFrame:
-    """Row count, RMSE, MSE, MAE and R2, overall or per group."""
-    return scored.groupBy(*(by or [])).agg(
+    """Row count, RMSE, MSE, MAE and R2, overall or per group, of the rows with a known label."""
+    return scored.where(F.col(label).isNotNull()).groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("n"),
         rmse(prediction, label).alias("rmse"),
         mse(prediction, label).alias("mse"),

@@ -1,4 +1,4 @@
-"""Exact distribution summaries of discrete columns (counts, days, money in cents)."""
+"""Exact distribution summaries of numeric columns."""
 
 from __future__ import annotations
 
@@ -8,24 +8,48 @@ import operator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from custvalue.functions.scratch import settle
 
 # Values per block, and blocks per superblock, of the rank search.
 BLOCK_BITS = 20
+# The smallest double in normal form.
+SMALLEST = 2.0**-1022
 
 
-def value_counts(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
-    """Distinct values as integers of ``10**-digits``, with their row counts."""
-    value = F.col(column)
-    units = F.rint(value * 10.0**digits).cast("bigint") if digits else value.cast("bigint")
+def ordered_key(value: Column) -> Column:
+    """A BIGINT that grows with a double and differs for different ones.
+
+    It is the exponent and fraction of the number, as its binary form holds them; numbers too
+    small for a normal form (below 2.3e-308) count as zero.
+    """
+    size = F.abs(value)
+    rough = F.floor(F.log2(size))
+    part = size / F.pow(F.lit(2.0), rough)
+    # The logarithm may round across a power of two.
+    exponent = rough + F.when(part >= 2, 1).when(part < 1, -1).otherwise(0)
+    fraction = ((size / F.pow(F.lit(2.0), exponent)) - 1) * 2.0**52
+    key = (exponent + 1023).cast("bigint") * F.lit(1 << 52) + fraction.cast("bigint")
     return (
-        df.where(value.isNotNull())
-        .groupBy(units.alias("u"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        F.when(size < SMALLEST, 0).when(value > 0, key + 1).otherwise(-key - 1).cast("bigint")
     )
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values ``v`` with their row counts ``n`` and a key ``u`` in their order.
+
+    Whole numbers are their own keys, so none is rounded; others are taken as doubles. NaN is
+    no value, as NULL is none.
+    """
+    whole = isinstance(df.schema[column].dataType, T.IntegralType)
+    value = F.col(column) if whole else F.col(column).cast("double") + 0.0
+    known = value.isNotNull() if whole else value.isNotNull() & ~F.isnan(value)
+    key = F.col("v").cast("bigint") if whole else ordered_key(F.col("v"))
+    counts = df.where(known).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("u", key)
+
+
 def _start(counts: DataFrame, by: list[str], order: str) -> DataFrame:
     """Add ``start``: the number of rows before each group, within ``by``."""
     window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -54,7 +78,7 @@ def _wanted_blocks(counts: DataFrame, ranks: set[int]) -> list[tuple[int, int]]:
 
 
 def _at_rank(counts: DataFrame, fractions: list[float], total: int | None) -> DataFrame:
-    """Value around position ``q * (total - 1)`` for each fraction: ``q, share, u_low, u_high``."""
+    """Value around position ``q * (total - 1)`` for each fraction: ``q, share, v_low, v_high``."""
     places = [q * (total - 1) for q in fractions] if total else []
     ranks = {math.floor(p) for p in places} | {math.ceil(p) for p in places}
     found = _wanted_blocks(counts, ranks) if total else []
@@ -80,75 +104,71 @@ def _at_rank(counts: DataFrame, fractions: list[float], total: int | None) -> Da
 
     return (
         _start(near, ["block"], "u")
-        .select("u", low.alias("low"), high.alias("high"))
+        .select("v", low.alias("low"), high.alias("high"))
         .select("*", F.inline(wanted))
         .groupBy("q", "share")
         .agg(
-            F.max(F.when(holds("lo"), F.col("u"))).alias("u_low"),
-            F.max(F.when(holds("hi"), F.col("u"))).alias("u_high"),
+            F.max(F.when(holds("lo"), F.col("v"))).cast("double").alias("v_low"),
+            F.max(F.when(holds("hi"), F.col("v"))).cast("double").alias("v_high"),
         )
     )
 
 
-def quantiles(df: DataFrame, column: str, fractions: list[float], digits: int = 0) -> DataFrame:
+def quantiles(df: DataFrame, column: str, fractions: list[float]) -> DataFrame:
     """Linearly interpolated quantiles as rows ``(q, value)``, exact at any size."""
-    counts = settle(value_counts(df, column, digits))
+    counts = settle(value_counts(df, column))
     ranks = _at_rank(counts, fractions, counts.agg(F.sum("n")).first()[0])
-    return ranks.select("q", _between(digits).alias("value"))
+    return ranks.select("q", _between().alias("value"))
 
 
-def _between(digits: int) -> Column:
-    low = F.col("u_low") / F.lit(10.0**digits)
-    high = F.col("u_high") / F.lit(10.0**digits)
-    return low + (high - low) * F.col("share")
+def _between() -> Column:
+    return F.col("v_low") + (F.col("v_high") - F.col("v_low")) * F.col("share")
 
 
-def describe(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, std (sample), min, quartiles and max of a column.
 
     The distinct values are written once, as several small aggregates read them.
     """
-    counts = settle(value_counts(df, column, digits))
-    scale = 10.0**digits
-    total = F.sum(F.col("u").cast("decimal(19,0)") * F.col("n"))
+    counts = settle(value_counts(df, column))
+    whole = isinstance(counts.schema["v"].dataType, T.IntegralType)
+    # Whole numbers are added without rounding, whatever their order.
+    weighted = F.col("v").cast("decimal(19,0)") * F.col("n") if whole else F.col("v") * F.col("n")
     head = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        total.alias("total"),
-        F.min("u").alias("low"),
-        F.max("u").alias("high"),
+        F.sum(weighted).alias("total"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
     ).first()
     mean = float(head.total / head.rows) if head.rows else None
 
-    def scaled(value: float | None) -> Column:
-        return F.lit(None if value is None else value / scale).cast("double")
+    def known(value: float | None) -> Column:
+        return F.lit(None if value is None else float(value)).cast("double")
 
     fractions = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     ranks = _at_rank(counts, list(fractions.values()), head.rows)
-    quartiles = ranks.select("q", _between(digits).alias("v")).agg(
+    quartiles = ranks.select("q", _between().alias("v")).agg(
         *[F.max(F.when(F.col("q") == q, F.col("v"))).alias(name) for name, q in fractions.items()]
     )
-    spread = F.sum(F.col("n") * F.pow(F.col("u") - F.lit(mean), 2))
+    spread = F.sum(F.col("n") * F.pow(F.col("v") - known(mean), 2))
     return (
         counts.agg(F.sqrt(F.try_divide(spread, F.lit(head.rows - 1))).alias("std"))
         .withColumn("q", quartiles.select(F.struct(*fractions)).scalar())
         .select(
             F.lit(head.rows).cast("bigint").alias("count"),
-            scaled(mean).alias("mean"),
-            (F.col("std") / scale).cast("double").alias("std"),
-            scaled(head.low).alias("min"),
+            known(mean).alias("mean"),
+            F.col("std").cast("double").alias("std"),
+            known(head.low).alias("min"),
             *[F.col(f"q.{name}").alias(name) for name in fractions],
-            scaled(head.high).alias("max"),
+            known(head.high).alias("max"),
         )
     )
 
 
-def describe_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    """``describe`` of several columns, one row each; ``digits`` gives their decimals."""
-    source = settle(df.select(*digits))
-    rows = [
-        describe(source, name, places).select(F.lit(name).alias("column"), "*")
-        for name, places in digits.items()
-    ]
+def describe_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """``describe`` of several columns, one row each."""
+    source = settle(df.select(*names))
+    rows = [describe(source, name).select(F.lit(name).alias("column"), "*") for name in names]
     return functools.reduce(DataFrame.unionByName, rows)
 
 
@@ -181,9 +201,11 @@ def density(
         (F.col("bin_start") + width / 2).alias("x"), "n"
     )
     n = F.sum("n")
-    mean = F.sum(F.col("x") * F.col("n")) / n
-    mean_sq = F.sum(F.col("x") * F.col("x") * F.col("n")) / n
-    std = F.sqrt((mean_sq - mean * mean) * n / (n - 1))
+    # The bins are few; they are written once for the three passes over them.
+    bins = settle(bins)
+    middle = bins.agg((F.sum(F.col("x") * F.col("n")) / n).alias("m")).first()["m"]
+    apart = F.col("x") - F.lit(middle).cast("double")
+    std = F.sqrt(F.sum(apart * apart * F.col("n")) / (n - 1))
     rule = bins.agg(F.struct(n.alias("rows"), (std * F.pow(n, -0.2)).alias("h"))).scalar()
     step = (high - low) / (points - 1)
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))

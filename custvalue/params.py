@@ -24,6 +24,8 @@ class ClvParams:
     target_window: str = "all"
     # "fail": an unreadable invoice date stops the job; "null": the line is left out.
     bad_dates: str = "fail"
+    # Decimals of a unit price, 2 or more; a price with more stops the job.
+    price_digits: int = 4
     # Caps, bounds of the split buckets, monthly discount, penalty.
     freq_clip: int = 600
     money_clip: float = 100000.0
@@ -42,6 +44,8 @@ class ClvParams:
                 raise TypeError(f"{name} must be a date or 'YYYY-mm-dd' text, got {value!r}")
         if self.target_window not in ("all", "after"):
             raise ValueError(f"target_window must be 'all' or 'after', got {self.target_window!r}")
+        if self.price_digits < 2:
+            raise ValueError(f"price_digits must be 2 or more, got {self.price_digits!r}")
         if self.bad_dates not in ("fail", "null"):
             raise ValueError(f"bad_dates must be 'fail' or 'null', got {self.bad_dates!r}")
 

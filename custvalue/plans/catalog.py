@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custvalue.functions import hashing
 from custvalue.functions.numeric import round_half_away
 from custvalue.functions.scratch import scratch_path, settle
 from custvalue.operators import (
@@ -147,6 +147,61 @@ def scoring_input(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_scoring(spark, path)
 
 
+@query
+def scoring_header(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "scoring")
+    rows = _features(spark, folder).select(*schemas.SCORING.fieldNames())
+    sinks.write_csv(rows, path, header=True)
+    return readers.read_scoring(spark, path, header=True)
+
+
+@query
+def scoring_ndjson(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "scoring")
+    rows = _features(spark, folder).select(*schemas.SCORING.fieldNames())
+    sinks.write_json(rows, path)
+    return readers.read_scoring(spark, path, fmt="json")
+
+
+def _table_name(label: str) -> str:
+    """A name that no other run uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
+@query
+def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Features as a catalog table, read by its name and by SQL text with a parameter."""
+    name = _table_name("features")
+    sinks.write_table(_features(spark, folder), name)
+    few = readers.query(
+        spark, "SELECT * FROM IDENTIFIER(:name) WHERE frequency_dnn <= :most", name=name, most=9
+    )
+    return few.unionByName(readers.read_table(spark, name).where("frequency_dnn > 9"))
+
+
+@query
+def predictions_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions loaded from their shards into a table that is replaced."""
+    name = _table_name("predictions")
+    loaded = predictions_load(spark, folder)
+    sinks.write_table(loaded.limit(0), name)
+    sinks.write_table(loaded, name)
+    return readers.read_table(spark, name)
+
+
+@query
+def shard_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of prediction shards and of the names they are listed by."""
+    path = scratch_path(spark, "predictions")
+    rows = _predictions(spark, folder).select("customer_id", "predicted_monetary")
+    sinks.write_json(rows.repartition(3, "customer_id"), path)
+    names = readers.shard_names(spark.read.text(path))
+    known = names.where(F.col("file_path").contains("/predictions-"))
+    return known.agg(
+        F.count(F.lit(1)).alias("shards"), F.countDistinct("file_path").alias("names")
+    )
+
+
 @query
 def predictions_json(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "predictions")
@@ -269,6 +324,12 @@ def features_n_target(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder)
 
 
+@query
+def features_after(spark: SparkSession, folder: str) -> DataFrame:
+    """Features whose target counts later orders only; customers without one are left out."""
+    return features.features_n_target(_cleaned(spark, folder), AFTER)
+
+
 @query
 def features_clipped(spark: SparkSession, folder: str) -> DataFrame:
     clipped = ("frequency_btyd_clipped", "monetary_btyd_clipped", "target_monetary_clipped")
@@ -359,12 +420,12 @@ def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def explore_day_number(spark: SparkSession, folder: str) -> DataFrame:
-    return explore.day_number(_all_lines(spark, folder))
+    return explore.day_number(_all_lines(spark, folder), _lines(spark, folder))
 
 
 @query
 def explore_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return explore.sample(explore.day_number(_all_lines(spark, folder)))
+    return explore.sample(explore_day_number(spark, folder))
 
 
 @query
@@ -397,15 +458,15 @@ def explore_head(spark: SparkSession, folder: str) -> DataFrame:
     return explore.head(explore_monetary(spark, folder))
 
 
-def _profile(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
+def _profile(df: DataFrame, column: str) -> DataFrame:
     return _rounded(
-        profile.describe(df, column, digits), 6, "mean", "std", "min", "p25", "p50", "p75", "max"
+        profile.describe(df, column), 6, "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
 
 @query
 def profile_monetary(spark: SparkSession, folder: str) -> DataFrame:
-    return _profile(explore_monetary(spark, folder), "monetary", digits=2)
+    return _profile(explore_monetary(spark, folder), "monetary")
 
 
 @query
@@ -421,22 +482,28 @@ def profile_recency(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def profile_sample(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of the numeric columns of the sampled lines."""
-    digits = {"day_number": 0, "Quantity": 0, "UnitPrice": 4}
-    table = profile.describe_columns(explore_sample(spark, folder), digits)
+    names = ["day_number", "Quantity", "UnitPrice"]
+    table = profile.describe_columns(explore_sample(spark, folder), names)
     return _rounded(table, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 @query
 def profile_unit_price(spark: SparkSession, folder: str) -> DataFrame:
     prices = transactions_from_star(spark, folder, ("UnitPrice",))
-    return _profile(prices, "UnitPrice", digits=4)
+    return _profile(prices, "UnitPrice")
+
+
+@query
+def profile_continuous(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of an unrounded ratio: mean value per article of a day."""
+    ratio = F.col("order_value") / F.col("order_qty_articles")
+    return _profile(_daily(spark, folder).where("order_qty_articles <> 0").select(ratio.alias("ratio")), "ratio")
 
 
 @query
 def profile_quantity(spark: SparkSession, folder: str) -> DataFrame:
-    """Summary of the quantities within the limits of the plot."""
-    quantities = transactions_from_star(spark, folder, ("Quantity",))
-    return _profile(profile.limited(quantities, "Quantity", -40, 40), "Quantity")
+    """Summary of all quantities."""
+    return _profile(transactions_from_star(spark, folder, ("Quantity",)), "Quantity")
 
 
 @query
@@ -506,11 +573,9 @@ def feat_crossed(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def feat_cross_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Slot of each cross in its dense form."""
-    width = featurize.cross_dimension(CROSS)
-    slot = hashing.hash_bucket(F.col("crossed"), width)
-    return feat_crossed(spark, folder).select(
-        "customer_id", slot.alias("slot"), F.lit(width).cast("bigint").alias("width")
-    )
+    width = F.lit(featurize.cross_dimension(CROSS)).cast("bigint")
+    rows = featurize.crossed(_features(spark, folder), CROSS, "slot", dense=True)
+    return rows.select("customer_id", "slot", width.alias("width"))
 
 
 # Regression models
@@ -570,7 +635,15 @@ def fit_factorization(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fit_gbt_mae(spark: SparkSession, folder: str) -> DataFrame:
-    return _report(spark, folder, models.ABSOLUTE_ERROR)
+    """Trees with absolute loss at the settings whose saved trial has the least MAE."""
+    labelled = _labelled(spark, folder)
+    path = scratch_path(spark, "tree-trials")
+    best, trials = tune.tune(
+        models.ABSOLUTE_ERROR, labelled, tune.TREE_SPACE, 4, metric="mae", folder=path
+    )
+    model = models.fit_model(models.ABSOLUTE_ERROR, labelled.where("split = 'train'"), best)
+    least = trials.agg(F.min("mae")).scalar().alias("least_trial_mae")
+    return models.evaluate_splits(model, labelled).select("*", least)
 
 
 @query
@@ -579,6 +652,31 @@ def tune_linear(spark: SparkSession, folder: str) -> DataFrame:
     return tune.tune(models.LEAST_SQUARES, labelled, tune.LINEAR_SPACE, trials=6)[1]
 
 
+@query
+def trials_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Trial numbers and settings as they were drawn, from the saved table and models."""
+    labelled = _labelled(spark, folder)
+    path = scratch_path(spark, "trials")
+    _, table = tune.tune(models.WIDE, labelled, {"l2": tune.Choice((0.5,))}, 3, folder=path)
+    newest = sinks.latest_version(spark, f"{path}/models").first()["version"]
+    return table.select("trial", "l2", F.lit(newest).cast("int").alias("last_model"))
+
+
+@query
+def score_serve(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities from a model that was fitted, saved, and loaded as the newest version."""
+    labelled = _labelled(spark, folder)
+    base = scratch_path(spark, "export")
+    model = models.fit_model(models.WIDE, labelled.where("split = 'train'"))
+    for version in (9, 10):
+        models.save_version(model, base, version)
+    scored = models.score(models.load_latest(spark, base), labelled)
+    path = scratch_path(spark, "predictions")
+    rows = _rounded(scored, 2, models.PREDICTION).select("customer_id", models.PREDICTION)
+    sinks.write_json(rows, path)
+    return serve.good_entities(serve.prediction_lines(readers.read_predictions(spark, path)))
+
+
 # Repeat-purchase models
 
 
@@ -660,6 +758,14 @@ def btyd_clv(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rows, 4, "clv")
 
 
+@query
+def btyd_clv_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Lifetime value over ten years."""
+    value = btyd.customer_lifetime_value(BG_NBD, GAMMA_GAMMA, 120, PARAMS.discount_rate)
+    rows = _summary(spark, folder).select("customer_id", value.alias("clv"))
+    return _rounded(rows, 2, "clv")
+
+
 @query
 def btyd_error(spark: SparkSession, folder: str) -> DataFrame:
     rows = btyd.predict_value(_features(spark, folder), PARETO_NBD, GAMMA_GAMMA, PARAMS)
@@ -667,30 +773,35 @@ def btyd_error(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rows, 4, *measured)
 
 
-def _fitted(spark: SparkSession, model, objective: float, rows: DataFrame) -> DataFrame:
-    """Parameters and objective beside the number of customers they come from."""
-    values = [f"{value!r} AS {name}" for name, value in model.values().items()]
+def _fitted(found: fit.Fit, rows: DataFrame) -> DataFrame:
+    """Parameters, objective and outcome beside the number of customers they come from."""
+    values = [f"{value!r} AS {name}" for name, value in found.model.values().items()]
     return rows.agg(F.count(F.lit(1)).alias("customers")).selectExpr(
-        "customers", *values, f"{objective!r} AS objective"
+        "customers",
+        *values,
+        f"{found.objective!r} AS objective",
+        f"'{found.status}' AS status",
+        f"{found.gradient_norm!r} AS gradient_norm",
+        f"{found.rounds} AS rounds",
     )
 
 
 @query
 def fit_bgnbd(spark: SparkSession, folder: str) -> DataFrame:
     rows = _summary(spark, folder)
-    return _fitted(spark, *fit.fit_bgnbd(rows, PARAMS), rows)
+    return _fitted(fit.fit_bgnbd(rows, PARAMS), rows)
 
 
 @query
 def fit_paretonbd(spark: SparkSession, folder: str) -> DataFrame:
     rows = _summary(spark, folder)
-    return _fitted(spark, *fit.fit_paretonbd(rows, PARAMS), rows)
+    return _fitted(fit.fit_paretonbd(rows, PARAMS), rows)
 
 
 @query
 def fit_gamma_gamma(spark: SparkSession, folder: str) -> DataFrame:
     rows = _summary(spark, folder)
-    return _fitted(spark, *fit.fit_gamma_gamma(rows), rows)
+    return _fitted(fit.fit_gamma_gamma(rows), rows)
 
 
 @query

@@ -12,6 +12,7 @@ import itertools
 import json
 import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +27,9 @@ OLDEST = 10.0
 STEP = 1e-3
 LINE_SEARCH = (2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 LONGEST_MOVE = 2.0
+ROUNDS = 50
+# Beyond this logarithm of a (scaled) parameter the data says nothing more about it.
+EDGE = 9.0
 
 
 def compress(summary: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -33,6 +37,36 @@ def compress(summary: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return summary.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+class NotConverged(RuntimeError):
+    """A fit that ended without a minimum."""
+
+
+@dataclasses.dataclass(frozen=True)
+class Descent:
+    """Where a descent ended.
+
+    ``status`` is "converged"; "boundary" if the objective no longer changes but a parameter
+    has run off; "stalled" if no step from a sloping point was better; or "rounds" if they
+    were used up.
+    """
+
+    point: np.ndarray
+    value: float
+    status: str
+    gradient_norm: float
+    rounds: int
+
+
+class Fit(NamedTuple):
+    """A fitted model, its penalised objective, and how the descent ended."""
+
+    model: object
+    objective: float
+    status: str
+    gradient_norm: float
+    rounds: int
+
+
 class Objective:
     """Mean log-likelihood of a model over compressed inputs, for a batch of points per job.
 
@@ -86,14 +120,19 @@ def minimise(
     evaluate: Callable[[np.ndarray], np.ndarray],
     start: np.ndarray,
     tolerance: float = 1e-6,
-    rounds: int = 50,
-) -> tuple[np.ndarray, float]:
-    """Newton descent; a round scores shorter steps and the next point's surroundings at once."""
+    rounds: int = ROUNDS,
+) -> Descent:
+    """Newton descent; a round scores shorter steps and the next point's surroundings at once.
+
+    It has converged if a round gains less than ``tolerance`` (relative), or none of its points
+    is better and the gradient is below the square root of that.
+    """
     size = len(start)
     offsets = _offsets(size)
     point = np.asarray(start, dtype=float)
     values = evaluate(point + offsets)
-    for _ in range(rounds):
+    status, done = "rounds", 0
+    for done in range(1, rounds + 1):
         gradient, hessian = _derivatives(values, size)
         bends, axes = np.linalg.eigh(hessian)
         bends = np.maximum(np.abs(bends), 1e-6 * max(np.abs(bends).max(), 1e-6))
@@ -106,6 +145,8 @@ def minimise(
         best = int(np.argmin(others))
         gain = values[0] - min(full[0], others[best])
         if gain <= 0:
+            flat = np.linalg.norm(gradient) <= math.sqrt(tolerance) * (1 + abs(values[0]))
+            status = "converged" if flat else "stalled"
             break
         if full[0] <= others[best] and np.isfinite(full).all():
             point, values = point + move, full
@@ -113,13 +154,17 @@ def minimise(
             point = tries[best]
             values = evaluate(point + offsets)
         if gain < tolerance * (1 + abs(values[0])):
+            status = "converged"
             break
-    return point, float(values[0])
+    gradient, _ = _derivatives(values, size)
+    if status == "converged" and np.abs(point).max() > EDGE:
+        status = "boundary"
+    return Descent(point, float(values[0]), status, float(np.linalg.norm(gradient)), done)
 
 
 def _fit(
-    inputs: DataFrame, model: type, names: tuple[str, ...], penalizer: float
-) -> tuple[dict[str, float], float]:
+    inputs: DataFrame, model: type, names: tuple[str, ...], penalizer: float, rounds: int
+) -> tuple[dict[str, float], Descent]:
     """Parameters that minimise mean negative log-likelihood plus an L2 penalty."""
 
     objective = Objective(inputs, model)
@@ -133,13 +178,18 @@ def _fit(
     # Cached copies lost with an executor are read again from the settled table.
     inputs.persist()
     try:
-        logs, value = minimise(evaluate, np.zeros(len(names)))
+        found = minimise(evaluate, np.zeros(len(names)), rounds=rounds)
     finally:
         inputs.unpersist()
-    return dict(zip(names, map(float, np.exp(logs)))), value
+    if found.status not in ("converged", "boundary"):
+        raise NotConverged(
+            f"{model.__name__}: {found.status} after {found.rounds} rounds, "
+            f"gradient norm {found.gradient_norm:.3g}"
+        )
+    return dict(zip(names, map(float, np.exp(found.point)))), found
 
 
-def _fit_timed(summary: DataFrame, model: type, params: ClvParams) -> tuple[object, float]:
+def _fit_timed(summary: DataFrame, model: type, params: ClvParams, rounds: int) -> Fit:
     inputs = settle(compress(summary, model.inputs))
     oldest = inputs.agg(F.max("T")).first()[0]
     if not oldest:
@@ -147,28 +197,40 @@ def _fit_timed(summary: DataFrame, model: type, params: ClvParams) -> tuple[obje
     scale = OLDEST / oldest
     scaled = inputs.select("n", "frequency", *[(F.col(c) * scale).alias(c) for c in ("recency", "T")])
     names = tuple(f.name for f in dataclasses.fields(model))
-    found, value = _fit(scaled, model, names, params.penalizer)
-    rescaled = {k: v / scale if k in model.time_parameters else v for k, v in found.items()}
-    return model(**rescaled), value
+    values, found = _fit(scaled, model, names, params.penalizer, rounds)
+    rescaled = {k: v / scale if k in model.time_parameters else v for k, v in values.items()}
+    return Fit(model(**rescaled), found.value, found.status, found.gradient_norm, found.rounds)
+
 
+def fit_bgnbd(summary: DataFrame, params: ClvParams, rounds: int = ROUNDS) -> Fit:
+    """BG/NBD and its penalised objective, on ages scaled as above; raises if not converged."""
+    return _fit_timed(summary, BgNbd, params, rounds)
 
-def fit_bgnbd(summary: DataFrame, params: ClvParams) -> tuple[BgNbd, float]:
-    """BG/NBD and its penalised objective, on ages scaled as above."""
-    return _fit_timed(summary, BgNbd, params)
 
+def fit_paretonbd(summary: DataFrame, params: ClvParams, rounds: int = ROUNDS) -> Fit:
+    """Pareto/NBD and its penalised objective, on ages scaled as above; raises if not converged."""
+    return _fit_timed(summary, ParetoNbd, params, rounds)
 
-def fit_paretonbd(summary: DataFrame, params: ClvParams) -> tuple[ParetoNbd, float]:
-    """Pareto/NBD and its penalised objective, on ages scaled as above."""
-    return _fit_timed(summary, ParetoNbd, params)
 
+def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.0, rounds: int = ROUNDS) -> Fit:
+    """Gamma-Gamma on repeat customers; money is scaled by its mean during the fit.
 
-def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.0) -> tuple[GammaGamma, float]:
-    """Gamma-Gamma on repeat customers; money is scaled by its mean during the fit."""
-    repeat = summary.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
-    inputs = settle(compress(repeat, GammaGamma.inputs))
-    mean = inputs.agg(F.sum(F.col("monetary_value") * F.col("n")) / F.sum("n")).first()[0]
-    if mean is None:
+    The model has no place for a repeat customer without positive spend, so one is refused.
+    Mean values rarely repeat, so equal inputs are not looked for.
+    """
+    repeat = summary.where(F.col("frequency") > 0).select(
+        *GammaGamma.inputs, F.lit(1).cast("bigint").alias("n")
+    )
+    inputs = settle(repeat)
+    spend = F.col("monetary_value")
+    head = inputs.agg(
+        F.avg(spend).alias("mean"), F.count_if(spend.isNull() | (spend <= 0)).alias("refused")
+    ).first()
+    if head["refused"]:
+        raise ValueError(f"{head['refused']} repeat customers have no positive spend")
+    if head["mean"] is None:
         raise ValueError("no repeat customer to fit")
-    scaled = inputs.select("n", "frequency", (F.col("monetary_value") / mean).alias("monetary_value"))
-    found, value = _fit(scaled, GammaGamma, ("p", "q", "v"), penalizer)
-    return GammaGamma(**(found | {"v": found["v"] * mean})), value
+    scaled = inputs.select("n", "frequency", (spend / head["mean"]).alias("monetary_value"))
+    values, found = _fit(scaled, GammaGamma, ("p", "q", "v"), penalizer, rounds)
+    model = GammaGamma(**(values | {"v": values["v"] * head["mean"]}))
+    return Fit(model, found.value, found.status, found.gradient_norm, found.rounds)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
-from pyspark.ml.feature import Bucketizer, FeatureHasher, SQLTransformer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from custvalue.operators import featurize
 from custvalue.operators.metrics import evaluation_report
 from custvalue.sources import schemas
 from custvalue.sources.readers import with_defaults
-from custvalue.sources.sinks import latest_version, version_path
+from custvalue.sources.sinks import latest_version, mark_complete, version_path
 
 PREDICTION = "predicted_monetary"
 
@@ -35,12 +34,13 @@ class FitOptions:
     """Settings of a regression fit.
 
     ``l1`` and ``l2`` are the strengths of the two penalties of a linear model;
-    the others belong to the boosted trees.
+    ``max_iter`` is 100 for the gradient methods and 20 for the boosted trees
+    unless given; the others belong to the trees.
     """
 
     l1: float = 0.0
     l2: float = 0.0
-    max_iter: int = 20
+    max_iter: int | None = None
     step_size: float = 0.1
     max_depth: int = 5
     subsampling_rate: float = 1.0
@@ -59,27 +59,24 @@ def _indicators() -> SQLTransformer:
 
 
 def _cross_stages(
-    keys: list[featurize.CrossKey], name: str, width: int
+    keys: list[featurize.CrossKey], name: str, dense: bool
 ) -> list[Transformer]:
-    """Vector column of a cross: its combined key hashed into ``width`` places."""
-    cut = [k for k in keys if k.name in featurize.NUMERICS and k.boundaries is not None]
-    stages: list[Transformer] = [
-        Bucketizer(
-            splits=[float("-inf"), *k.boundaries, float("inf")],
-            inputCol=k.name,
-            outputCol=f"{name}_{k.name}_bin",
-        )
-        for k in cut
+    """Indicator vector of a cross's slot; a key out of its range has no slot and no indicator."""
+    width = featurize.cross_dimension(keys) if dense else featurize.cross_size(keys)
+    slot, place = f"{name}_slot", f"{name}_place"
+    # The place after the last slot stands for none; the encoder drops it.
+    places = SparkSession.active().range(width + 1).select(F.col("id").cast("double").alias(place))
+    return [
+        featurize.cross_stage(keys, slot, dense),
+        SQLTransformer(
+            statement=f"SELECT *, CAST(coalesce({slot}, {width}) AS DOUBLE) AS {place} FROM __THIS__"
+        ),
+        OneHotEncoder(inputCol=place, outputCol=name, dropLast=True).fit(places),
     ]
-    parts = [f"CAST({f'{name}_{k.name}_bin' if k in cut else k.name} AS INT)" for k in keys]
-    text = f"concat_ws('_X_', {', '.join(parts)})"
-    stages.append(SQLTransformer(statement=f"SELECT *, {text} AS {name}_key FROM __THIS__"))
-    stages.append(
-        FeatureHasher(
-            inputCols=[f"{name}_key"], outputCol=name, numFeatures=width, categoricalCols=[f"{name}_key"]
-        )
-    )
-    return stages
+
+
+def _iterations(options: FitOptions, default: int) -> int:
+    return default if options.max_iter is None else options.max_iter
 
 
 def _linear(options: FitOptions) -> LinearRegression:
@@ -87,7 +84,7 @@ def _linear(options: FitOptions) -> LinearRegression:
     return LinearRegression(
         labelCol=schemas.TARGET,
         predictionCol=PREDICTION,
-        maxIter=max(options.max_iter, 100),
+        maxIter=_iterations(options, 100),
         regParam=strength,
         elasticNetParam=options.l1 / strength if strength else 0.0,
     )
@@ -98,7 +95,7 @@ def _trees(options: FitOptions, loss: str) -> GBTRegressor:
         labelCol=schemas.TARGET,
         predictionCol=PREDICTION,
         lossType=loss,
-        maxIter=options.max_iter,
+        maxIter=_iterations(options, 20),
         stepSize=options.step_size,
         maxDepth=options.max_depth,
         subsamplingRate=options.subsampling_rate,
@@ -107,15 +104,30 @@ def _trees(options: FitOptions, loss: str) -> GBTRegressor:
     )
 
 
+def _factorization(options: FitOptions) -> FMRegressor:
+    return FMRegressor(
+        featuresCol="scaled_features",
+        labelCol="scaled_label",
+        predictionCol="scaled_prediction",
+        factorSize=4,
+        maxIter=_iterations(options, 100),
+        stepSize=options.step_size,
+        regParam=options.l2,
+        seed=options.seed,
+    )
+
+
 def pipeline(
     model_type: str,
     options: FitOptions = FitOptions(),
     crosses: tuple[list[featurize.CrossKey], ...] = (),
+    label_scale: float = 1.0,
 ) -> Pipeline:
     """Unfitted pipeline of a regression type.
 
     Crosses are hashed to their full size for the wide model, and to their dense
-    width for the others; none are used by default.
+    width for the others; none are used by default.  The factorization machine works on
+    standardized inputs and on the label divided by ``label_scale``.
     """
     deep = featurize.deep_columns()
     if model_type == LEAST_SQUARES:
@@ -127,23 +139,19 @@ def pipeline(
     elif model_type == ABSOLUTE_ERROR:
         inputs, regressor = deep, _trees(options, "absolute")
     elif model_type == FACTORIZATION:
-        inputs = deep
-        regressor = FMRegressor(
-            labelCol=schemas.TARGET,
-            predictionCol=PREDICTION,
-            maxIter=options.max_iter,
-            stepSize=options.step_size,
-            regParam=options.l2,
-            seed=options.seed,
-        )
+        inputs, regressor = deep, _factorization(options)
     else:
         raise ValueError(f"model_type must be one of {REGRESSION_TYPES}, got {model_type!r}")
-    size = featurize.cross_size if model_type == WIDE else featurize.cross_dimension
     stages: list = [_indicators()]
     for i, keys in enumerate(crosses):
-        stages += _cross_stages(keys, f"cross_{i}", size(keys))
+        stages += _cross_stages(keys, f"cross_{i}", dense=model_type != WIDE)
     names = inputs + [f"cross_{i}" for i in range(len(crosses))]
-    return Pipeline(stages=[*stages, featurize.assembler(names), regressor])
+    stages.append(featurize.assembler(names))
+    if model_type == FACTORIZATION:
+        scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True)
+        back = f"SELECT *, scaled_prediction * {label_scale!r}D AS {PREDICTION} FROM __THIS__"
+        return Pipeline(stages=[*stages, scaler, regressor, SQLTransformer(statement=back)])
+    return Pipeline(stages=[*stages, regressor])
 
 
 def fit_model(
@@ -154,13 +162,23 @@ def fit_model(
 ) -> PipelineModel:
     """Fit on the used columns of the training rows."""
     rows = train.select(*schemas.used_columns(with_key=True, with_target=True))
-    return pipeline(model_type, options, crosses).fit(rows)
+    if model_type != FACTORIZATION:
+        return pipeline(model_type, options, crosses).fit(rows)
+    scale = float(rows.agg(F.stddev(schemas.TARGET)).first()[0] or 1.0)
+    labelled = rows.withColumn("scaled_label", F.col(schemas.TARGET) / scale)
+    return pipeline(model_type, options, crosses, scale).fit(labelled)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Key and prediction of each row, empty fields taken as their defaults."""
+    """Key and prediction of each row, empty fields taken as their defaults.
+
+    A label is passed on as it is; an unknown one stays NULL and out of any metric.
+    """
     kept = [c for c in ("split", schemas.TARGET) if c in rows.columns]
-    return model.transform(with_defaults(rows)).select(schemas.KEY, *kept, PREDICTION)
+    label = [F.col(schemas.TARGET).alias("_label")] if schemas.TARGET in kept else []
+    filled = with_defaults(rows.select("*", *label)).drop(schemas.TARGET)
+    filled = filled.withColumnRenamed("_label", schemas.TARGET)
+    return model.transform(filled).select(schemas.KEY, *kept, PREDICTION)
 
 
 def evaluate_splits(model: PipelineModel, labelled: DataFrame) -> DataFrame:
@@ -182,6 +200,7 @@ def save_version(model: PipelineModel, base: str, version: int) -> str:
     """Save under ``base`` as a version, replacing that version if it exists."""
     path = version_path(base, version)
     model.write().overwrite().save(path)
+    mark_complete(SparkSession.active(), path)
     return path
 
 
@@ -195,12 +214,7 @@ def load_latest(spark: SparkSession, base: str) -> PipelineModel:
 
 def has_version(spark: SparkSession, base: str) -> bool:
     """Whether a version was saved under ``base``."""
-    try:
-        return latest_version(spark, base).first()[0] is not None
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return latest_version(spark, base).first()[0] is not None
 
 
 def fit_or_resume(

@@ -20,8 +20,8 @@ def run_btyd(
     if model_type not in fitters:
         raise ValueError(f"model_type must be one of {models.REPEAT_TYPES}, got {model_type!r}")
     summary = btyd.summary(feature_rows)
-    model, _ = fitters[model_type](summary, params)
-    money, _ = fit.fit_gamma_gamma(summary)
+    model = fitters[model_type](summary, params).model
+    money = fit.fit_gamma_gamma(summary).model
     predicted = btyd.predict_value(feature_rows, model, money, params)
     error = predicted.agg(rmse("predicted_total", "actual_total")).first()[0]
     return predicted, error

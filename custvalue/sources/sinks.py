@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+# Name of the file that a finished write leaves.
+MARKER = "_SUCCESS"
+
 
 def write_table(df: DataFrame, name: str) -> None:
     """Create or replace a catalog table."""
@@ -58,10 +62,30 @@ def version_path(base: str, version: int) -> str:
     return f"{base.rstrip('/')}/version={version}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Leave the marker of a finished write in a folder."""
+    marker, files = _file_system(spark, f"{path}/{MARKER}")
+    files.create(marker, True).close()
+
+
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """One row with the numerically largest ``version=<n>`` folder that holds files."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
-    )
-    number = F.regexp_extract("path", r"/version=(\d+)/", 1)
-    return files.where(number != "").agg(F.max(number.cast("bigint")).alias("version"))
+    """One row with the numerically largest finished ``version=<n>`` folder right under ``base``.
+
+    A version is finished if it, or the write of all of them, left its marker.
+    """
+    folder, files = _file_system(spark, base)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    all_done = files.exists(_file_system(spark, f"{base}/{MARKER}")[0])
+    numbers = []
+    for status in found:
+        match = re.fullmatch(r"version=(\d+)", status.getPath().getName())
+        if match and status.isDirectory():
+            own = _file_system(spark, f"{version_path(base, match[1])}/{MARKER}")[0]
+            if all_done or files.exists(own):
+                numbers.append(int(match[1]))
+    return spark.createDataFrame([(max(numbers, default=None),)], "version bigint")

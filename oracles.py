@@ -247,13 +247,13 @@ def pn_expected(days: str) -> str:
     )
 
 
-def clv(expected_at: str, source: str, extra: str = "") -> str:
-    """Sum over 14 months of discounted expected profit; ``e`` is expected purchases by month."""
+def clv(expected_at: str, source: str, extra: str = "", months: int = 14) -> str:
+    """Sum over the months of discounted expected profit; ``e`` is expected purchases by month."""
     return f"""
 SELECT customer_id, {extra} sum(profit*(e-e0)/pow(1.01, month)) AS clv FROM (
   SELECT *, coalesce(lag(e) OVER (PARTITION BY customer_id ORDER BY month), 0) AS e0 FROM (
     SELECT c.*, month, {GG_PROFIT} AS profit, {expected_at} AS e
-    FROM ({source}) c, (SELECT unnest(range(1, 15)) AS month)))
+    FROM ({source}) c, (SELECT unnest(range(1, {months + 1})) AS month)))
 GROUP BY ALL"""
 
 
@@ -306,6 +306,10 @@ BODIES = {
        FROM cleaned WHERE order_date > DATE '2000-06-30' GROUP BY 1""",
     "features_rfm": "SELECT * FROM rfm",
     "features_n_target": "SELECT * FROM feats",
+    "features_after": """SELECT feats.* EXCLUDE (target_monetary, target_monetary_clipped),
+       least(t.later, @money) AS target_monetary_clipped, t.later AS target_monetary
+       FROM feats JOIN (SELECT customer_id, sum(order_value) :: DOUBLE AS later FROM cleaned
+         WHERE order_date > DATE '2000-06-30' GROUP BY 1) t USING (customer_id)""",
     "export_roundtrip": "SELECT * FROM feats",
     "hash_bucket": "SELECT customer_id, bucket FROM labelled",
     "split_train": f"SELECT {FEATURE_COLUMNS} FROM labelled WHERE split = 'train'",
@@ -317,6 +321,19 @@ BODIES = {
        CASE WHEN has_returned = 1 THEN 1 ELSE -1 END AS has_returned,
        CASE WHEN frequency_btyd > 4 THEN monetary_btyd ELSE 0.0 END AS monetary_btyd) FROM feats""",
     "scoring_input": f"SELECT {SCORING_COLUMNS} FROM feats",
+    "scoring_header": f"SELECT {SCORING_COLUMNS} FROM feats",
+    "scoring_ndjson": f"SELECT {SCORING_COLUMNS} FROM feats",
+    "table_roundtrip": "SELECT * FROM feats",
+    "predictions_table": f"""SELECT customer_id, {rnd('predicted_monetary')} AS predicted_monetary,
+       cast(NULL AS double) AS predictions FROM base""",
+    "shard_names": """SELECT least(3, count(*)) AS shards, least(3, count(*)) AS names FROM base""",
+    "trials_table": """SELECT unnest(range(3)) :: INT AS trial, 0.5::DOUBLE AS l2,
+       (SELECT least(2, count(*)) FROM labelled WHERE split = 'train') :: INT AS last_model""",
+    "score_serve": f"""SELECT '{{"key":{{"path":[{{"kind":"clv","name":' || to_json(customer_id)
+       || '}}]}},"properties":{{"predicted_monetary":{{"doubleValue":' || to_json({rnd('g')})
+       || '}}}}}}' AS entity
+       FROM labelled l JOIN (SELECT has_returned, avg(target_monetary) AS g FROM labelled
+         WHERE split = 'train' GROUP BY 1) m ON l.has_returned = m.has_returned""",
     "predictions_json": "SELECT value FROM lines",
     "predictions_load": f"""SELECT customer_id, {rnd('predicted_monetary')} AS predicted_monetary,
        cast(NULL AS double) AS predictions FROM base""",
@@ -365,7 +382,10 @@ BODIES = {
         for name in ("day_number", "Quantity", "UnitPrice")
     ),
     "profile_unit_price": profile("src", '"UnitPrice"'),
-    "profile_quantity": profile("src", '"Quantity"', '"Quantity" BETWEEN -40 AND 40'),
+    "profile_continuous": profile(
+        "orders_", "(order_value::DOUBLE / order_qty_articles)", "order_qty_articles <> 0"
+    ),
+    "profile_quantity": profile("src", '"Quantity"'),
     "monetary_histogram": """SELECT cast(floor((monetary+1000)/500) AS bigint) AS bin,
        -1000.0::DOUBLE + floor((monetary+1000)/500)*500 AS bin_start, count(*) AS n
        FROM money WHERE monetary BETWEEN -1000 AND 15000 GROUP BY 1, 2""",
@@ -418,6 +438,8 @@ BODIES = {
        FROM ({CUSTOMERS})""",
     "btyd_clv": f"""SELECT customer_id, {rnd('clv', 4)} AS clv
        FROM ({clv(bg_expected('30*month'), CUSTOMERS)})""",
+    "btyd_clv_long": f"""SELECT customer_id, {rnd('clv', 2)} AS clv
+       FROM ({clv(bg_expected('30*month'), CUSTOMERS, months=120)})""",
     "btyd_error": f"""SELECT customer_id, actual_total,
        {rnd('purchases', 4)} AS predicted_num_purchases, {rnd('clv', 4)} AS predicted_value,
        {rnd('(train_monetary+clv)', 4)} AS predicted_total,

@@ -154,7 +154,8 @@ FREE = ClvParams("2000-06-30", "2001-08-01", 1.0, penalizer=0.0)
 def test_fit_recovers_parameters(spark, simulate, fitter, truth):
     rows = simulate(6000, *truth.values().values())
     df = table(spark, rows, list(btyd.CUSTOMER_COLUMNS))
-    model, value = fitter(df, FREE)
+    model, value, status, gradient, _ = fitter(df, FREE)
+    assert status == "converged" and gradient < 1e-2
     for name, known in truth.values().items():
         assert model.values()[name] == pytest.approx(known, rel=0.35), (model, truth)
     # No worse than the truth and than its own neighbours on the same objective.
@@ -173,7 +174,7 @@ def test_gamma_gamma_recovers_parameters(spark):
     nu = rng.gamma(q, 1 / v, len(x))
     m = rng.gamma(p * x, 1 / (nu * x))
     df = table(spark, list(zip(x.tolist(), m.tolist())), ["frequency", "monetary_value"])
-    model, _ = fit.fit_gamma_gamma(df)
+    model = fit.fit_gamma_gamma(df).model
     assert model.p == pytest.approx(p, rel=0.1)
     assert model.q == pytest.approx(q, rel=0.1)
     assert model.v == pytest.approx(v, rel=0.15)
@@ -183,8 +184,8 @@ def test_gamma_gamma_recovers_parameters(spark):
 
 def test_penalty_shrinks(spark):
     df = table(spark, simulate_bgnbd(1500, 0.8, 25.0, 0.8, 2.5), list(btyd.CUSTOMER_COLUMNS))
-    free, _ = fit.fit_bgnbd(df, FREE)
-    bound, _ = fit.fit_bgnbd(df, ClvParams("2000-06-30", "2001-08-01", 1.0, penalizer=0.1))
+    free = fit.fit_bgnbd(df, FREE).model
+    bound = fit.fit_bgnbd(df, ClvParams("2000-06-30", "2001-08-01", 1.0, penalizer=0.1)).model
     norm = lambda m: m.r**2 + m.a**2 + m.b**2
     assert norm(bound) < norm(free)
 

@@ -1,5 +1,6 @@
 """Shared folder and rounding helpers."""
 
+import os
 import types
 
 import pytest
@@ -40,7 +41,18 @@ def test_settled_rows_have_no_lineage(spark):
     df = spark.range(100).withColumn("x", F.rand(1))
     settled = scratch.settle(df)
     assert sorted(settled.collect()) == sorted(df.collect())
-    assert "ExistingRDD" in settled._jdf.queryExecution().executedPlan().toString()
+    plan = settled.select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "x" not in plan.split("ReadSchema")[1]
+
+
+def test_owner_clears_the_folder(spark):
+    settled = scratch.settle(spark.range(3))
+    path = settled.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    other = os.path.join(scratch.shared_dir(spark), "other.txt")
+    open(other, "w").close()
+    scratch.clear(spark)
+    assert not os.path.exists(path) and os.path.exists(other)
 
 
 @pytest.mark.parametrize(

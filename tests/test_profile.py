@@ -36,13 +36,39 @@ def test_describe_money_and_nulls(spark):
     df = spark.createDataFrame(pd.DataFrame({"v": money})).union(
         spark.range(3).select(F.lit(None).cast("double"))
     )
-    got = profile.describe(df, "v", digits=2).first()
+    got = profile.describe(df, "v").first()
     want = pd.Series(money).describe()
     assert got["count"] == 5000
     assert got.p25 == pytest.approx(want["25%"], rel=1e-12)
     assert got["std"] == pytest.approx(want["std"], rel=1e-9)
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        [0.19, 0.29, 0.99, 1.5],
+        [0.1234, 0.1249],
+        [-1e300, -1.0, -0.0, 0.0, 1e-300, 2.0**-1022, 1.0, 1.0000000000000002, 2.0, 1e300],
+        [2.0**k for k in range(-1000, 1000, 37)],
+    ],
+)
+def test_no_decimal_is_cut(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    got = profile.describe(df, "v").first()
+    assert got["count"] == len(values)
+    assert (got["min"], got["max"]) == (min(values), max(values))
+    assert got["mean"] == pytest.approx(np.mean(values), rel=1e-12)
+    assert [got.p25, got.p50, got.p75] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75])))
+
+
+def test_key_has_the_order_of_the_values(spark):
+    rng = np.random.default_rng(3)
+    values = np.sort(np.concatenate([rng.normal(size=500), np.exp(rng.uniform(-600, 600, 500)), 2.0 ** np.arange(-50, 50)]))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    keys = [r.k for r in df.select("v", profile.ordered_key(F.col("v")).alias("k")).orderBy("v").collect()]
+    assert all(a < b for a, b in zip(keys, keys[1:]))
+
+
 def test_describe_empty(spark):
     got = profile.describe(spark.createDataFrame([], "v bigint"), "v").first()
     assert got["count"] == 0 and got.p50 is None and got["std"] is None
