@@ -91,7 +91,7 @@ def dropout_purchases(
     With ``p ~ Beta(a, b + x)`` and ``lambda ~ Gamma(r + x, alpha + T)`` the expectation is that
     of ``(1 - (1 + p s) ** -(r + x)) / p``, ``s = t / (alpha + T)``.  Where ``z = t / (alpha + T + t)``
     is at most 0.9 it is the hypergeometric series, whose length is then bounded; beyond, it is
-    a double-exponential quadrature of 241 nodes.  The work of a row does not depend on its
+    a double-exponential quadrature of 361 nodes.  The work of a row does not depend on its
     values.  The inner function stands alone, so tasks need no import of this package.
     """
     near_one = 1e-7
@@ -102,12 +102,13 @@ def dropout_purchases(
         xs, ages = x.to_numpy(dtype=float)[known], T_.to_numpy(dtype=float)[known]
         total = np.zeros(len(xs))
         # Nodes in y = logit(p); the weights hold dp = p (1 - p) dy.
-        u = np.linspace(-5.5, 5.5, 241)
+        u = np.linspace(-7.5, 7.5, 361)
         y = np.pi * np.sinh(u)
         log_p, log_q = -np.logaddexp(0, -y), -np.logaddexp(0, y)
         log_w = np.log(np.pi * np.cosh(u) * (u[1] - u[0]))
         log_w[[0, -1]] -= math.log(2)  # the ends count half
         p = np.exp(log_p)
+        safe_p = np.maximum(p, 1e-290)
         counts, places = np.unique(xs, return_inverse=True)
         log_beta = np.array(
             [math.lgamma(a) + math.lgamma(b + c) - math.lgamma(a + b + c) for c in counts]
@@ -130,7 +131,9 @@ def dropout_purchases(
             for start in range(0, len(xs), 2048):  # bounds the matrix of rows by nodes
                 k = slice(start, start + 2048)
                 shape = (r + xs[k])[:, None]
-                g = -np.expm1(-shape * np.log1p(p * s[k][:, None])) / p
+                rate = s[k][:, None]
+                near_zero = shape * rate  # the limit, where p itself is lost
+                g = np.where(p > 1e-290, -np.expm1(-shape * np.log1p(p * rate)) / safe_p, near_zero)
                 at = a * log_p + (b + xs[k])[:, None] * log_q + log_w - log_beta[k][:, None]
                 inside = (np.exp(at) * g).sum(axis=1)
                 # What lies outside the nodes, where the other factors no longer change.
