@@ -96,7 +96,7 @@ def test_other_writers_files_and_damage(spark, tmp_path):
     found = warc.read_warc(spark, str(tmp_path), payload="digest").collect()
     assert sorted(r["payload_length"] for r in found) == [0, 0, 100_000, 100_000, 200_000, 200_000, 300_000, 300_000]
     assert warc.read_warc(spark, str(tmp_path), types=("response",)).count() == 0
-    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(plain[2])[:-400])
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(plain[2])[:-20])
     with pytest.raises(Exception, match="ends within a record|cut"):
         warc.read_warc(spark, str(tmp_path)).collect()
     wrong = warc.record_bytes(row | {"record_id": "<x>", "payload": b"q", "payload_digest": "sha1:AAAA"})
