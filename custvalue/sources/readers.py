@@ -22,16 +22,21 @@ def query(spark: SparkSession, sql: str, **args: object) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    header: bool = True,
+    check_header: bool = True,
 ) -> DataFrame:
     """CSV with the given schema; empty fields are NULL.
 
-    A malformed row, or a header with other names than the schema, stops the job.
+    A malformed row stops the job, and so does a header with other names than the schema,
+    unless it is not to be checked: then the first line of a file is passed over as it is.
     """
     return (
         spark.read.schema(schema)
         .option("header", header)
-        .option("enforceSchema", not header)
+        .option("enforceSchema", not (header and check_header))
         .option("nullValue", "")
         .option("escape", '"')
         .option("mode", "FAILFAST")
@@ -39,9 +44,11 @@ def read_csv(
     )
 
 
-def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw order lines with one header row per file."""
-    return read_csv(spark, path, schemas.TRANSACTIONS)
+def read_transactions(
+    spark: SparkSession, path: str | list[str], check_header: bool = True
+) -> DataFrame:
+    """Raw order lines with one header row per file, whose names may be left unchecked."""
+    return read_csv(spark, path, schemas.TRANSACTIONS, check_header=check_header)
 
 
 def read_features(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:

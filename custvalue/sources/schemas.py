@@ -17,15 +17,6 @@ TRANSACTIONS = T.StructType(
     ]
 )
 
-CLEANED = T.StructType(
-    [
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("order_date", T.DateType()),
-        T.StructField("order_value", T.DoubleType()),
-        T.StructField("order_qty_articles", T.LongType()),
-    ]
-)
-
 FEATURES = T.StructType(
     [
         T.StructField("customer_id", T.StringType()),
@@ -83,8 +74,3 @@ def used_columns(with_key: bool = False, with_target: bool = False) -> list[str]
     """Names of the columns a regression model uses, in file order."""
     used = [f.name for f in FEATURES.fields if f.name not in UNUSED and f.name != TARGET]
     return [KEY] * with_key + used + [TARGET] * with_target
-
-
-def defaults(names: list[str] | None = None, with_key: bool = False) -> dict[str, object]:
-    """Default values of the named columns (by default the used ones)."""
-    return {name: DEFAULTS[name] for name in (names or used_columns(with_key))}

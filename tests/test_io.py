@@ -59,13 +59,21 @@ def test_other_header_is_refused(spark, tmp_path):
         readers.read_scoring(spark, str(path), header=True).collect()
 
 
+def test_header_of_transactions_may_be_passed_over(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("a,b,c,d,e,f,g,h\n1,2,text,3,01/02/10 10:00,1.5,7,Spain\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_transactions(spark, str(path)).collect()
+    row = readers.read_transactions(spark, str(path), check_header=False).first()
+    assert (row.InvoiceNo, row.Quantity, row.Country) == ("1", 3, "Spain")
+
+
 def test_used_columns_and_defaults():
     assert len(schemas.FEATURES) == 16 and len(schemas.SCORING) == 10
     used = schemas.used_columns(with_key=True, with_target=True)
     assert used[0] == "customer_id" and used[-1] == "target_monetary" and len(used) == 11
-    assert schemas.defaults(["has_returned", "T", "time_between"]) == {
-        "has_returned": -1, "T": 0, "time_between": 0.0,
-    }
+    got = [schemas.DEFAULTS[name] for name in ("has_returned", "T", "time_between")]
+    assert got == [-1, 0, 0.0]
 
 
 def test_tables_by_name(spark, feature_rows):
