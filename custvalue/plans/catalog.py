@@ -605,6 +605,28 @@ def fit_linear(spark: SparkSession, folder: str) -> DataFrame:
     return models.evaluate_splits(model, labelled).selectExpr("*", *terms)
 
 
+@query
+def fit_linear_normal(spark: SparkSession, folder: str) -> DataFrame:
+    """Normal equations of least squares: mean of input times label, and times fitted value.
+
+    The two are equal for every input exactly if the fit is the least-squares one.
+    """
+    train = settle(_labelled(spark, folder).where("split = 'train'"))
+    model = models.fit_model(models.LEAST_SQUARES, train)
+    fitted = models.score(model, train).select("customer_id", models.PREDICTION)
+    names = schemas.used_columns()
+    inputs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("input"), F.col(c).cast("double").alias("x")) for c in names])
+    )
+    rows = train.join(fitted, "customer_id").select("target_monetary", models.PREDICTION, inputs.alias("i"))
+    x = F.col("i.x") / 10  # in tens, so that the solver's last digits do not show
+    table = rows.groupBy(F.col("i.input").alias("input")).agg(
+        F.avg(x * F.col("target_monetary")).alias("by_label"),
+        F.avg(x * F.col(models.PREDICTION)).alias("by_fit"),
+    )
+    return _rounded(table, 0, "by_label", "by_fit")
+
+
 @query
 def fit_linear_wide(spark: SparkSession, folder: str) -> DataFrame:
     labelled = _labelled(spark, folder)

@@ -160,6 +160,10 @@ FEATURE_COLUMNS = (
     "time_between, avg_basket_value, avg_basket_size, cnt_returns, has_returned, "
     "frequency_btyd_clipped, monetary_btyd_clipped, target_monetary_clipped, target_monetary"
 )
+USED_COLUMNS = (
+    "monetary_dnn", "frequency_dnn", "recency", "T", "time_between", "avg_basket_value",
+    "avg_basket_size", "cnt_returns", "has_returned",
+)
 SCORING_COLUMNS = (
     'customer_id, monetary_dnn, frequency_dnn, recency, "T", time_between, avg_basket_value, '
     "avg_basket_size, cnt_returns, has_returned"
@@ -413,6 +417,11 @@ BODIES = {
        SELECT regr_slope(target_monetary, monetary_dnn) AS a,
               regr_intercept(target_monetary, monetary_dnn) AS b
        FROM labelled WHERE split = 'train')""",
+    "fit_linear_normal": " UNION ALL ".join(
+        f"""SELECT '{name}' AS input, {rnd('m', 0)} AS by_label, {rnd('m', 0)} AS by_fit FROM (
+        SELECT avg("{name}" / 10.0::DOUBLE * target_monetary) AS m FROM labelled WHERE split = 'train')"""
+        for name in USED_COLUMNS
+    ),
     "fit_linear_wide": f"""SELECT l.customer_id, l.split, l.target_monetary,
        {rnd('g')} AS predicted_monetary
        FROM labelled l JOIN (SELECT has_returned, avg(target_monetary) AS g FROM labelled
