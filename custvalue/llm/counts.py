@@ -21,7 +21,7 @@ from custvalue.llm import pieces
 from custvalue.llm.common import ship, text_of
 
 #: Nodes that a worker's trie has at most.
-NODES = 400_000
+NODES = 600_000
 
 
 class CountTrie:
@@ -33,40 +33,48 @@ class CountTrie:
         self._clear()
 
     def _clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
+        self.child: dict[int, int] = {}  # by node and character
         self.best = [0.0]
         self.tokens = [0]
         self.terminal: dict[str, int] = {}
 
     def insert(self, run: str) -> int:
         """Token count of the run; stored at its node if it is not too long."""
+        count = self.terminal.get(run)
+        if count is not None:
+            return count
         if len(run) > pieces.REMEMBERED_LENGTH:
             return len(self.model.encode_run(run))
-        if len(self.best) + len(run) > self.limit:
+        if max(len(self.best), len(self.terminal)) + len(run) > self.limit:
             self._clear()
-        children, path = self.children, [0]
+        child, path = self.child, [0]
         for depth, character in enumerate(run, 1):
-            node = children[path[-1]].get(character)
+            key = path[-1] << 21 | ord(character)
+            node = child.get(key)
             if node is None:
-                node = self._grow(run, depth, path)
-                children[path[-1]][character] = node
+                node = child[key] = self._grow(run, depth, path)
             path.append(node)
         count = self.terminal[run] = self.tokens[path[-1]]
         return count
 
     def _grow(self, run: str, depth: int, path: list[int]) -> int:
         """A new node below ``path``, from the nodes where its last piece can start."""
-        model, best, tokens = self.model, pieces.LOW, 0
-        for start in range(max(0, depth - model.longest), depth):
-            score, added = model.scores.get(run[start:depth]), 1
+        score_of, above = self.model.finals.get, depth - 1
+        score, added = score_of(run[above:depth]), 1
+        known = score is not None
+        if not known or score == pieces.LOW:
+            score, added = self.model.unknown, len(run[above].encode())
+        best, tokens = self.best[path[above]] + score, self.tokens[path[above]] + added
+        for start in range(depth - 2, max(-1, depth - 1 - self.model.longest), -1):
+            if not known:
+                break
+            score = score_of(run[start:depth])
             if score is None:
-                if start < depth - 1:
-                    continue
-                score, added = model.unknown, len(run[start:depth].encode())
+                break
             score += self.best[path[start]]
-            if score > best:
-                best, tokens = score, self.tokens[path[start]] + added
-        self.children.append({})
+            # Of equally good segmentations that with the longest last piece.
+            if score >= best and score > pieces.LOW:
+                best, tokens = score, self.tokens[path[start]] + 1
         self.best.append(best)
         self.tokens.append(tokens)
         return len(self.best) - 1
@@ -76,8 +84,10 @@ class CountTrie:
         for run in self.model.split(self.model.marked(text)):
             found = known.get(run)
             if found is None:
-                found = self.insert(run)
+                found = sum(map(self.insert, self.model.cut(run)))
                 known = self.terminal
+                if len(run) <= pieces.REMEMBERED_LENGTH:
+                    known[run] = found
             total += found
         return total
 

@@ -22,8 +22,8 @@ UNKNOWN_PENALTY = 10.0
 NORMAL, BYTE = 1, 6  # piece types of the file format
 #: Longer runs are segmented each time anew and not remembered.
 REMEMBERED_LENGTH = 48
-#: Runs that a worker remembers at most; then it starts again.
-REMEMBERED = 200_000
+#: Runs that a worker remembers at most; older ones go first.
+REMEMBERED = 250_000
 
 LOW = float("-inf")
 
@@ -55,6 +55,21 @@ def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
         yield tag >> 3, value
 
 
+def _tree(scores: dict[str, float]) -> dict:
+    """By character: what follows, and the score if a piece ends there."""
+    root: dict = {}
+    for piece in sorted(scores):
+        kids = root
+        for character in piece[:-1]:
+            node = kids.get(character)
+            if node is None:
+                node = kids[character] = ({}, None)
+            kids = node[0]
+        known = kids.get(piece[-1])
+        kids[piece[-1]] = (known[0] if known else {}, scores[piece])
+    return root
+
+
 class PieceModel:
     """Pieces with ids and scores, and what follows from them for segmenting text."""
 
@@ -70,14 +85,24 @@ class PieceModel:
             raise ValueError("the vocabulary has no piece for some byte")
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
-        self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        # Pieces meet at every place that no piece spans: before a space mark after another
-        # character, and around control characters that occur in no longer piece.
+        # Pieces as a tree by character, and the ends of pieces with their scores: a search stops
+        # where no piece goes on.
+        self.tree = _tree(self.scores)
+        self.finals = {p[n:]: LOW for p in self.ids for n in range(1, len(p))} | self.scores
+        # Pieces meet at every place that no piece spans: between characters that are
+        # neighbours in no piece. Whole texts are split at those that a pattern can name, before
+        # space marks and around punctuation that is only joined to its own kind; the runs are
+        # cut at the others.
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("a piece has a space mark after another character")
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        lone = "".join(re.escape(c) for c in map(chr, range(32)) if c not in joined)
-        self.runs = re.compile(f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+|[{lone}]")
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        apart = {chr(c) for c in range(128) if not chr(c).isalnum() and chr(c) != " "}
+        while mixed := {c for pair in self.joined if len(apart & set(pair)) == 1 for c in pair} & apart:
+            apart -= mixed
+        kind = "".join(map(re.escape, sorted(apart)))
+        self.runs = re.compile(f"{SPACE}+[^{SPACE}{kind}]*|[^{SPACE}{kind}]+|[{kind}]+")
+        self._parts: dict[str, list[int]] = {}
+        self.run_ids = RunIds(self)
         self._output = [
             bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() if kind == NORMAL else b""
             for p, _, kind in pieces
@@ -97,7 +122,7 @@ class PieceModel:
 
         ``entry`` are the scores of the first positions; a start of -1 marks what came from it.
         """
-        scores, starts, unknown, longest = self.scores, self.starts, self.unknown, self.longest
+        tree, unknown = self.tree, self.unknown
         size = len(text)
         best, back = [LOW] * (size + 1), [-1] * (size + 1)
         best[: len(entry)] = entry[: size + 1]
@@ -105,17 +130,26 @@ class PieceModel:
             base = best[start]
             if base == LOW:
                 continue
-            for end in range(start + 1, min(start + longest, size) + 1):
-                piece = text[start:end]
-                if piece not in starts:
-                    if end == start + 1 and base + unknown > best[end]:
-                        best[end], back[end] = base + unknown, start
+            node = tree.get(text[start])
+            end = start + 1
+            if node is None or node[1] is None:
+                if base + unknown > best[end]:
+                    best[end], back[end] = base + unknown, start
+                if node is None:
+                    continue
+                end += 1
+                node = node[0].get(text[start + 1]) if end <= size else None
+            while node is not None:
+                further, score = node
+                if score is not None:
+                    score += base
+                    if score > best[end]:
+                        best[end] = score
+                        back[end] = start
+                if end == size:
                     break
-                score = scores.get(piece)
-                if score is None:
-                    score = unknown if end == start + 1 else LOW
-                if base + score > best[end]:
-                    best[end], back[end] = base + score, start
+                node = further.get(text[end])
+                end += 1
         return best, back
 
     def ids_of(self, piece: str) -> list[int]:
@@ -130,9 +164,31 @@ class PieceModel:
         cuts.reverse()
         return cuts[0], [i for a, b in zip(cuts, cuts[1:]) for i in self.ids_of(text[a:b])]
 
+    def cut(self, run: str) -> list[str]:
+        """Parts of a run that no piece leaves."""
+        joined, parts, start = self.joined, [], 0
+        for i in range(1, len(run)):
+            if run[i - 1 : i + 1] not in joined:
+                parts.append(run[start:i])
+                start = i
+        return [*parts, run[start:]]
+
     def encode_run(self, run: str) -> list[int]:
-        _, back = self.forward(run, len(run), [0.0])
-        return self.trace(run, back, len(run))[1]
+        return [i for part in self.cut(run) for i in self._encode_part(part)]
+
+    def _encode_part(self, part: str) -> list[int]:
+        found = self._parts.get(part)
+        if found is None:
+            if len(part) == 1:
+                found = self.ids_of(part)
+            else:
+                _, back = self.forward(part, len(part), [0.0])
+                found = self.trace(part, back, len(part))[1]
+            if len(part) <= REMEMBERED_LENGTH:
+                if len(self._parts) >= REMEMBERED:
+                    self._parts.clear()
+                self._parts[part] = found
+        return found
 
     def decode(self, ids: np.ndarray) -> str:
         output = self._output
@@ -141,15 +197,19 @@ class PieceModel:
 
 
 class RunIds(dict):
-    """Ids of runs as bytes of 32-bit numbers, remembered up to a bound."""
+    """Ids of runs as bytes of 32-bit numbers; those met lately are remembered up to a bound."""
 
     def __init__(self, model: PieceModel):
         self.model = model
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, run: str) -> bytes:
-        found = struct.pack(f"<{len(ids := self.model.encode_run(run))}i", *ids)
+        found = self.older.get(run)
+        if found is None:
+            found = struct.pack(f"<{len(ids := self.model.encode_run(run))}i", *ids)
         if len(run) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
             self[run] = found
         return found

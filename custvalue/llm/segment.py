@@ -16,6 +16,7 @@ under their names if listed in ``keep``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -33,57 +34,83 @@ CHUNK = 32768
 BATCH = 200
 
 
+def _meeting_places(model: pieces.PieceModel, text: str, own: int) -> tuple[int, int] | None:
+    """First and last place inside the chunk where all paths meet, if there are two."""
+    ends = list(accumulate(map(len, model.split(text))))
+    inner = [e for e in ends if e < own]
+    return (inner[0], inner[-1]) if len(inner) > 1 else None
+
+
+def _leaving(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
+    """Best scores of the exit states from the start of ``text``."""
+    leave = np.full(model.longest, pieces.LOW)
+    tail = model.forward(text, own, [0.0])[0][own:][: model.longest]
+    leave[: len(tail)] = tail
+    return leave
+
+
 def transfer(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
     """Matrix of a chunk: best score from each entry to each exit state.
 
     ``text`` runs ``model.longest - 1`` characters beyond the ``own`` ones where the document
-    does. If the chunk has places that no piece spans, all paths meet there and the matrix is
-    an outer sum of the scores before the first and after the last of them.
+    does. If the chunk has places that no piece spans, all paths meet there; the matrix is an
+    outer sum of the scores before the first and after the last of them, and leaves out what
+    lies between, which adds the same to every path.
     """
     width = model.longest
     matrix = np.full((width, width), pieces.LOW)
-    ends = np.cumsum([len(r) for r in model.split(text)])
-    inner = [int(e) for e in ends if 0 < e < own]
-    if len(inner) > 1 and inner[0] < inner[-1]:
-        first, last = inner[0], inner[-1]
-        middle = 0.0
-        for run in model.split(text[first:last]):
-            middle += model.forward(run, len(run), [0.0])[0][len(run)]
-        best, _ = model.forward(text[last:], own - last, [0.0])
-        leave = np.full(width, pieces.LOW)
-        tail = best[own - last :][:width]
-        leave[: len(tail)] = tail
-        for state in range(min(width, first + 1)):
-            head = text[state:first]
-            enter = model.forward(head, len(head), [0.0])[0][len(head)]
-            matrix[state] = enter + middle + leave
+    places = _meeting_places(model, text, own)
+    if places is None:
+        for state in range(min(width, own)):
+            matrix[state] = _leaving(model, text[state:], own - state)
         return matrix
-    for state in range(min(width, own)):
-        best, _ = model.forward(text[state:], own - state, [0.0])
-        tail = best[own - state :][:width]
-        matrix[state, : len(tail)] = tail
+    first, last = places
+    leave = _leaving(model, text[last:], own - last)
+    for state in range(min(width, first + 1)):
+        head = text[state:first]
+        matrix[state] = model.forward(head, len(head), [0.0])[0][-1] + leave
     return matrix
 
 
 def trace_chunk(
-    model: pieces.PieceModel, text: str, own: int, entry: np.ndarray
-) -> tuple[list[int], list[int], list[list[int]]]:
-    """Ids shared by the paths to all exit states, then entry state and further ids of each."""
-    best, back = model.forward(text, own, entry.tolist())
+    model: pieces.PieceModel,
+    text: str,
+    own: int,
+    entry: np.ndarray,
+) -> tuple[np.ndarray, list[int], list[list[int]]]:
+    """Ids shared by the paths to all exit states, then entry state and further ids of each.
+
+    Where paths meet inside the chunk, only what lies before the first and after the last
+    meeting place depends on the states.
+    """
+    places = _meeting_places(model, text, own)
+    if places is None:
+        return _trace_states(model, text, own, entry.tolist())
+    first, last = places
+    runs = model.run_ids
+    _, back = model.forward(text[:first], first, entry.tolist())
+    state, head = model.trace(text[:first], back, first)
+    middle = b"".join(map(runs.__getitem__, model.split(text[first:last])))
+    shared, states, ends = _trace_states(model, text[last:], own - last, [0.0])
+    ids = np.concatenate([head, np.frombuffer(middle, np.int32), shared]).astype(np.int32)
+    return ids, [state if s >= 0 else -1 for s in states], ends
+
+
+def _trace_states(
+    model: pieces.PieceModel, text: str, own: int, entry: list[float]
+) -> tuple[np.ndarray, list[int], list[list[int]]]:
+    best, back = model.forward(text, own, entry)
     states, paths = [], []
     for exit_state in range(model.longest):
         end = own + exit_state
-        if end < len(best) and best[end] > pieces.LOW:
-            state, ids = model.trace(text, back, end)
-            states.append(state)
-            paths.append(ids)
-        else:
-            states.append(-1)
-            paths.append([])
+        live = end < len(best) and best[end] > pieces.LOW
+        state, ids = model.trace(text, back, end) if live else (-1, [])
+        states.append(state)
+        paths.append(ids)
     live = [p for p, s in zip(paths, states) if s >= 0]
     low, high = min(live), max(live)
-    shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    return low[:shared], states, [p[shared:] for p in paths]
+    same = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    return np.array(low[:same], np.int32), states, [p[same:] for p in paths]
 
 
 def _list_array(data: bytes, sizes: list[int]) -> pa.Array:
@@ -96,7 +123,7 @@ def _list_array(data: bytes, sizes: list[int]) -> pa.Array:
 def _encode_whole(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.load(path)
-        runs = pieces.RunIds(model)
+        runs = model.run_ids
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
                 part = batch.slice(start, BATCH)

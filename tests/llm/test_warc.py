@@ -61,15 +61,11 @@ def test_predicates_reach_the_reader_and_skip_payloads(spark):
     other = GreaterThan(("payload_length",), 5)
     filters = [EqualTo(("record_type",), "response"), In(("record_id",), ("<urn:page:3>", "<urn:page:4>")), StringStartsWith(("target_uri",), "http://h"), other]
     assert list(reader.pushFilters(filters)) == [other]
-    inflated = []
-    original = warc.zlib.decompressobj
     batches = [b for p in reader.partitions() for b in reader.read(p)]
     assert sorted(r for b in batches for r in b.column("record_id").to_pylist()) == ["<urn:page:3>", "<urn:page:4>"]
-    assert original is warc.zlib.decompressobj and not inflated
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     try:
         found = warc.read_warc(spark, path).where("record_type = 'revisit' and record_id like '<urn:page:%'")
-        assert "PushedFilters" in found._jdf.queryExecution().toString() or found.count() >= 0
         assert found.count() == sum(r[3] == "revisit" for r in brute(pages(spark).collect(), 0))
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
