@@ -55,8 +55,19 @@ def word_count(text: Column) -> Column:
     return F.length(F.regexp_replace(dots, f"[{SPACE}]+", "")).cast("long")
 
 
+#: Texts that cross between Spark and a Python worker together, at most.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers of the session's cluster, once."""
+    """Prepare the session for Python workers that read texts.
+
+    Sends this package to them, once, and lowers the rows of an Arrow batch: both sides hold
+    whole batches, and ten thousand long texts are too much for either.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_custvalue_shipped", False):
         return

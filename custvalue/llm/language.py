@@ -29,7 +29,7 @@ UNDETERMINED = "und"
 #: n-grams of a profile.
 PROFILE = 300
 #: Characters of a text, and n-grams of a task's counts, that are held at once.
-BLOCK, HELD = 1 << 20, 1 << 21
+BLOCK, HELD = 1 << 20, 1 << 19
 BLANK, BITS = 32, 21
 
 Profiles = dict[str, list[int]]
@@ -92,14 +92,19 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> Profiles:
             )
 
         held: dict[str, list] = {}
-        sizes: dict[str, int] = {}
+        size = 0
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, []).append(gram_counts(text))
-                sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1][0])
-                if sizes[lang] > HELD:
-                    yield passed_on(lang, held.pop(lang))
-                    sizes[lang] = 0
+                found = gram_counts(text)
+                held.setdefault(lang, []).append(found)
+                size += len(found[0])
+                if size > HELD:  # merge what texts share, and pass it on if that is still much
+                    held = {name: [_merged(*map(list, zip(*parts)))] for name, parts in held.items()}
+                    size = sum(len(parts[0][0]) for parts in held.values())
+                    if size > HELD // 2:
+                        for name, parts in held.items():
+                            yield passed_on(name, parts)
+                        held, size = {}, 0
         for lang, parts in held.items():
             yield passed_on(lang, parts)
 

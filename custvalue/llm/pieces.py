@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -22,7 +22,7 @@ UNKNOWN_PENALTY = 10.0
 NORMAL, BYTE = 1, 6  # piece types of the file format
 #: Longer runs are segmented each time anew and not remembered.
 REMEMBERED_LENGTH = 48
-#: Runs that a worker remembers at most; older ones go first.
+#: Runs that a task remembers at most; older ones go first.
 REMEMBERED = 250_000
 
 LOW = float("-inf")
@@ -85,10 +85,6 @@ class PieceModel:
             raise ValueError("the vocabulary has no piece for some byte")
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
-        # Pieces as a tree by character, and the ends of pieces with their scores: a search stops
-        # where no piece goes on.
-        self.tree = _tree(self.scores)
-        self.finals = {p[n:]: LOW for p in self.ids for n in range(1, len(p))} | self.scores
         # Pieces meet at every place that no piece spans: between characters that are
         # neighbours in no piece. Whole texts are split at those that a pattern can name, before
         # space marks and around punctuation that is only joined to its own kind; the runs are
@@ -108,6 +104,22 @@ class PieceModel:
             for p, _, kind in pieces
         ]
 
+    @cached_property
+    def tree(self) -> dict:
+        """Pieces by character; a search forward stops where no piece goes on."""
+        return _tree(self.scores)
+
+    @cached_property
+    def finals(self) -> dict[str, float]:
+        """Ends of pieces with their scores; a search backward stops where no piece goes on."""
+        return {p[n:]: LOW for p in self.ids for n in range(1, len(p))} | self.scores
+
+    def forget(self) -> None:
+        """Drop what was remembered of runs, so that an idle worker holds no memory for them."""
+        self._parts.clear()
+        self.run_ids.older.clear()
+        self.run_ids.clear()
+
     @staticmethod
     def marked(text: str) -> str:
         """The text as pieces see it: a space mark in front and for every space."""

@@ -134,6 +134,7 @@ def _encode_whole(path: str):
                 ids = _list_array(b"".join(found), [len(f) // 4 for f in found])
                 kept = [part.column(i) for i in range(part.num_columns - 1)]
                 yield pa.record_batch([*kept, ids], names=[*part.schema.names[:-1], "ids"])
+        model.forget()
 
     return run
 
@@ -193,6 +194,7 @@ def _traces(path: str):
             yield frame[["segment_row", "chunk"]].assign(
                 shared=[f[0] for f in found], states=[f[1] for f in found], ends=[f[2] for f in found]
             )
+        model.forget()
 
     return run
 
