@@ -8,6 +8,11 @@ first by name of equally near ones.
 n-grams are one to three lower-case characters of a word with a blank on each side, as numbers
 of 21 bits per character. Equally frequent ones rank by that number.
 
+A text unlike every language is told by its score. Text of a language that was not learned, and
+letters without a language, score about a third of what text of the nearest language does, so a
+text is rejected below ``SHARE`` of the median score of the learning texts that are nearest to
+the same language and have about as many n-grams, as short texts score otherwise than long ones.
+
 Defined cases: a null text and one without a letter are ``und`` with score 0, as is everything if
 no profile was learned; rows without a language teach nothing; repeated rows are all counted and
 judged alike; other columns of the input are ignored.
@@ -15,6 +20,7 @@ judged alike; other columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +37,14 @@ PROFILE = 300
 #: Characters of a text, and n-grams of a task's counts, that are held at once.
 BLOCK, HELD = 1 << 20, 1 << 19
 BLANK, BITS = 32, 21
+#: Share of a median score that a text has to reach, and texts that a median needs.
+SHARE, LEARNT = 0.45, 50
+#: Steps of a score that are counted apart for the medians.
+STEPS = 10_000
 
 Profiles = dict[str, list[int]]
+#: Least score by language and class of n-gram numbers; class None is for all others.
+Limits = dict[tuple[str, int | None], float]
 
 
 @lru_cache(maxsize=1)
@@ -140,18 +152,23 @@ class Judge:
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """Language and score: 1 for the profile's own order, 0 for nothing shared."""
+        return self.measured(text)[:2]
+
+    def measured(self, text: str | None) -> tuple[str, float, int]:
+        """Language, score and class of the number of n-grams: n is up to two to its power."""
         if not text or not self.names:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0
         keys, counts = gram_counts(text)
         if not len(keys):
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0
         own = ranked(keys, counts, self.size)
         places = np.searchsorted(self.keys, own).clip(max=len(self.keys) - 1)
         ranks = np.where((self.keys[places] == own)[:, None], self.ranks[places], -1)
         apart = np.where(ranks < 0, self.size, abs(ranks - np.arange(len(own))[:, None]))
         total = apart.sum(axis=0)
         best = int(total.argmin())
-        return self.names[best], float(1 - total[best] / (self.size * len(own)))
+        score = float(1 - total[best] / (self.size * len(own)))
+        return self.names[best], score, (len(own) - 1).bit_length()
 
 
 def identify(docs: DataFrame, learned: Profiles, size: int = PROFILE) -> DataFrame:
@@ -182,15 +199,67 @@ def held_out(divisor: int, remainder: int) -> Column:
     return F.coalesce(code % divisor == remainder, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, learned: Profiles, least: float = 0.05) -> DataFrame:
-    """Documents with a determined language whose score is ``least`` or more, columns unchanged."""
+def limits(docs: DataFrame, learned: Profiles) -> Limits:
+    """Scores below which a text is unlike its nearest language, from all rows with a language.
+
+    A median of fewer than ``LEARNT`` texts says little: a class with fewer takes that of its
+    language, and a language with fewer has no limit. Tasks count scores in steps; Spark adds the
+    counts and takes the medians, which alone come to the driver.
+    """
+    ship(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge, found = Judge(learned), Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                lang, score, grams = judge.measured(text)
+                if lang != UNDETERMINED:
+                    found[lang, grams, int(score * STEPS)] += 1
+        keys = list(found)
+        yield pa.record_batch(
+            [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.int32()),
+                pa.array([k[2] for k in keys], pa.int32()),
+                pa.array(list(found.values()), pa.int64()),
+            ],
+            names=["lang", "grams", "step", "n"],
+        )
+
+    rows = (
+        docs.where("text is not null and lang is not null")
+        .select("text")
+        .mapInArrow(count, "lang string, grams int, step int, n long")
+        .groupBy("lang", "grams", "step")
+        .agg(F.sum("n").alias("n"))
+        .rollup("lang", "grams")
+        .agg(F.sum("n").alias("n"), F.percentile("step", 0.5, F.col("n")).alias("step"))
+        .where((F.col("n") >= LEARNT) & F.col("lang").isNotNull())
+        .collect()
+    )
+    return {(r["lang"], r["grams"]): SHARE * r["step"] / STEPS for r in rows}
+
+
+def keep_identified(
+    docs: DataFrame, learned: Profiles, least: float = 0.05, known: Limits | None = None
+) -> DataFrame:
+    """Documents with a determined language and a score that is high enough, columns unchanged.
+
+    High enough is ``least``, and what ``known`` (of ``limits``) has for the nearest language.
+    """
     ship(docs.sparkSession)
+    known = known or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(learned)
+
+        def fits(text: str | None) -> bool:
+            lang, score, grams = judge.measured(text)
+            limit = known.get((lang, grams), known.get((lang, None), least))
+            return lang != UNDETERMINED and score >= max(least, limit)
+
         for batch in batches:
-            found = [judge.nearest(t) for t in batch.column("text").to_pylist()]
-            fits = [lang != UNDETERMINED and score >= least for lang, score in found]
-            yield batch.filter(pa.array(fits, pa.bool_()))
+            found = [fits(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(found, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

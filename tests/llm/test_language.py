@@ -1,7 +1,11 @@
+import base64
+import random
 from collections import Counter
+from statistics import median
 
 from corpus_cases import documents, empty, frame
 
+import corpus_pipeline
 from custvalue.llm import language
 from custvalue.llm.common import table
 
@@ -78,3 +82,34 @@ def test_held_out_accuracy(spark):
     found = language.identify(docs.where(held), language.profiles(docs.where(~held)))
     rows = found.join(docs.select("doc_id", "lang"), "doc_id").where("lang is not null").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows) > 0
+
+
+POLISH = """Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni
+obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek
+posiada wszystkie prawa i wolności zawarte w niniejszej Deklaracji bez względu na różnice."""
+
+
+def test_texts_unlike_every_language_go_and_others_stay(spark):
+    rng = random.Random(3)
+    planted = [POLISH, " ".join(POLISH.split()[:12])]
+    for _ in range(20):
+        spelled = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(60)]
+        planted += [" ".join(spelled), base64.b64encode(rng.randbytes(300)).decode()]
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    # Some of them even claim a language.
+    rows = [(-1 - i, t, [None, "en"][i % 2], "s", len(t)) for i, t in enumerate(planted)]
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(frame(spark, rows)), "")
+    want = {r["doc_id"] for r in docs.collect() if slow_grams(r["text"])}
+    assert {r["doc_id"] for r in kept.collect()} == want
+
+
+def test_limits_agree_with_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    learned, by_class = language.profiles(docs), {}
+    for r in docs.where("text is not null and lang is not null").collect():
+        lang, score = slow_judge(r["text"], learned)
+        grams = (min(300, len(slow_grams(r["text"]))) - 1).bit_length()
+        for at in ((lang, grams), (lang, None)):
+            by_class.setdefault(at, []).append(int(score * 10_000))
+    want = {at: 0.45 * median(s) / 10_000 for at, s in by_class.items() if len(s) >= 50}
+    assert want and language.limits(docs, learned) == want
