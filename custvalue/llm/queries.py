@@ -113,7 +113,8 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return syncmers.edit_likeness(table(spark, folder, "documents"))
+    """Whole anchor sets, not sketches of them."""
+    return syncmers.edit_likeness(table(spark, folder, "documents"), size=None)
 
 
 @query

@@ -2,9 +2,12 @@
 
 Every five consecutive words are a k-mer; its inner substrings are its four pairs of words. The
 k-mer is an anchor if the smallest pair hash lies at an edge, first or last. That depends on the
-k-mer alone, so an edit changes only the anchors that contain it. A fingerprint is the smallest
-64 anchor hashes, and the likeness of two fingerprints is the share of common hashes among the
-smallest 64 of both, an estimate of the likeness of their anchor sets.
+k-mer alone, so an edit changes only the anchors that contain it.
+
+With ``size`` None a fingerprint is every distinct anchor hash of 64 bits, the likeness of two is
+the share of common hashes among all of both, and each anchor comes with its position, which
+matching of passages joins on. With a number it is a sketch: that many smallest hashes of 32 bits,
+whose likeness is an estimate from the smallest of both; long texts can differ and have like ones.
 
 Words are runs without ASCII white space; a code point from U+2E80 on, where scripts do without
 spaces, is a word of its own.
@@ -23,14 +26,15 @@ from pyspark.sql import functions as F
 from custvalue.llm.common import SPACE, text_of
 
 KMER, PAIR = 5, 2
-#: Hashes of a fingerprint, each of 32 bits.
+#: Hashes of a sketch, each of 32 bits.
 SIZE = 64
 #: Ranges of doc_id per shuffle partition.
 RANGES = 4
 
 
-def _hash32(*columns: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(*columns), 32)
+def _hash(size: int | None, *columns: Column) -> Column:
+    found = F.xxhash64(*columns)
+    return found if size is None else F.shiftrightunsigned(found, 32)
 
 
 def _words(text: str) -> Column:
@@ -53,8 +57,13 @@ def _with_pairs(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_pairs", F.when(F.size("_words") >= KMER, pairs))
 
 
-def with_anchors(df: DataFrame, text: str, out: str, size: int = SIZE) -> DataFrame:
-    """Add ``out``, the smallest ``size`` distinct anchor hashes of the column ``text``."""
+def with_anchors(
+    df: DataFrame, text: str, out: str, size: int | None = SIZE, at: str | None = None
+) -> DataFrame:
+    """Add ``out``, the distinct anchor hashes of the column ``text`` in order, or the first of them.
+
+    ``at`` names a further column with the position of the first word and the hash of every anchor.
+    """
     df = _with_pairs(df, text)
 
     def pair(i: Column, step: int) -> Column:
@@ -64,31 +73,45 @@ def with_anchors(df: DataFrame, text: str, out: str, size: int = SIZE) -> DataFr
         F.sequence(F.lit(0), F.size("_pairs") - (KMER - PAIR + 1)),
         lambda i: F.when(
             F.least(pair(i, 0), pair(i, 3)) <= F.least(pair(i, 1), pair(i, 2)),
-            _hash32(pair(i, 0), pair(i, 2), pair(i, 3)),
+            F.struct(
+                i.alias("position"), _hash(size, pair(i, 0), pair(i, 2), pair(i, 3)).alias("hash")
+            ),
         ),
     )
-    anchors = F.array_distinct(F.array_compact(closed))
-    df = df.withColumn("_anchors", F.when(F.col("_pairs").isNotNull(), anchors))
-    whole = F.when(F.size("_words") > 0, F.array(_hash32(F.col("_words")))).otherwise(
-        F.array().cast("array<bigint>")
+    df = df.withColumn("_anchors", F.when(F.col("_pairs").isNotNull(), F.array_compact(closed)))
+    whole = F.array(
+        F.struct(F.lit(0).alias("position"), _hash(size, F.col("_words")).alias("hash"))
+    )
+    nothing = F.array().cast("array<struct<position:int,hash:bigint>>")
+    df = df.withColumn(
+        "_anchors",
+        F.when(F.size("_anchors") > 0, F.col("_anchors"))
+        .when(F.size("_words") > 0, whole)
+        .otherwise(nothing),
     )
-    chosen = F.when(F.size("_anchors") > 0, F.sort_array("_anchors")).otherwise(whole)
-    return df.withColumn(out, F.slice(chosen, 1, size)).drop("_words", "_pairs", "_anchors")
+    hashes = F.sort_array(F.array_distinct(F.col("_anchors.hash")))
+    df = df.withColumn(out, hashes if size is None else F.slice(hashes, 1, size))
+    return (df.withColumn(at, F.col("_anchors")) if at else df).drop("_words", "_pairs", "_anchors")
 
 
-def as_text(hashes: str | Column) -> Column:
-    """Eight hexadecimal digits per hash."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
+def as_text(hashes: str | Column, size: int | None = SIZE) -> Column:
+    """Eight hexadecimal digits per hash of a sketch, sixteen otherwise."""
+    digits = 16 if size is None else 8
+    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), digits, "0"))), "")
 
 
-def likeness(a: str, b: str, size: int = SIZE) -> Column:
-    """Share of common hashes among the smallest ones of both."""
+def likeness(a: str, b: str, size: int | None = SIZE) -> Column:
+    """Share of common hashes among those of both, of sketches among the smallest ones."""
+    none = (F.size(a) == 0) & (F.size(b) == 0)
+    if size is None:
+        common = F.size(F.array_intersect(a, b))
+        return F.when(none, 1.0).otherwise(common / (F.size(a) + F.size(b) - common))
     smallest = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
     both = F.size(F.array_intersect(smallest, F.array_intersect(a, b)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both / F.size(smallest))
+    return F.when(none, 1.0).otherwise(both / F.size(smallest))
 
 
-def positions(docs: DataFrame) -> DataFrame:
+def positions(docs: DataFrame, size: int | None = SIZE) -> DataFrame:
     """doc_id, position (of the first word) and hash of every anchor, for positional matching."""
     df = _with_pairs(docs.select("doc_id", text_of("text").alias("text")), "text")
     at = [F.get("_pairs", F.col("position") + j).alias(f"p{j}") for j in range(KMER - PAIR + 1)]
@@ -98,7 +121,7 @@ def positions(docs: DataFrame) -> DataFrame:
         .select("doc_id", "_pairs", F.explode(F.sequence(F.lit(0), last)).alias("position"))
         .select("doc_id", "position", *at)
         .where(F.least("p0", "p3") <= F.least("p1", "p2"))
-        .select("doc_id", "position", _hash32(F.col("p0"), F.col("p2"), F.col("p3")).alias("hash"))
+        .select("doc_id", "position", _hash(size, F.col("p0"), F.col("p2"), F.col("p3")).alias("hash"))
     )
 
 
@@ -128,14 +151,14 @@ def _by_range(docs: DataFrame) -> DataFrame:
     )
 
 
-def edit_likeness(docs: DataFrame) -> DataFrame:
+def edit_likeness(docs: DataFrame, size: int | None = SIZE) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likenesses.
 
     The edited text has its last third replaced by the start of the next document by
-    descending doc_id. Texts are shuffled once.
+    descending doc_id. Texts are shuffled once, without hashes, as those of a text are as large.
+    With ``size`` None the positions of the text's anchors are a further column.
     """
     rows = _by_range(docs.select("doc_id", text_of("text").alias("text")))
-    rows = with_anchors(rows, "text", "hashes")
     # The next document by descending doc_id is the one before in ascending order.
     order = Window.partitionBy("range").orderBy(
         "own", F.col("doc_id").asc_nulls_first(), "text"
@@ -147,23 +170,19 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     )
     rows = (
         rows.withColumn("next_text", F.lag("text").over(order))
-        .withColumn("next_hashes", F.lag("hashes").over(order))
         .where("own")
-        .select(
-            "doc_id",
-            F.length("text").cast("long").alias("n_chars"),
-            edited.alias("edited"),
-            "hashes",
-            "next_hashes",
-        )
+        .select("doc_id", "text", "next_text", edited.alias("edited"))
     )
-    rows = with_anchors(rows, "edited", "edited_hashes")
+    rows = with_anchors(rows, "text", "hashes", size, "positions")
+    rows = with_anchors(rows, "next_text", "next_hashes", size).drop("next_text")
+    rows = with_anchors(rows, "edited", "edited_hashes", size)
     return rows.select(
         "doc_id",
-        "n_chars",
+        F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text("hashes").alias("fingerprint"),
-        as_text("edited_hashes").alias("edited_fingerprint"),
-        likeness("hashes", "edited_hashes").alias("near_edited"),
-        likeness("hashes", "next_hashes").alias("near_next"),
+        as_text("hashes", size).alias("fingerprint"),
+        as_text("edited_hashes", size).alias("edited_fingerprint"),
+        likeness("hashes", "edited_hashes", size).alias("near_edited"),
+        likeness("hashes", "next_hashes", size).alias("near_next"),
+        *(["positions"] if size is None else []),
     )

@@ -1,10 +1,11 @@
 import hashlib
+import random
 import re
 
 import xxhash
 from corpus_cases import documents, empty, frame
 
-from custvalue.llm import syncmers
+from custvalue.llm import queries, syncmers
 from custvalue.llm.common import settle
 
 
@@ -69,3 +70,36 @@ def test_positions_of_anchors(spark):
     found = settle(syncmers.positions(frame(spark, rows)), "positions").collect()
     want = [(r[0], i, h) for r in rows for i, h in slow_anchors(r[1])[1]]
     assert sorted(map(tuple, found)) == sorted(want)
+
+
+def whole_anchors(text):
+    """Position and 64-bit hash of every anchor."""
+    hashes = [h64_of(w) for w in text.split()]
+    pairs = [h64(a, b) for a, b in zip(hashes, hashes[1:])]
+    return [(i, h64(pairs[i], pairs[i + 2], pairs[i + 3])) for i, _ in slow_anchors(text)[1]]
+
+
+def h64_of(word):
+    h = xxhash.xxh64_intdigest(word.encode(), 42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_query_compares_whole_sets_and_places_passages(spark, tmp_path):
+    rng = random.Random(4)
+    long, other = ([f"w{rng.randrange(5000)}" for _ in range(6000)] for _ in range(2))
+    changed = long[:3000] + ["changed"] + long[3001:]
+    quoting = other[:1000] + long[4000:4060] + other[1000:]
+    texts = {i: " ".join(t) for i, t in enumerate((long, changed, quoting))}
+    frame(spark, [(i, t, "en", "s", 1) for i, t in texts.items()]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in settle(queries.op7_document_fingerprints(spark, str(tmp_path)), "whole").collect()}
+    anchors = {i: whole_anchors(t) for i, t in texts.items()}
+    sets = {i: {h for _, h in a} for i, a in anchors.items()}
+    for i, row in found.items():
+        assert [tuple(p) for p in row["positions"]] == anchors[i]
+        assert row["fingerprint"] == "".join(f"{h & (2**64 - 1):016x}" for h in sorted(sets[i]))
+    for i, after in ((1, 0), (2, 1)):
+        assert found[i]["near_next"] == len(sets[i] & sets[after]) / len(sets[i] | sets[after])
+    assert 0.99 < found[1]["near_next"] < 1 and 0 < found[2]["near_next"]
+    at = {h: p for p, h in anchors[0]}
+    apart = [at[h] - p for p, h in map(tuple, found[2]["positions"]) if h in at]
+    assert apart.count(3000) >= 15
