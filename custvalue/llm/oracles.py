@@ -94,3 +94,87 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM kept
 """
+
+STATEMENTS["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+per_term AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM per_term GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM per_term, whole GROUP BY term, docs),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT
+           AS score
+  FROM asked JOIN weights USING (term) JOIN per_term USING (term) JOIN lengths USING (doc_id), whole
+  GROUP BY item_id, doc_id),
+placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM placed WHERE rank <= 20
+"""
+
+STATEMENTS["op12_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT goes), '')) AS kept_sha256
+FROM (SELECT k.*, r.keeper IS NOT NULL AND r.keeper <> doc_id AS goes FROM keyed k LEFT JOIN repeated r USING (key))
+GROUP BY doc_id
+"""
+
+#: CRC-32 of a number's decimal text, a byte at a time and eight bits a byte.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, [ascii(d)::BIGINT FOR d IN string_split(conv_id::VARCHAR, '')]),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), [0::BIGINT FOR i IN range(8)]),
+      lambda c, i: xor(c >> 1, 3988292384 * (c % 2)))))"""
+
+STATEMENTS["op13_conversation_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list(said ORDER BY place) AS own FROM turns GROUP BY conv_id),
+shared AS (SELECT *, {_CRC32} % 4 AS h FROM convs),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS said
+  FROM shared c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, said[1:d] AS prefix, d AS depth, len(said) AS size
+  FROM rebuilt, LATERAL (SELECT unnest(range(len(said) + 1)) AS d)),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN depth > 0 THEN len(regexp_extract_all(prefix[-1].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = size), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth),
+families AS (SELECT prefix[1:depth - 1] AS parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(f.n, 0) AS n_children FROM nodes n LEFT JOIN families f ON f.parent = n.prefix),
+above AS (
+  SELECT prefix[1:k] AS top, n_children, (n_convs - 1) * words AS saved
+  FROM counted, LATERAL (SELECT unnest(range(depth + 1)) AS k)),
+inside AS (
+  SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY top)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, i.n_leaves, i.saved_tokens, c.ends_sha256
+FROM counted c JOIN inside i ON i.top = c.prefix
+LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.prefix = c.prefix[1:c.depth - 1]
+"""

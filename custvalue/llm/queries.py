@@ -12,12 +12,15 @@ from custvalue.llm import (
     counts,
     exact,
     language,
+    lines,
     mix,
     pieces,
+    search,
     segment,
     simhash,
     syncmers,
     toxicity,
+    trie,
     urls,
     warc,
 )
@@ -130,3 +133,19 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         warc.page_of("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.drop_repeated_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
