@@ -3,8 +3,8 @@
 The impact of a term in a document is the part of its score that the document decides, before the
 term's weight. All impacts of a document fold into a sketch: its terms are hashed to coordinates,
 a power of two of them that grows with the document, and each coordinate holds the largest impact
-that fell there, rounded up. Looking up the terms of a query therefore never gives less than the
-document's score. A block of queries is looked up in all sketches at once; the documents with the
+that fell there, rounded up. Most coordinates are zero, so those with an impact are stored alone.
+Looking up the terms of a query therefore never gives less than the document's score. A block of queries is looked up in all sketches at once; the documents with the
 highest bounds are scored exactly, which gives a threshold, and the others follow in descending
 order of their bounds until these are below the threshold that the scores have reached. Texts are
 only read again for documents whose bound reaches it.
@@ -46,8 +46,10 @@ UNIT = 16
 BLOCK_ENTRIES, BLOCK_ITEMS = 20_000, 1_000
 #: Distinct terms that a task counts before it hands them on.
 COUNTED = 200_000
-#: Numbers of a lookup that a task holds at once.
-HELD = 2_000_000
+#: Numbers of a lookup that a task holds at once, and rows whose bounds it gives together.
+HELD, ROWS = 2_000_000, 512
+#: Coordinates of the smallest sketch, and for every distinct term of a larger one.
+LEAST_SIZE, SPARSE = 1 << 16, 64
 #: Texts that are scored for an item in the first round by bounds; each later one takes eight times more.
 FIRST = 50
 
@@ -116,45 +118,54 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def sketch_size(distinct: int) -> int:
-    """Coordinates of a document: a power of two, one to two for every distinct term."""
-    return max(16, 1 << (distinct - 1).bit_length())
+    """Coordinates of a document's sketch."""
+    return max(LEAST_SIZE, 1 << (distinct * SPARSE - 1).bit_length())
+
+
+def fold(hashes: list[int], impacts: np.ndarray, size: int) -> bytes:
+    """A sketch: coordinates that have an impact (32 bits each), then the largest of each (16 bits)."""
+    at = np.array(hashes, np.int64) & (size - 1)
+    units = (-(-impacts // UNIT)).astype(np.uint16)
+    order = np.lexsort((units, at))
+    at, units = at[order], units[order]
+    last = np.append(at[1:] != at[:-1], True)
+    return at[last].astype(np.uint32).tobytes() + units[last].tobytes()
+
+
+def unfold(sketch: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates and impacts of a sketch."""
+    count = len(sketch) // 6
+    return np.frombuffer(sketch, np.uint32, count), np.frombuffer(sketch, np.uint16, count, 4 * count)
 
 
 def sketches(docs: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id, text_key and the sketch (16-bit numbers) of every document that has a term."""
+    """doc_id, text_key and the sketch, with its size, of every document that has a term."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sizes, counts, lengths, hashes, tfs = [], [], [], [], [], []
+            rows, sizes, folded = [], [], []
             for row, blob in enumerate(batch.column(2)):
                 found = Counter(terms_of(blob.as_py()))
                 if found:
+                    tf = np.fromiter(found.values(), np.int64, len(found))
+                    impacts = weights.impact(tf, weights.length(found.total()))
                     rows.append(row)
                     sizes.append(sketch_size(len(found)))
-                    counts.append(len(found))
-                    lengths.append(found.total())
-                    hashes.extend(map(crc32, found))
-                    tfs.extend(found.values())
-            size, count = np.array(sizes, np.int64), np.array(counts, np.int64)
-            ends = np.cumsum(size)
-            m = np.repeat(weights.length(np.array(lengths, np.int64)), count)
-            impact = weights.impact(np.array(tfs, np.int64), m)
-            at = np.repeat(ends - size, count) + (np.array(hashes, np.int64) & (np.repeat(size, count) - 1))
-            folded = np.zeros(ends[-1] if rows else 0, np.uint16)
-            np.maximum.at(folded, at, (-(-impact // UNIT)).astype(np.uint16))
-            data = folded.tobytes()
+                    folded.append(fold(list(map(crc32, found)), impacts, sizes[-1]))
+            there = pa.array(rows, pa.int64())
             yield pa.record_batch(
                 [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
-                    batch.column(1).take(pa.array(rows, pa.int64())),
-                    pa.array([data[2 * (e - s) : 2 * e] for e, s in zip(ends.tolist(), sizes)], pa.binary()),
+                    batch.column(0).take(there),
+                    batch.column(1).take(there),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(folded, pa.binary()),
                 ],
-                names=["doc_id", "text_key", "sketch"],
+                names=["doc_id", "text_key", "size", "sketch"],
             )
 
     keyed = _blobs(docs, "doc_id", F.xxhash64(text_of("text")).alias("text_key"))
-    return keyed.mapInArrow(run, "doc_id long, text_key long, sketch binary")
+    return keyed.mapInArrow(run, "doc_id long, text_key long, size long, sketch binary")
 
 
 @dataclass
@@ -170,18 +181,26 @@ class Block:
         self.factors = np.array([w * UNIT for _, w in entries], np.int64)
         self.starts = np.cumsum([0, *map(len, self.weights)])[:-1]
 
-    def bounds(self, sketches: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
+    def bounds(self, sizes: list[int], sketches: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
         """Some rows at a time: their numbers and their bounds for every item."""
         by_size = defaultdict(list)
-        for row, sketch in enumerate(sketches):
-            by_size[len(sketch) // 2].append(row)
-        at_once = max(1, HELD // len(self.hashes))
+        for row, size in enumerate(sizes):
+            by_size[size].append(row)
         for size, rows in by_size.items():
             place = self.hashes & (size - 1)
-            for start in range(0, len(rows), at_once):
-                some = rows[start : start + at_once]
-                folded = np.frombuffer(b"".join([sketches[r] for r in some]), np.uint16).reshape(-1, size)
-                yield some, np.add.reduceat(folded[:, place] * self.factors, self.starts, axis=1)
+            at_once = max(1, min(HELD // len(place), HELD // size))
+            dense = np.zeros((min(at_once, len(rows)), size), np.uint16)
+            for start in range(0, len(rows), ROWS):
+                some, found = rows[start : start + ROWS], []
+                for first in range(0, len(some), at_once):
+                    held = [unfold(sketches[r]) for r in some[first : first + at_once]]
+                    row = np.repeat(np.arange(len(held)), [len(at) for at, _ in held])
+                    at = np.concatenate([at for at, _ in held])
+                    dense[row, at] = np.concatenate([units for _, units in held])
+                    looked_up = dense[: len(held), place] * self.factors
+                    found.append(np.add.reduceat(looked_up, self.starts, axis=1))
+                    dense[row, at] = 0
+                yield some, np.concatenate(found)
 
 
 def _blocks(items: DataFrame, terms: DataFrame, weights: Weights) -> Iterator[Block]:
@@ -234,7 +253,7 @@ def highest_bounds(index: DataFrame, block: Block, k: int) -> DataFrame:
         for batch in batches:
             doc_ids = np.array([*batch.column(0).to_pylist(), None], object)
             text_keys = batch.column(1).to_numpy()
-            for rows, bounds in block.bounds(batch.column(2).to_pylist()):
+            for rows, bounds in block.bounds(*(c.to_pylist() for c in batch.columns[2:])):
                 some = np.array(rows)
                 # Only items that these rows change.
                 for item in np.flatnonzero(bounds.max(axis=0) > best.min(axis=0)):
@@ -262,7 +281,7 @@ def bounds_from(index: DataFrame, block: Block, least: list[int], k: int) -> Dat
         held: dict[tuple[int, int], tuple[int, list]] = {}
         for batch in batches:
             doc_ids, text_keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for rows, bounds in block.bounds(batch.column(2).to_pylist()):
+            for rows, bounds in block.bounds(*(c.to_pylist() for c in batch.columns[2:])):
                 at, item = np.nonzero(bounds >= limits)
                 for row, i, bound in zip(at.tolist(), item.tolist(), bounds[at, item].tolist()):
                     ids = held.setdefault((i, text_keys[rows[row]]), (bound, []))[1]
