@@ -63,23 +63,14 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    """Pieces of every text, and whether they decode to it."""
+    """Number and hash of the pieces of every text, and whether they decode to it."""
     docs = table(spark, folder, "documents")
     text = F.replace(text_of("text"), F.lit(pieces.SPACE), F.lit(" "))
     hashed = docs.select("doc_id", "text", F.sha2(text, 256).alias("text_sha256"))
-    encoded = segment.encode(hashed, ("doc_id", "text_sha256")).withColumns(
-        {
-            "n_tokens": F.size("ids").cast("long"),
-            "ids_sha256": F.sha2(F.array_join("ids", " "), 256),
-        }
-    )
-    return segment.decode(encoded).select(
-        "doc_id",
-        "n_tokens",
-        "ids_sha256",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
-    )
+    given = ("n_tokens", "ids_sha256", "decoded_sha256")
+    encoded = segment.encode(hashed, ("doc_id", "text_sha256"), give=given)
+    same = F.col("decoded_sha256") == F.col("text_sha256")
+    return encoded.select("doc_id", *given, same.alias("round_trip"))
 
 
 @query

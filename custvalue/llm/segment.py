@@ -1,12 +1,15 @@
 """Encoding into pieces and decoding, with giant documents cut into chunks.
 
 The best segmentation is a longest path, so a chunk is a matrix over (max, +): entry states are
-how far a piece of the chunk before reaches in, exit states how far one reaches out. The matrices
-of a document are multiplied from the left into the scores that enter each chunk. With these, the
-chunks are traced back independently, for every exit state, and the states are linked from the
-right. Chunks of one document are dealt over tasks; only matrices (2 kB per chunk) meet.
+how far a piece of the chunk before reaches in, exit states how far one reaches out. The product
+of such matrices is associative: the matrices of a block of neighbouring chunks are combined into
+one, all blocks of a document at once; the few block matrices are scanned, which gives the scores
+that enter each block; and these are pushed down through the block to its chunks. With the scores
+that enter it, each chunk is traced back on its own, for every exit state, and the states are
+linked from the right. Chunks are dealt over tasks; a block of them meets as matrices (2 kB each).
 
-Documents up to the chunk size are one chunk with one entry and one exit state and need no scan.
+Documents below the chunk size are one chunk with one entry and one exit state: their matrix is a
+number, and no scan is needed. Their runs are segmented together, a batch of documents at a time.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text; a space mark in
 a text decodes to a space; repeated rows are encoded each; other columns are carried along
@@ -15,8 +18,8 @@ under their names if listed in ``keep``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -30,15 +33,23 @@ from custvalue.llm.common import settle, ship, text_of
 
 #: Characters of a chunk; longer documents are encoded by several tasks.
 CHUNK = 32768
-#: Rows that leave a task together.
-BATCH = 200
+#: Chunks whose matrices are combined into one.
+BLOCK = 32
+#: Rows that a task works on together.
+BATCH = 400
 
 
 def _meeting_places(model: pieces.PieceModel, text: str, own: int) -> tuple[int, int] | None:
-    """First and last place inside the chunk where all paths meet, if there are two."""
-    ends = list(accumulate(map(len, model.split(text))))
-    inner = [e for e in ends if e < own]
-    return (inner[0], inner[-1]) if len(inner) > 1 else None
+    """First and last place inside the chunk where all paths meet, if there are two.
+
+    Paths meet between characters that are neighbours in no piece.
+    """
+    joined = model.joined
+    first = next((i for i in range(1, own) if text[i - 1 : i + 1] not in joined), None)
+    if first is None:
+        return None
+    last = next(i for i in range(own - 1, 0, -1) if text[i - 1 : i + 1] not in joined)
+    return (first, last) if first < last else None
 
 
 def _leaving(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
@@ -49,6 +60,32 @@ def _leaving(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
     return leave
 
 
+def _all_entries(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
+    """The matrix of a chunk where no paths must meet: one pass that carries a row of scores, one
+    for each entry state, at every place."""
+    width, size, tree = model.longest, len(text), model.tree
+    best = np.full((size + 1, width), pieces.LOW)
+    for state in range(min(width, own)):
+        best[state, state] = 0.0
+    for start in range(own):
+        base = best[start]
+        node, end = tree.get(text[start]), start + 1
+        if node is None or node[1] is None:
+            np.maximum(best[end], base + model.unknown, out=best[end])
+        while node is not None:
+            further, score = node
+            if score is not None:
+                np.maximum(best[end], base + score, out=best[end])
+            if end == size:
+                break
+            node = further.get(text[end])
+            end += 1
+    matrix = np.full((width, width), pieces.LOW)
+    exits = best[own:][:width]
+    matrix[:, : len(exits)] = exits.T
+    return matrix
+
+
 def transfer(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
     """Matrix of a chunk: best score from each entry to each exit state.
 
@@ -58,12 +95,10 @@ def transfer(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
     lies between, which adds the same to every path.
     """
     width = model.longest
-    matrix = np.full((width, width), pieces.LOW)
     places = _meeting_places(model, text, own)
     if places is None:
-        for state in range(min(width, own)):
-            matrix[state] = _leaving(model, text[state:], own - state)
-        return matrix
+        return _all_entries(model, text, own)
+    matrix = np.full((width, width), pieces.LOW)
     first, last = places
     leave = _leaving(model, text[last:], own - last)
     for state in range(min(width, first + 1)):
@@ -72,6 +107,11 @@ def transfer(model: pieces.PieceModel, text: str, own: int) -> np.ndarray:
     return matrix
 
 
+def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The matrix of two neighbours: product over (max, +), associative."""
+    return (left[:, :, None] + right[None, :, :]).max(axis=1)
+
+
 def trace_chunk(
     model: pieces.PieceModel,
     text: str,
@@ -87,10 +127,9 @@ def trace_chunk(
     if places is None:
         return _trace_states(model, text, own, entry.tolist())
     first, last = places
-    runs = model.run_ids
     _, back = model.forward(text[:first], first, entry.tolist())
     state, head = model.trace(text[:first], back, first)
-    middle = b"".join(map(runs.__getitem__, model.split(text[first:last])))
+    middle = model.encode([text[first:last]])[0]
     shared, states, ends = _trace_states(model, text[last:], own - last, [0.0])
     ids = np.concatenate([head, np.frombuffer(middle, np.int32), shared]).astype(np.int32)
     return ids, [state if s >= 0 else -1 for s in states], ends
@@ -113,32 +152,75 @@ def _trace_states(
     return np.array(low[:same], np.int32), states, [p[same:] for p in paths]
 
 
-def _list_array(data: bytes, sizes: list[int]) -> pa.Array:
-    offsets = np.zeros(len(sizes) + 1, np.int32)
-    np.cumsum(sizes, out=offsets[1:])
-    values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+class Tokens:
+    """What is given of a batch of encoded texts: the ids, how many, and hashes.
 
+    ``ids_sha256`` is that of the ids as 32-bit numbers, lowest byte first; ``decoded_sha256``
+    that of the text which they decode to.
+    """
 
-def _encode_whole(path: str):
+    FIELDS = {
+        "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+        "n_tokens": (T.LongType(), pa.int64()),
+        "ids_sha256": (T.StringType(), pa.string()),
+        "decoded_sha256": (T.StringType(), pa.string()),
+    }
+
+    def __init__(self, wanted: tuple[str, ...]):
+        self.wanted = wanted
+        self.fields = [T.StructField(w, self.FIELDS[w][0]) for w in wanted]
+
+    def columns(self, found: list[bytes], path: str) -> list[pa.Array]:
+        data = b"".join(found)
+        ends = np.cumsum([len(f) // 4 for f in found], dtype=np.int64)
+        given = []
+        for name in self.wanted:
+            if name == "ids":
+                values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
+                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                given.append(pa.ListArray.from_arrays(offsets, values))
+                continue
+            if name == "n_tokens":
+                values = [len(f) // 4 for f in found]
+            elif name == "ids_sha256":
+                values = [hashlib.sha256(f).hexdigest() for f in found]
+            else:
+                texts = pieces.load_decoder(path).decode(np.frombuffer(data, np.int32), ends.tolist())
+                values = [hashlib.sha256(t).hexdigest() for t in texts]
+            given.append(pa.array(values, self.FIELDS[name][1]))
+        return given
+
+
+def _encode_whole(path: str, tokens: Tokens):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.load(path)
-        runs = model.run_ids
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
                 part = batch.slice(start, BATCH)
-                found = [
-                    b"".join(map(runs.__getitem__, model.split(model.marked(t))))
-                    for t in part.column("segment_text").to_pylist()
-                ]
-                ids = _list_array(b"".join(found), [len(f) // 4 for f in found])
+                found = model.encode([model.marked(t) for t in part.column("segment_text").to_pylist()])
                 kept = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.record_batch([*kept, ids], names=[*part.schema.names[:-1], "ids"])
+                names = [*part.schema.names[:-1], *tokens.wanted]
+                yield pa.record_batch([*kept, *tokens.columns(found, path)], names=names)
         model.forget()
 
     return run
 
 
+def _described(path: str, tokens: Tokens):
+    """Like ``_encode_whole``, from ids that are known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(batch.num_rows):
+                part = batch.slice(start, 1)  # a giant document
+                ids = np.asarray(part.column("segment_ids").flatten(), np.int32).tobytes()
+                kept = [part.column(i) for i in range(part.num_columns - 1)]
+                names = [*part.schema.names[:-1], *tokens.wanted]
+                yield pa.record_batch([*kept, *tokens.columns([ids], path)], names=names)
+
+    return run
+
+
 def _cut(path: str, chunk: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pieces.load(path)
@@ -170,19 +252,56 @@ def _matrices(path: str):
     return run
 
 
-def _scan(width: int):
+def _product(width: int):
+    """The matrix of a block of chunks, combined in pairs of neighbours."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("chunk")
-        scores, entries = np.full(width, pieces.LOW), []
-        scores[0] = 0.0
+        left = [np.frombuffer(data).reshape(width, width) for data in frame["matrix"]]
+        while len(left) > 1:
+            pairs = [combine(a, b) for a, b in zip(left[::2], left[1::2])]
+            left = pairs + left[len(pairs) * 2 :]
+        return frame[["segment_row", "block"]].iloc[:1].assign(matrix=[left[0].tobytes()])
+
+    return run
+
+
+def _scan(width: int, place: str):
+    """The scores that enter each of some neighbours, from those that enter the first."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(place)
+        scores, entries = np.frombuffer(frame["first"].iloc[0]), []
         for data in frame["matrix"]:
             entries.append(scores.tobytes())
             scores = (scores[:, None] + np.frombuffer(data).reshape(width, width)).max(axis=0)
-        return frame[["segment_row", "chunk"]].assign(entry=entries)
+        return frame[["segment_row", place]].assign(entry=entries)
 
     return run
 
 
+def entering(matrices: DataFrame, width: int, block: int = BLOCK) -> DataFrame:
+    """segment_row, chunk and entry, the scores that enter each chunk, from all chunks' matrices."""
+    scores = np.full(width, pieces.LOW)
+    scores[0] = 0.0
+    matrices = settle(matrices.withColumn("block", F.floor(F.col("chunk") / block).cast("int")), "matrices")
+    blocks = matrices.groupBy("segment_row", "block").applyInPandas(
+        _product(width), "segment_row long, block int, matrix binary"
+    )
+    first = F.lit(bytearray(scores.tobytes()))
+    into = (
+        blocks.withColumn("first", first)
+        .groupBy("segment_row")
+        .applyInPandas(_scan(width, "block"), "segment_row long, block int, entry binary")
+        .withColumnRenamed("entry", "first")
+    )
+    return (
+        matrices.join(into, ["segment_row", "block"])
+        .groupBy("segment_row", "block")
+        .applyInPandas(_scan(width, "chunk"), "segment_row long, chunk int, entry binary")
+    )
+
+
 def _traces(path: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pieces.load(path)
@@ -207,20 +326,28 @@ def _link(frame: pd.DataFrame) -> pd.DataFrame:
         parts.append(np.concatenate([shared, ends[state]]).astype(np.int32))
         state = states[state]
     return pd.DataFrame(
-        {"segment_row": frame["segment_row"].iloc[:1], "ids": [np.concatenate(parts[::-1])]}
+        {"segment_row": frame["segment_row"].iloc[:1], "segment_ids": [np.concatenate(parts[::-1])]}
     )
 
 
 def encode(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str = pieces.MODEL, chunk: int = CHUNK
+    docs: DataFrame,
+    keep: tuple[str, ...] = ("doc_id",),
+    path: str = pieces.MODEL,
+    chunk: int = CHUNK,
+    give: tuple[str, ...] = ("ids",),
+    block: int = BLOCK,
 ) -> DataFrame:
-    """The columns ``keep`` and ``ids``, the piece numbers of every text."""
+    """The columns ``keep``, and of ``Tokens`` those to ``give``; ids are the piece numbers of a text.
+
+    What is hashed or decoded is so by the task that has the ids, which need not leave it.
+    """
     ship(docs.sparkSession)
+    tokens = Tokens(give)
     rows = docs.select(*keep, text_of("text").alias("segment_text"))
-    fields = [docs.schema[c] for c in keep]
-    with_ids = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *tokens.fields])
     giant = F.length("segment_text") >= chunk
-    small = rows.where(~giant).mapInArrow(_encode_whole(path), with_ids)
+    small = rows.where(~giant).mapInArrow(_encode_whole(path, tokens), schema)
 
     # A row number tells giant documents apart; writing it makes it last.
     large = settle(
@@ -234,20 +361,17 @@ def encode(
         .repartition("segment_row", "chunk"),
         "chunks",
     )
-    entries = (
-        chunks.mapInPandas(_matrices(path), f"{at}, matrix binary")
-        .groupBy("segment_row")
-        .applyInPandas(_scan(width), f"{at}, entry binary")
-    )
+    entries = entering(chunks.mapInPandas(_matrices(path), f"{at}, matrix binary"), width, block)
     linked = (
         chunks.join(entries, ["segment_row", "chunk"])
         .mapInPandas(
             _traces(path), f"{at}, shared array<int>, states array<int>, ends array<array<int>>"
         )
         .groupBy("segment_row")
-        .applyInPandas(_link, "segment_row long, ids array<int>")
+        .applyInPandas(_link, "segment_row long, segment_ids array<int>")
     )
-    return small.unionByName(large.join(linked, "segment_row").select(*keep, "ids"))
+    found = large.drop("segment_text").join(linked, "segment_row").select(*keep, "segment_ids")
+    return small.unionByName(found.mapInArrow(_described(path, tokens), schema))
 
 
 def decode(encoded: DataFrame, path: str = pieces.MODEL) -> DataFrame:
@@ -257,13 +381,14 @@ def decode(encoded: DataFrame, path: str = pieces.MODEL) -> DataFrame:
     schema = T.StructType([*fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces.load(path)
+        decoder = pieces.load_decoder(path)
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
                 part = batch.slice(start, BATCH)
                 lists = part.column("ids")
-                values, bounds = np.asarray(lists.flatten()), np.cumsum([0, *(lists.value_lengths().to_pylist())])
-                texts = [model.decode(values[a:b]) for a, b in zip(bounds, bounds[1:])]
+                ends = np.cumsum(lists.value_lengths().to_pylist(), dtype=np.int64)
+                texts = decoder.decode(np.asarray(lists.flatten(), np.int32), ends.tolist())
+                texts = [t.decode(errors="replace") for t in texts]
                 kept = [part.column(f.name) for f in fields]
                 yield pa.record_batch([*kept, pa.array(texts, pa.string())], names=schema.fieldNames())
 

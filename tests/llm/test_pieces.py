@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -59,7 +60,57 @@ def test_score_is_the_best_of_all_segmentations(model):
         text = "".join(rng.choice("aeth éß天▁\n ") for _ in range(rng.randrange(1, 40)))
         marked = model.marked(text)
         assert model.forward(marked, len(marked), [0.0])[0][-1] == brute(model, text)
-        assert model.decode(np.array(whole(model, text))) == text.replace(pieces.SPACE, " ")
+        ids = whole(model, text)
+        assert pieces.load_decoder().decode(np.array(ids), [len(ids)]) == [text.replace(pieces.SPACE, " ").encode()]
+
+
+def test_sweeps_give_the_pieces_of_single_runs(model):
+    rng = random.Random(8)
+    texts = [words(rng, 40) for _ in range(50)] + ["", "天天é\x00\U0001F600 ß", "ab" * 40, " " * 70, "x" * 300, "a\n\n\nb"]
+    texts += ["".join(rng.choice("abcdetoin天é😀▁ ,.\n") for _ in range(rng.randrange(90))) for _ in range(200)]
+    found = [np.frombuffer(f, np.int32).tolist() for f in model.encode([model.marked(t) for t in texts])]
+    assert found == [whole(model, t) for t in texts]
+    ends = np.cumsum([len(f) for f in found]).tolist()
+    decoded = pieces.load_decoder().decode(np.array([i for f in found for i in f], np.int32), ends)
+    assert decoded == [t.replace(pieces.SPACE, " ").encode() for t in texts]
+
+
+def test_memory_of_runs_starts_again_and_changes_nothing(model, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    monkeypatch.setattr(pieces, "SWEEP", 7)
+    rng = random.Random(3)
+    for _ in range(40):
+        text = words(rng, 30)
+        assert np.frombuffer(model.encode([model.marked(text)])[0], np.int32).tolist() == whole(model, text)
+    model.forget()
+
+
+def test_matrices_combine_in_any_grouping(model):
+    rng = random.Random(12)
+    text = model.marked("".join(rng.choice("aethin ,") for _ in range(600)) + words(rng, 200).replace(" ", ""))
+    width, chunk = model.longest, 57
+    parts = [
+        segment.transfer(model, text[s : s + chunk + width - 1], min(chunk, len(text) - s))
+        for s in range(0, len(text), chunk)
+    ]
+    left = parts[0]
+    for m in parts[1:]:
+        left = segment.combine(left, m)
+    for _ in range(20):
+        some = list(parts)
+        while len(some) > 1:
+            i = rng.randrange(len(some) - 1)
+            some[i : i + 2] = [segment.combine(some[i], some[i + 1])]
+        assert np.array_equal(some[0], left)
+
+
+def test_one_pass_carries_all_entries(model):
+    rng = random.Random(13)
+    for _ in range(30):
+        text, own = "".join(rng.choice("aethino") for _ in range(60)), 45
+        matrix = segment._all_entries(model, text, own)
+        for state in range(model.longest):
+            assert np.array_equal(matrix[state], segment._leaving(model, text[state:], own - state))
 
 
 def chunked(model, text, chunk):
@@ -95,7 +146,7 @@ def test_chunks_give_the_pieces_of_the_whole(model, chunk):
 
 def test_encode_decode_and_count_on_the_hard_cases(spark, model):
     docs = frame(spark, clashing=True).withColumn("row", F.monotonically_increasing_id())
-    encoded = segment.encode(docs, ("doc_id", "row", "text"), chunk=1000)
+    encoded = segment.encode(docs, ("doc_id", "row", "text"), chunk=100, block=3)
     decoded = segment.decode(encoded.withColumn("n", F.size("ids"))).collect()
     texts = {r["row"]: r["text"] for r in docs.collect()}
     assert len(decoded) == len(texts) == len(documents())
@@ -105,6 +156,13 @@ def test_encode_decode_and_count_on_the_hard_cases(spark, model):
         assert r["n"] == len(whole(model, text))
     encoded = {r["row"]: r["ids"] for r in encoded.collect()}
     assert all(encoded[k] == whole(model, t or "") for k, t in texts.items())
+    given = ("ids_sha256", "ids", "decoded_sha256", "n_tokens")
+    for r in segment.encode(docs, ("row",), chunk=1000, give=given).collect():
+        ids = whole(model, texts[r["row"]] or "")
+        assert (r["ids"], r["n_tokens"]) == (ids, len(ids))
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+        text = (texts[r["row"]] or "").replace(pieces.SPACE, " ")
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     counted = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in counts.token_counts(docs).collect())
     assert counted == sorted((d[0] or -1, len(whole(model, d[1] or ""))) for d in documents())
     for df in (segment.encode(empty(spark)), counts.token_counts(empty(spark))):
