@@ -7,7 +7,9 @@ Fader and Hardie's notation; Gamma-Gamma is Fader and Hardie (2013).
 
 The log-likelihoods take their parameters as Columns, so one plan can score many
 parameter points.  ``constants`` holds what depends on the parameters alone and
-is computed once per point.
+is computed once per point.  ``derivatives`` gives the log-likelihood with its gradient
+and curvature in closed form, as columns that are added step by step, so that what
+several of them share is computed once per row.
 """
 
 from __future__ import annotations
@@ -22,11 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custvalue.functions.special import (
+    MOMENTS,
+    PAIRS,
+    digamma,
+    dropout_integral,
+    dropout_moments,
     dropout_purchases,
-    hyp2f1_unit,
     lgamma,
-    log1p_exp,
     log_add_exp,
+    polygamma_numbers,
+    trigamma,
 )
 from custvalue.params import ClvParams
 
@@ -80,6 +87,45 @@ def _if_known(value: Column, *inputs: Column) -> Column:
     return F.when(known, value)
 
 
+Steps = list[dict[str, Column]]
+Slopes = dict[str, Column]
+Bends = dict[tuple[str, str], Column]
+
+
+def value_names(names: tuple[str, ...]) -> list[str]:
+    """Columns of the last step of ``derivatives``: value, gradient, upper triangle of curvature."""
+    pairs = [f"bend_{m}_{n}" for i, m in enumerate(names) for n in names[i:]]
+    return ["value", *(f"slope_{n}" for n in names), *pairs]
+
+
+def _named(names: tuple[str, ...], value: Column, slopes: Slopes, bends: Bends) -> dict[str, Column]:
+    """What a model gives for all its parameters; a pair that is not there has no curvature."""
+    zero = F.lit(0.0)
+    found = {"value": value} | {f"slope_{n}": slopes.get(n, zero) for n in names}
+    for i, m in enumerate(names):
+        for n in names[i:]:
+            found[f"bend_{m}_{n}"] = bends.get((m, n), bends.get((n, m), zero))
+    return found
+
+
+def _blend(
+    names: tuple[str, ...], share: Column, one: tuple[Slopes, Bends], other: tuple[Slopes, Bends]
+) -> tuple[Slopes, Bends]:
+    """Derivatives of ``ln(exp(one) + exp(other))``; ``share`` is that of the other."""
+    zero = F.lit(0.0)
+    slopes = {n: (1 - share) * one[0].get(n, zero) + share * other[0].get(n, zero) for n in names}
+    bends: Bends = {}
+    for i, m in enumerate(names):
+        for n in names[i:]:
+            apart = [other[0].get(k, zero) - one[0].get(k, zero) for k in (m, n)]
+            bends[m, n] = (
+                (1 - share) * one[1].get((m, n), zero)
+                + share * other[1].get((m, n), zero)
+                + share * (1 - share) * apart[0] * apart[1]
+            )
+    return slopes, bends
+
+
 class _Model:
     """A fitted model: its parameters are the dataclass fields."""
 
@@ -104,7 +150,10 @@ class BgNbd(_Model):
     @staticmethod
     def constants(r: float, alpha: float, a: float, b: float) -> dict[str, float]:
         gammas = math.lgamma(a + b) - math.lgamma(b) - math.lgamma(r)
-        return {"base": gammas + r * math.log(alpha)}
+        known = {"base": gammas + r * math.log(alpha)}
+        for name, at in (("r", r), ("b", b), ("ab", a + b)):
+            known[f"psi_{name}"], known[f"psi1_{name}"] = polygamma_numbers(at)
+        return known
 
     @staticmethod
     def log_likelihood(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Column:
@@ -115,6 +164,50 @@ class BgNbd(_Model):
         ended = F.when(x > 0, log_add_exp(alive, dropped)).otherwise(alive)
         return p["base"] + gammas + ended
 
+    @staticmethod
+    def derivatives(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Steps:
+        r, alpha, a, b = p["r"], p["alpha"], p["a"], p["b"]
+        names = ("r", "alpha", "a", "b")
+        shared = {"alive": -(r + x) * F.ln(alpha + T)}
+        shared["gone"] = F.when(x > 0, F.ln(a) - F.ln(b + x - 1) - (r + x) * F.ln(alpha + tx))
+        for name, at in (("rx", r + x), ("bx", b + x), ("abx", a + b + x)):
+            shared[f"psi_{name}"], shared[f"psi1_{name}"] = digamma(at), trigamma(at)
+        either = log_add_exp(F.col("alive"), F.col("gone"))
+        ended = {"ended": F.when(x > 0, either).otherwise(F.col("alive"))}
+        share = {"share": F.coalesce(F.exp(F.col("gone") - F.col("ended")), F.lit(0.0))}
+        # Where x is 0 the share is, and b + x - 1 is not used.
+        later = F.when(x > 0, b + x - 1).otherwise(1.0)
+        slopes, bends = _blend(
+            names,
+            F.col("share"),
+            (
+                {"r": -F.ln(alpha + T), "alpha": -(r + x) / (alpha + T)},
+                {("r", "alpha"): -1 / (alpha + T), ("alpha", "alpha"): (r + x) / F.pow(alpha + T, 2)},
+            ),
+            (
+                {"r": -F.ln(alpha + tx), "alpha": -(r + x) / (alpha + tx), "a": 1 / a, "b": -1 / later},
+                {
+                    ("r", "alpha"): -1 / (alpha + tx),
+                    ("alpha", "alpha"): (r + x) / F.pow(alpha + tx, 2),
+                    ("a", "a"): -1 / (a * a),
+                    ("b", "b"): 1 / (later * later),
+                },
+            ),
+        )
+        both, both1 = p["psi_ab"] - F.col("psi_abx"), p["psi1_ab"] - F.col("psi1_abx")
+        slopes["r"] += F.col("psi_rx") - p["psi_r"] + F.ln(alpha)
+        slopes["alpha"] += r / alpha
+        slopes["a"] += both
+        slopes["b"] += both - p["psi_b"] + F.col("psi_bx")
+        bends["r", "r"] += F.col("psi1_rx") - p["psi1_r"]
+        bends["r", "alpha"] += 1 / alpha
+        bends["alpha", "alpha"] += -r / (alpha * alpha)
+        bends["a", "a"] += both1
+        bends["a", "b"] += both1
+        bends["b", "b"] += both1 - p["psi1_b"] + F.col("psi1_bx")
+        value = p["base"] + lgamma(r + x) + lgamma(b + x) - lgamma(a + b + x) + F.col("ended")
+        return [shared, ended, share, _named(names, value, slopes, bends)]
+
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
         odds = self.a / (self.b + x - 1) * F.pow((self.alpha + T) / (self.alpha + tx), self.r + x)
@@ -147,43 +240,97 @@ class ParetoNbd(_Model):
 
     @staticmethod
     def constants(r: float, alpha: float, s: float, beta: float) -> dict[str, float]:
-        return {"base": r * math.log(alpha) + s * math.log(beta) - math.lgamma(r)}
+        known = {"base": r * math.log(alpha) + s * math.log(beta) - math.lgamma(r)}
+        known["psi_r"], known["psi1_r"] = polygamma_numbers(r)
+        return known
 
     @staticmethod
-    def _log_dropout_odds(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Column:
-        """Log odds that the customer left between ``tx`` and ``T``; NULL if ``tx = T``."""
-        r, alpha, s, beta = p["r"], p["alpha"], p["s"], p["beta"]
-        shape = r + s + x
-        # The smaller of alpha and beta goes into the argument, which keeps it in [0, 1).
-        narrow = alpha >= beta
-        spread = F.abs(alpha - beta)
-        b = F.when(narrow, r + x).otherwise(s + 1)
-
-        def log_g(u: Column) -> Column:
-            term = hyp2f1_unit(b, shape + 1, spread / (F.greatest(alpha, beta) + u))
-            return (
-                F.ln(term)
-                - F.when(narrow, r + x).otherwise(r + x - 1) * F.ln(alpha + u)
-                - F.when(narrow, s).otherwise(s + 1) * F.ln(beta + u)
-            )
+    def _log_alive(p: dict[str, Column], x: Column, T: Column) -> Column:
+        return -(p["r"] + x) * F.ln(p["alpha"] + T) - p["s"] * F.ln(p["beta"] + T)
 
-        near, end = log_g(tx), log_g(T)
-        alive = -(r + x) * F.ln(alpha + T) - s * F.ln(beta + T)
-        return F.when(
-            end < near, F.ln(s / shape) + near - alive + F.log1p(-F.exp(end - near))
-        )
+    @staticmethod
+    def _log_left(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Column:
+        """Log of the part of those who left between ``tx`` and ``T``, on the scale of the alive."""
+        integral = dropout_integral(p["r"] + x, p["alpha"], p["s"] + 1, p["beta"], tx, T)
+        return F.ln(p["s"]) + integral
 
     @staticmethod
     def log_likelihood(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Column:
+        alive, left = ParetoNbd._log_alive(p, x, T), ParetoNbd._log_left(p, x, tx, T)
+        return p["base"] + lgamma(p["r"] + x) + log_add_exp(alive, left)
+
+    @staticmethod
+    def derivatives(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Steps:
         r, alpha, s, beta = p["r"], p["alpha"], p["s"], p["beta"]
-        alive = -(r + x) * F.ln(alpha + T) - s * F.ln(beta + T)
-        left = log1p_exp(ParetoNbd._log_dropout_odds(p, x, tx, T))
-        return p["base"] + lgamma(r + x) + alive + F.coalesce(left, F.lit(0.0))
+        names = ("r", "alpha", "s", "beta")
+        shared = {
+            "alive": ParetoNbd._log_alive(p, x, T),
+            "moments": dropout_moments(r + x, alpha, s + 1, beta, tx, T),
+            "psi_rx": digamma(r + x),
+            "psi1_rx": trigamma(r + x),
+        }
+        mean = {m: F.get("moments", F.lit(i + 1)) for i, m in enumerate(MOMENTS)}
+        spread = {pair: F.get("moments", F.lit(i + 5)) for i, pair in enumerate(PAIRS)}
+        left = {"left": F.ln(s) + F.get("moments", F.lit(0))}
+        ended = {"ended": log_add_exp(F.col("alive"), F.col("left"))}
+        share = {"share": F.exp(F.col("left") - F.col("ended"))}
+        slopes, bends = _blend(
+            names,
+            F.col("share"),
+            (
+                {
+                    "r": -F.ln(alpha + T),
+                    "alpha": -(r + x) / (alpha + T),
+                    "s": -F.ln(beta + T),
+                    "beta": -s / (beta + T),
+                },
+                {
+                    ("r", "alpha"): -1 / (alpha + T),
+                    ("alpha", "alpha"): (r + x) / F.pow(alpha + T, 2),
+                    ("s", "beta"): -1 / (beta + T),
+                    ("beta", "beta"): s / F.pow(beta + T, 2),
+                },
+            ),
+            (
+                {
+                    "r": -mean["la"],
+                    "alpha": -(r + x) * mean["ia"],
+                    "s": 1 / s - mean["lb"],
+                    "beta": -(s + 1) * mean["ib"],
+                },
+                # Of the logarithm of an integral: the spread of the slopes, and the mean of the bends.
+                {
+                    ("r", "r"): spread["la", "la"],
+                    ("r", "alpha"): (r + x) * spread["la", "ia"] - mean["ia"],
+                    ("r", "s"): spread["la", "lb"],
+                    ("r", "beta"): (s + 1) * spread["la", "ib"],
+                    ("alpha", "alpha"): (r + x)
+                    * ((r + x + 1) * spread["ia", "ia"] + mean["ia"] * mean["ia"]),
+                    ("alpha", "s"): (r + x) * spread["ia", "lb"],
+                    ("alpha", "beta"): (r + x) * (s + 1) * spread["ia", "ib"],
+                    ("s", "s"): spread["lb", "lb"] - 1 / (s * s),
+                    ("s", "beta"): (s + 1) * spread["lb", "ib"] - mean["ib"],
+                    ("beta", "beta"): (s + 1) * ((s + 2) * spread["ib", "ib"] + mean["ib"] * mean["ib"]),
+                },
+            ),
+        )
+        slopes["r"] += F.col("psi_rx") - p["psi_r"] + F.ln(alpha)
+        slopes["alpha"] += r / alpha
+        slopes["s"] += F.ln(beta)
+        slopes["beta"] += s / beta
+        bends["r", "r"] += F.col("psi1_rx") - p["psi1_r"]
+        bends["r", "alpha"] += 1 / alpha
+        bends["alpha", "alpha"] += -r / (alpha * alpha)
+        bends["s", "beta"] += 1 / beta
+        bends["beta", "beta"] += -s / (beta * beta)
+        value = p["base"] + lgamma(r + x) + F.col("ended")
+        return [shared, left, ended, share, _named(names, value, slopes, bends)]
 
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
-        odds = self._log_dropout_odds(self.point(), x, tx, T)
-        return _if_known(F.coalesce(F.exp(-log1p_exp(odds)), F.lit(1.0)), x, tx, T)
+        p = self.point()
+        odds = F.exp(self._log_left(p, x, tx, T) - self._log_alive(p, x, T))
+        return _if_known(1 / (1 + odds), x, tx, T)
 
     def expected_purchases(self, t: float, x: Column, tx: Column, T: Column) -> Column:
         """Expected purchases in the ``t`` days after ``T``."""
@@ -208,7 +355,9 @@ class GammaGamma(_Model):
 
     @staticmethod
     def constants(p: float, q: float, v: float) -> dict[str, float]:
-        return {"base": q * math.log(v) - math.lgamma(q)}
+        known = {"base": q * math.log(v) - math.lgamma(q)}
+        known["psi_q"], known["psi1_q"] = polygamma_numbers(q)
+        return known
 
     @staticmethod
     def log_likelihood(k: dict[str, Column], x: Column, m: Column) -> Column:
@@ -223,6 +372,30 @@ class GammaGamma(_Model):
             - (px + q) * F.ln(x * m + v)
         )
 
+    @staticmethod
+    def derivatives(k: dict[str, Column], x: Column, m: Column) -> Steps:
+        p, q, v = k["p"], k["q"], k["v"]
+        shared = {"px": p * x, "spent": x * m, "log_all": F.ln(x * m + v), "all": x * m + v}
+        px, all_ = F.col("px"), F.col("all")
+        gammas = {}
+        for name, at in (("px", px), ("pxq", px + q)):
+            gammas[f"psi_{name}"], gammas[f"psi1_{name}"] = digamma(at), trigamma(at)
+        slopes = {
+            "p": x * (F.col("psi_pxq") - F.col("psi_px") + F.ln("spent") - F.col("log_all")),
+            "q": F.ln(v) - k["psi_q"] + F.col("psi_pxq") - F.col("log_all"),
+            "v": q / v - (px + q) / all_,
+        }
+        bends = {
+            ("p", "p"): x * x * (F.col("psi1_pxq") - F.col("psi1_px")),
+            ("p", "q"): x * F.col("psi1_pxq"),
+            ("p", "v"): -x / all_,
+            ("q", "q"): F.col("psi1_pxq") - k["psi1_q"],
+            ("q", "v"): 1 / v - 1 / all_,
+            ("v", "v"): (px + q) / (all_ * all_) - q / (v * v),
+        }
+        value = GammaGamma.log_likelihood(k, x, m)
+        return [shared, gammas, _named(("p", "q", "v"), value, slopes, bends)]
+
     def expected_profit(self, x: Column, m: Column) -> Column:
         """Expected mean value of a purchase."""
         return self.p * (self.v + x * m) / (self.p * x + self.q - 1)

@@ -7,7 +7,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from custvalue.functions.numeric import round_half_away
@@ -20,12 +20,13 @@ from custvalue.operators import (
     features,
     featurize,
     metrics,
+    moments,
     profile,
     serve,
     split,
 )
 from custvalue.params import ClvParams
-from custvalue.plans import fit, models, pipeline, tune
+from custvalue.plans import fit, models, pipeline, ridge, tune
 from custvalue.sources import readers, schemas, sinks
 from custvalue.sources.star import transactions_from_star
 
@@ -597,8 +598,32 @@ def regression_line(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(line, 6, "slope", "intercept")
 
 
+def _moments(spark: SparkSession, folder: str) -> dict[str, ridge.Products]:
+    """Products of all splits, from a state to which the splits were added as two batches."""
+    labelled = _labelled(spark, folder)
+    inputs, path = schemas.used_columns(), scratch_path(spark, "moments")
+    halves = F.pmod(F.xxhash64("customer_id"), F.lit(2))
+    for batch in (0, 1, 1):  # a batch that is added again replaces itself
+        part = moments.moments(labelled.where(halves == batch), inputs, schemas.TARGET)
+        moments.add_batch(part, path, str(batch))
+    return ridge.products(moments.read_state(spark, path), inputs, schemas.TARGET)
+
+
 @query
 def fit_linear(spark: SparkSession, folder: str) -> DataFrame:
+    """Least squares from stored moments: coefficients, and effects of a standard deviation."""
+    found = _moments(spark, folder)
+    if "train" not in found:
+        return spark.createDataFrame([], "term string, coefficient double, effect double")
+    (model,) = found["train"].ridge([0.0])
+    rows = [("intercept", model.intercept, 0.0), *zip(model.names, model.coefficients.tolist(), model.effects.tolist())]
+    table = spark.createDataFrame(rows, "term string, coefficient double, effect double")
+    return _rounded(_rounded(table, 2, "coefficient"), 1, "effect")
+
+
+@query
+def fit_linear_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Least squares by MLlib: errors on the held-out splits, and its terms."""
     labelled = _labelled(spark, folder)
     model = models.fit_model(models.LEAST_SQUARES, labelled.where("split = 'train'"))
     terms = [f"{value!r} AS {name}" for name, value in models.linear_terms(model)]
@@ -670,18 +695,27 @@ def fit_gbt_mae(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tune_linear(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = _labelled(spark, folder)
-    return tune.tune(models.LEAST_SQUARES, labelled, tune.LINEAR_SPACE, trials=6)[1]
+    """A thousand penalties, all from one table of moments."""
+    _, trials = ridge.search(spark, _moments(spark, folder))
+    trials = _rounded(trials.withColumn("log_l2", F.log10("l2")), 6, "log_l2")
+    return _rounded(trials, 2, "train_rmse", "rmse").select("trial", "log_l2", "train_rmse", "rmse")
 
 
 @query
 def trials_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Trial numbers and settings as they were drawn, from the saved table and models."""
-    labelled = _labelled(spark, folder)
+    """Settings and errors of a search as they were saved, and the newest of the saved models."""
     path = scratch_path(spark, "trials")
-    _, table = tune.tune(models.WIDE, labelled, {"l2": tune.Choice((0.5,))}, 3, folder=path)
-    newest = sinks.latest_version(spark, f"{path}/models").first()["version"]
-    return table.select("trial", "l2", F.lit(newest).cast("int").alias("last_model"))
+    _, table = ridge.search(spark, _moments(spark, folder), trials=20)
+    sinks.write_parquet(table.coalesce(1), f"{path}/trials")
+    labelled = _labelled(spark, folder)
+    _, saved = tune.tune(models.WIDE, labelled, {"l2": tune.Choice((0.5,))}, 3, folder=f"{path}/wide")
+    newest = sinks.latest_version(spark, f"{path}/wide/models").first()["version"]
+    read = spark.read.parquet(f"{path}/trials")
+    place = F.row_number().over(Window.orderBy(round_half_away(F.col("rmse"), 6), "trial"))
+    read = _rounded(read.withColumns({"place": place, "log_l2": F.log10("l2")}), 6, "log_l2")
+    return _rounded(read, 2, "rmse").select(
+        "trial", "log_l2", "rmse", "place", F.lit(newest).cast("int").alias("last_model")
+    )
 
 
 @query
@@ -795,35 +829,72 @@ def btyd_error(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(rows, 4, *measured)
 
 
-def _fitted(found: fit.Fit, rows: DataFrame) -> DataFrame:
-    """Parameters, objective and outcome beside the number of customers they come from."""
-    values = [f"{value!r} AS {name}" for name, value in found.model.values().items()]
-    return rows.agg(F.count(F.lit(1)).alias("customers")).selectExpr(
-        "customers",
-        *values,
-        f"{found.objective!r} AS objective",
-        f"'{found.status}' AS status",
-        f"{found.gradient_norm!r} AS gradient_norm",
-        f"{found.rounds} AS rounds",
+def _score_equations(rows: DataFrame, found: fit.Fit, observed: dict, penalizer: float) -> DataFrame:
+    """Score equations at the fitted point, from a pass of their own over the customers.
+
+    At the maximum the mean score of each parameter, by its logarithm and less its penalty, is
+    zero. ``by_fit`` is a mean of the data, ``by_data``, with that score added.
+    """
+    model = found.model
+    inputs = rows.select(*model.inputs, F.lit(1).alias("n"))
+    known = model.values()
+    terms = fit.Objective(inputs, type(model)).terms([known])
+    scores = terms.agg(
+        F.count(F.lit(1)).alias("customers"), *(F.avg(f"slope_{name}").alias(name) for name in known)
     )
+    bound = found.scaled
+    means = rows.agg(*(F.avg(value).alias(f"by_data_{name}") for name, value in observed.items()))
+    cells = [
+        F.struct(
+            F.lit(name).alias("parameter"),
+            F.col(f"by_data_{name}").alias("by_data"),
+            (F.col(f"by_data_{name}") + F.col(name) * known[name] - 2 * penalizer * bound[name] ** 2).alias("by_fit"),
+        )
+        for name in known
+    ]
+    # One row of numbers on either side.
+    table = scores.withColumns({f"by_data_{n}": means.select(f"by_data_{n}").scalar() for n in known})
+    return _rounded(table.select("customers", F.inline(F.array(*cells))), 3, "by_data", "by_fit")
+
+
+def _timed_equations(rows: DataFrame, found: fit.Fit) -> DataFrame:
+    purchases, repeated = F.col("frequency"), (F.col("frequency") > 0).cast("double")
+    observed = dict(zip(found.model.values(), (purchases, purchases, repeated, repeated)))
+    return _score_equations(rows, found, observed, PARAMS.penalizer)
 
 
 @query
 def fit_bgnbd(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _summary(spark, folder)
-    return _fitted(fit.fit_bgnbd(rows, PARAMS), rows)
+    rows = settle(_summary(spark, folder))
+    return _timed_equations(rows, fit.fit_bgnbd(rows, PARAMS))
 
 
 @query
 def fit_paretonbd(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _summary(spark, folder)
-    return _fitted(fit.fit_paretonbd(rows, PARAMS), rows)
+    rows = settle(_summary(spark, folder))
+    return _timed_equations(rows, fit.fit_paretonbd(rows, PARAMS))
 
 
 @query
 def fit_gamma_gamma(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _summary(spark, folder)
-    return _fitted(fit.fit_gamma_gamma(rows), rows)
+    rows = settle(_summary(spark, folder).where("frequency > 0"))
+    spent = F.col("frequency") * F.col("monetary_value")
+    observed = {"p": F.col("frequency"), "q": F.ln(spent), "v": F.col("frequency")}
+    return _score_equations(rows, fit.fit_gamma_gamma(rows), observed, 0.0)
+
+
+@query
+def fit_parameters(spark: SparkSession, folder: str) -> DataFrame:
+    """Parameters of the three models, their objectives, and how the fits ended."""
+    rows = settle(_summary(spark, folder))
+    fits = [fit.fit_bgnbd(rows, PARAMS), fit.fit_paretonbd(rows, PARAMS), fit.fit_gamma_gamma(rows)]
+    table = [
+        (type(f.model).__name__, name, value, f.objective, f.status, f.gradient_norm, f.rounds)
+        for f in fits
+        for name, value in f.model.values().items()
+    ]
+    ddl = "model string, parameter string, value double, objective double, status string, gradient_norm double, rounds int"
+    return spark.createDataFrame(table, ddl)
 
 
 @query

@@ -1,14 +1,13 @@
 """Maximum-likelihood fits whose objective is a distributed aggregate.
 
-The driver holds only three or four parameters.  Each job scores a whole batch
-of parameter points over the compressed customer table, so all derivatives and a
-line search are one pass.
+The driver holds only three or four parameters.  A job gives the mean log-likelihood with its
+gradient and curvature, in closed form, at the next point and at shorter steps towards it: one
+pass over the compressed customer table for each round of a Newton descent.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import itertools
 import json
 import math
 from collections.abc import Callable
@@ -19,13 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custvalue.functions.scratch import settle
-from custvalue.operators.btyd import BgNbd, GammaGamma, ParetoNbd
+from custvalue.operators.btyd import BgNbd, GammaGamma, ParetoNbd, value_names
 from custvalue.params import ClvParams
 
 # Ages are scaled so that the oldest customer is 10 time units old.
 OLDEST = 10.0
-STEP = 1e-3
-LINE_SEARCH = (2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+STEPS = (1.0, 0.25, 0.02)
 LONGEST_MOVE = 2.0
 ROUNDS = 50
 # Beyond this logarithm of a (scaled) parameter the data says nothing more about it.
@@ -58,108 +56,103 @@ class Descent:
 
 
 class Fit(NamedTuple):
-    """A fitted model, its penalised objective, and how the descent ended."""
+    """A fitted model, its penalised objective, how the descent ended, and the parameters on the
+    scale of the fit, which the penalty applies to."""
 
     model: object
     objective: float
     status: str
     gradient_norm: float
     rounds: int
+    scaled: dict[str, float]
+
+
+class Slope(NamedTuple):
+    """Value, gradient and curvature at a point; not finite where there is none."""
+
+    value: float
+    gradient: np.ndarray
+    curvature: np.ndarray
 
 
 class Objective:
-    """Mean log-likelihood of a model over compressed inputs, for a batch of points per job.
+    """Mean log-likelihood of a model over compressed inputs, with its derivatives.
 
-    The likelihood expression is built once; a batch arrives as one JSON literal
+    The expressions are built once; a batch of points arrives as one JSON literal
     that the optimizer folds into an array.
     """
 
     def __init__(self, inputs: DataFrame, model: type) -> None:
         self.inputs = inputs
         self.model = model
-        names = [field.name for field in dataclasses.fields(model)]
-        names += model.constants(**{name: 1.0 for name in names})
-        self.schema = f"array<struct<i int, {', '.join(f'{name} double' for name in names)}>>"
-        known = {name: F.col(f"p.{name}") for name in names}
-        term = model.log_likelihood(known, *[F.col(c) for c in model.inputs])
-        self.mean = (F.sum(F.col("n") * term) / F.sum("n")).alias("mean")
-
-    def __call__(self, points: list[dict[str, float]]) -> list[float | None]:
+        self.names = tuple(field.name for field in dataclasses.fields(model))
+        known = {name: 1.0 for name in self.names}
+        columns = [*self.names, *model.constants(**known)]
+        self.schema = f"array<struct<i int, {', '.join(f'{name} double' for name in columns)}>>"
+        self.steps = model.derivatives(
+            {name: F.col(f"p.{name}") for name in columns}, *[F.col(c) for c in model.inputs]
+        )
+
+    def terms(self, points: list[dict[str, float]]) -> DataFrame:
+        """For each customer and point ``i``: the log-likelihood and its derivatives."""
         rows = [{"i": i} | p | self.model.constants(**p) for i, p in enumerate(points)]
         literal = F.from_json(F.lit(json.dumps(rows)), self.schema)
         spread = self.inputs.select("n", *self.model.inputs, F.explode(literal).alias("p"))
-        means = spread.groupBy(F.col("p.i").alias("i")).agg(self.mean).collect()
-        found = {row["i"]: row["mean"] for row in means}
-        return [found[i] for i in range(len(points))]
-
-
-def _offsets(size: int) -> np.ndarray:
-    """The point itself, a step each way on every axis, and on every pair of axes."""
-    axes = np.eye(size)
-    singles = [sign * axes[i] for i in range(size) for sign in (1, -1)]
-    pairs = [
-        one * axes[i] + two * axes[j]
-        for i, j in itertools.combinations(range(size), 2)
-        for one in (1, -1)
-        for two in (1, -1)
-    ]
-    return STEP * np.vstack([np.zeros(size), *singles, *pairs])
-
-
-def _derivatives(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient and Hessian by central differences from the scores of the offsets."""
-    up, down = values[1 : 2 * size : 2], values[2 : 2 * size + 1 : 2]
-    hessian = np.diag((up + down - 2 * values[0]) / STEP**2)
-    rest = values[2 * size + 1 :].reshape(-1, 4)
-    for (i, j), four in zip(itertools.combinations(range(size), 2), rest):
-        hessian[i, j] = hessian[j, i] = (four[0] - four[1] - four[2] + four[3]) / (4 * STEP**2)
-    return (up - down) / (2 * STEP), hessian
+        for step in self.steps:
+            spread = spread.withColumns(step)
+        return spread.select("n", F.col("p.i").alias("i"), *value_names(self.names))
+
+    def __call__(self, points: list[dict[str, float]]) -> list[Slope]:
+        size, names = len(self.names), value_names(self.names)
+        means = [(F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in names]
+        found = {row["i"]: row for row in self.terms(points).groupBy("i").agg(*means).collect()}
+        slopes = []
+        for i in range(len(points)):
+            numbers = [math.nan if found[i][c] is None else found[i][c] for c in names]
+            curvature = np.zeros((size, size))
+            upper = np.triu_indices(size)
+            curvature[upper] = curvature.T[upper] = numbers[1 + size :]
+            slopes.append(Slope(numbers[0], np.array(numbers[1 : 1 + size]), curvature))
+        return slopes
 
 
 def minimise(
-    evaluate: Callable[[np.ndarray], np.ndarray],
+    evaluate: Callable[[np.ndarray], list[Slope]],
     start: np.ndarray,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-10,
     rounds: int = ROUNDS,
 ) -> Descent:
-    """Newton descent; a round scores shorter steps and the next point's surroundings at once.
+    """Newton descent; a round scores the next point and shorter steps at once.
 
-    It has converged if a round gains less than ``tolerance`` (relative), or none of its points
-    is better and the gradient is below the square root of that.
+    It has converged if a round gains less than ``tolerance`` or the gradient is below its square
+    root (relative); or if none of a round's points is better, as the gradient is lost in the last
+    digits of the objective.
     """
-    size = len(start)
-    offsets = _offsets(size)
     point = np.asarray(start, dtype=float)
-    values = evaluate(point + offsets)
+    (here,) = evaluate(point[None])
     status, done = "rounds", 0
     for done in range(1, rounds + 1):
-        gradient, hessian = _derivatives(values, size)
-        bends, axes = np.linalg.eigh(hessian)
-        bends = np.maximum(np.abs(bends), 1e-6 * max(np.abs(bends).max(), 1e-6))
-        move = -axes @ ((axes.T @ gradient) / bends)
+        bends, axes = np.linalg.eigh(here.curvature)
+        bends = np.maximum(np.abs(bends), 1e-10 * max(np.abs(bends).max(), 1e-6))
+        move = -axes @ ((axes.T @ here.gradient) / bends)
         move *= min(1.0, LONGEST_MOVE / max(np.linalg.norm(move), 1e-300))
-        tries = point + np.outer(LINE_SEARCH, move)
-        scores = evaluate(np.vstack([point + move + offsets, tries]))
-        scores = np.where(np.isfinite(scores), scores, np.inf)
-        full, others = scores[: len(offsets)], scores[len(offsets) :]
-        best = int(np.argmin(others))
-        gain = values[0] - min(full[0], others[best])
+        tries = point + np.outer(STEPS, move)
+        scored = [s if np.isfinite([s.value, *s.gradient]).all() else None for s in evaluate(tries)]
+        values = [math.inf if s is None else s.value for s in scored]
+        best = int(np.argmin(values))
+        gain = here.value - values[best]
         if gain <= 0:
-            flat = np.linalg.norm(gradient) <= math.sqrt(tolerance) * (1 + abs(values[0]))
+            flat = np.linalg.norm(here.gradient) <= 1e-5 * (1 + abs(here.value))
             status = "converged" if flat else "stalled"
             break
-        if full[0] <= others[best] and np.isfinite(full).all():
-            point, values = point + move, full
-        else:
-            point = tries[best]
-            values = evaluate(point + offsets)
-        if gain < tolerance * (1 + abs(values[0])):
+        point, here = tries[best], scored[best]
+        slope = np.linalg.norm(here.gradient)
+        if gain < tolerance * (1 + abs(here.value)) or slope < math.sqrt(tolerance) / 10:
             status = "converged"
             break
-    gradient, _ = _derivatives(values, size)
     if status == "converged" and np.abs(point).max() > EDGE:
         status = "boundary"
-    return Descent(point, float(values[0]), status, float(np.linalg.norm(gradient)), done)
+    return Descent(point, float(here.value), status, float(np.linalg.norm(here.gradient)), done)
 
 
 def _fit(
@@ -169,11 +162,18 @@ def _fit(
 
     objective = Objective(inputs, model)
 
-    def evaluate(logs: np.ndarray) -> np.ndarray:
+    def evaluate(logs: np.ndarray) -> list[Slope]:
+        """Cost by the logarithms of the parameters, which may then be any numbers."""
         params = np.exp(logs)
-        means = objective([dict(zip(names, map(float, row))) for row in params])
-        cost = np.array([math.inf if m is None else -m for m in means])
-        return cost + penalizer * (params**2).sum(axis=1)
+        found = objective([dict(zip(names, map(float, row))) for row in params])
+        return [
+            Slope(
+                penalizer * (p**2).sum() - s.value,
+                2 * penalizer * p**2 - p * s.gradient,
+                np.diag(4 * penalizer * p**2 - p * s.gradient) - np.outer(p, p) * s.curvature,
+            )
+            for p, s in zip(params, found)
+        ]
 
     # Cached copies lost with an executor are read again from the settled table.
     inputs.persist()
@@ -199,7 +199,7 @@ def _fit_timed(summary: DataFrame, model: type, params: ClvParams, rounds: int)
     names = tuple(f.name for f in dataclasses.fields(model))
     values, found = _fit(scaled, model, names, params.penalizer, rounds)
     rescaled = {k: v / scale if k in model.time_parameters else v for k, v in values.items()}
-    return Fit(model(**rescaled), found.value, found.status, found.gradient_norm, found.rounds)
+    return Fit(model(**rescaled), found.value, found.status, found.gradient_norm, found.rounds, values)
 
 
 def fit_bgnbd(summary: DataFrame, params: ClvParams, rounds: int = ROUNDS) -> Fit:
@@ -233,4 +233,4 @@ def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.0, rounds: int = RO
     scaled = inputs.select("n", "frequency", (spend / head["mean"]).alias("monetary_value"))
     values, found = _fit(scaled, GammaGamma, ("p", "q", "v"), penalizer, rounds)
     model = GammaGamma(**(values | {"v": values["v"] * head["mean"]}))
-    return Fit(model, found.value, found.status, found.gradient_norm, found.rounds)
+    return Fit(model, found.value, found.status, found.gradient_norm, found.rounds, values)

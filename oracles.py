@@ -281,6 +281,83 @@ def density() -> str:
     return f"{head},{DENSITY.replace('WITH_BINS', 'with_bins')}"
 
 
+def score_equations(names: dict[str, str], where: str = "true") -> str:
+    """Means that the score equations of a fit equate with the model's own."""
+    return " UNION ALL ".join(
+        f"""SELECT count(*) AS customers, '{name}' AS parameter, {rnd(f'avg({mean})', 3)} AS by_data,
+        {rnd(f'avg({mean})', 3)} AS by_fit FROM ({CUSTOMERS}) WHERE {where}"""
+        for name, mean in names.items()
+    )
+
+
+def ridge(settings: str, result: str) -> str:
+    """Linear models by elimination on the correlations; ``settings`` has trial and l2."""
+    shared = statement("SELECT * FROM labelled")
+    head = shared[: shared.rindex("SELECT * FROM labelled")].rstrip()
+    inputs = ", ".join(f'"{name}"::DOUBLE' for name in (*USED_COLUMNS, "target_monetary"))
+    k = len(USED_COLUMNS)
+    return f"""{head.replace("WITH", "WITH RECURSIVE", 1)},
+cells AS (SELECT customer_id, split, unnest(range(1, {k + 2})) AS k, unnest([{inputs}]) AS x FROM labelled),
+spread AS (SELECT k, avg(x) AS m, stddev_pop(x) AS s FROM cells WHERE split = 'train' GROUP BY k),
+z AS (SELECT c.*, m, s, CASE WHEN s > 1e-12 * greatest(1, abs(m)) THEN (x - m) / s ELSE 0 END AS z
+  FROM cells c JOIN spread USING (k)),
+alike AS (SELECT a.k AS i, b.k AS j, avg(a.z * b.z) AS r FROM z a JOIN z b USING (customer_id)
+  WHERE a.split = 'train' GROUP BY ALL),
+matrix AS (SELECT list(line ORDER BY i) AS r FROM (
+  SELECT i, list(r ORDER BY j) AS line FROM alike WHERE i <= {k} GROUP BY i)),
+settings AS ({settings}),
+steps AS (
+  SELECT trial, l2, 1 AS step,
+    [[CASE WHEN i = j THEN r[i][j] + l2 + (r[i][i] = 0)::INT ELSE r[i][j] END FOR j IN range(1, {k + 2})]
+      FOR i IN range(1, {k + 1})] AS a FROM settings, matrix
+  UNION ALL
+  SELECT trial, l2, step + 1,
+    [CASE WHEN i = step THEN [v / a[step][step] FOR v IN a[i]]
+      ELSE [a[i][j] - a[i][step] * a[step][j] / a[step][step] FOR j IN range(1, {k + 2})] END
+      FOR i IN range(1, {k + 1})] FROM steps WHERE step <= {k}),
+solved AS (SELECT trial, l2, unnest(range(1, {k + 1})) AS k, unnest([line[{k + 1}] FOR line IN a]) AS b
+  FROM steps WHERE step = {k + 1}),
+label AS (SELECT m AS label_mean, s AS label_spread FROM spread WHERE k = {k + 1}),
+errors AS (
+  SELECT trial, l2, split, sqrt(avg(pow(y - fitted, 2))) * any_value(label_spread) AS rmse FROM (
+    SELECT trial, l2, split, customer_id, sum(b * z) AS fitted FROM solved JOIN z USING (k) GROUP BY ALL)
+  JOIN (SELECT customer_id, z AS y FROM z WHERE k = {k + 1}) USING (customer_id), label GROUP BY trial, l2, split)
+{result}"""
+
+
+TRIALS = "SELECT t AS trial, 1e-4 * pow(1e6, ((t + 1) * 0.6180339887498949) % 1.0) AS l2 FROM range({n}) AS r(t)"
+TERMS = ", ".join(f"'{name}'" for name in USED_COLUMNS)
+
+
+def linear_sql() -> dict[str, str]:
+    # Equal columns share their effect, as in the limit of a penalty that goes to zero.
+    one = "SELECT 0 AS trial, 1e-10::DOUBLE AS l2"
+    return {
+        "fit_linear": ridge(
+            one,
+            f"""SELECT term, {rnd('c', 2)} AS coefficient, {rnd('e', 1)} AS effect FROM (
+            SELECT [{TERMS}][k] AS term, b * label_spread / if(s > 1e-12 * greatest(1, abs(m)), s, 1.0) AS c,
+              b * label_spread AS e FROM solved JOIN spread USING (k), label
+            UNION ALL SELECT 'intercept', any_value(label_mean)
+              - sum(b * label_spread / if(s > 1e-12 * greatest(1, abs(m)), s, 1.0) * m), 0.0
+              FROM solved JOIN spread USING (k), label HAVING count(*) > 0)""",
+        ),
+        "tune_linear": ridge(
+            TRIALS.format(n=1000),
+            f"""SELECT trial::INT AS trial, {rnd('log10(l2)', 6)} AS log_l2, {rnd('t.rmse')} AS train_rmse,
+            {rnd('e.rmse')} AS rmse FROM errors t JOIN errors e USING (trial, l2)
+            WHERE t.split = 'train' AND e.split = 'eval'""",
+        ),
+        "trials_table": ridge(
+            TRIALS.format(n=20),
+            f"""SELECT trial::INT AS trial, {rnd('log10(l2)', 6)} AS log_l2, {rnd('rmse')} AS rmse,
+            row_number() OVER (ORDER BY {rnd('rmse', 6)}, trial)::INT AS place,
+            (SELECT least(2, count(*)) FROM labelled WHERE split = 'train')::INT AS last_model
+            FROM errors WHERE split = 'eval'""",
+        ),
+    }
+
+
 SAMPLE_TEXT = (
     '"InvoiceNo" || "Quantity" || "InvoiceDate" || ("UnitPrice"::DECIMAL(18,4)) || "CustomerID"'
 )
@@ -331,8 +408,6 @@ BODIES = {
     "predictions_table": f"""SELECT customer_id, {rnd('predicted_monetary')} AS predicted_monetary,
        cast(NULL AS double) AS predictions FROM base""",
     "shard_names": """SELECT least(3, count(*)) AS shards, least(3, count(*)) AS names FROM base""",
-    "trials_table": """SELECT unnest(range(3)) :: INT AS trial, 0.5::DOUBLE AS l2,
-       (SELECT least(2, count(*)) FROM labelled WHERE split = 'train') :: INT AS last_model""",
     "score_serve": f"""SELECT '{{"key":{{"path":[{{"kind":"clv","name":' || to_json(customer_id)
        || '}}]}},"properties":{{"predicted_monetary":{{"doubleValue":' || to_json({rnd('g')})
        || '}}}}}}' AS entity
@@ -431,6 +506,9 @@ BODIES = {
        monetary_dnn AS train_monetary, target_monetary AS act_target_monetary FROM feats""",
     "predict_horizon": """SELECT customer_id, frequency, recency, "T", target_days AS time_days,
        cast(ceil(target_days/30.0) AS bigint) AS time_months FROM summary, days""",
+    "fit_bgnbd": score_equations({"r": "x", "alpha": "x", "a": "(x > 0)::INT", "b": "(x > 0)::INT"}),
+    "fit_paretonbd": score_equations({"r": "x", "alpha": "x", "s": "(x > 0)::INT", "beta": "(x > 0)::INT"}),
+    "fit_gamma_gamma": score_equations({"p": "x", "q": "ln(x * m)", "v": "x"}, "x > 0"),
     "bgnbd_nll": f"""SELECT customer_id, {rnd('ll', 6)} AS log_likelihood
        FROM (SELECT *, {BG_LL} AS ll FROM ({CUSTOMERS}))""",
     "paretonbd_nll": f"""SELECT customer_id, {rnd('ll', 6)} AS log_likelihood
@@ -470,4 +548,4 @@ def all_statements() -> dict[str, str]:
         money="2000.0",
     )
     made["monetary_density"] = density()
-    return made
+    return made | linear_sql()

@@ -70,10 +70,17 @@ def test_a_fit_without_a_minimum_raises(spark):
 
 
 def test_descent_tells_how_it_ended():
-    bowl = fit.minimise(lambda p: ((p - 3) ** 2).sum(axis=1), np.zeros(2))
+    def power(n):
+        def evaluate(points):
+            away = points - 3
+            return [fit.Slope((p**n).sum(), n * p ** (n - 1), np.diag(n * (n - 1) * p ** (n - 2))) for p in away]
+
+        return evaluate
+
+    bowl = fit.minimise(power(2), np.zeros(2))
     assert bowl.status == "converged" and bowl.point == pytest.approx([3, 3], abs=1e-3)
-    assert fit.minimise(lambda p: ((p - 3) ** 4).sum(axis=1), np.zeros(2), rounds=2).status == "rounds"
-    far = fit.minimise(lambda p: np.exp(-p).sum(axis=1), np.zeros(1))
+    assert fit.minimise(power(4), np.zeros(2), rounds=2).status == "rounds"
+    far = fit.minimise(lambda p: [fit.Slope(np.exp(-x[0]), -np.exp(-x), np.diag(np.exp(-x))) for x in p], np.zeros(1))
     assert far.status == "boundary"
 
 
