@@ -35,8 +35,8 @@ from custvalue.llm.common import settle, ship, text_of
 CHUNK = 32768
 #: Chunks whose matrices are combined into one.
 BLOCK = 32
-#: Rows that a task works on together.
-BATCH = 400
+#: Rows, and chunks, that a task works on together.
+BATCH, TRACED = 400, 64
 
 
 def _meeting_places(model: pieces.PieceModel, text: str, own: int) -> tuple[int, int] | None:
@@ -112,32 +112,33 @@ def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left[:, :, None] + right[None, :, :]).max(axis=1)
 
 
-def trace_chunk(
-    model: pieces.PieceModel,
-    text: str,
-    own: int,
-    entry: np.ndarray,
-) -> tuple[np.ndarray, list[int], list[list[int]]]:
-    """Ids shared by the paths to all exit states, then entry state and further ids of each.
+Trace = tuple[np.ndarray, list[int], list[list[int]]]
 
-    Where paths meet inside the chunk, only what lies before the first and after the last
-    meeting place depends on the states.
-    """
-    places = _meeting_places(model, text, own)
-    if places is None:
-        return _trace_states(model, text, own, entry.tolist())
-    first, last = places
-    _, back = model.forward(text[:first], first, entry.tolist())
-    state, head = model.trace(text[:first], back, first)
-    middle = model.encode([text[first:last]])[0]
-    shared, states, ends = _trace_states(model, text[last:], own - last, [0.0])
-    ids = np.concatenate([head, np.frombuffer(middle, np.int32), shared]).astype(np.int32)
-    return ids, [state if s >= 0 else -1 for s in states], ends
 
+def trace_chunks(model: pieces.PieceModel, chunks: list[tuple[str, int, np.ndarray]]) -> list[Trace]:
+    """For each chunk (text, own characters, scores that enter): ids shared by the paths to all
+    exit states, then entry state and further ids of each.
 
-def _trace_states(
-    model: pieces.PieceModel, text: str, own: int, entry: list[float]
-) -> tuple[np.ndarray, list[int], list[list[int]]]:
+    Where paths meet inside the chunk, only what lies before the first and after the last
+    meeting place depends on the states; what lies between is segmented for all chunks together.
+    """
+    places = [_meeting_places(model, text, own) for text, own, _ in chunks]
+    middles = iter(model.encode([c[0][p[0] : p[1]] for c, p in zip(chunks, places) if p]))
+    found = []
+    for (text, own, entry), place in zip(chunks, places):
+        if place is None:
+            found.append(_trace_states(model, text, own, entry.tolist()))
+            continue
+        first, last = place
+        _, back = model.forward(text[:first], first, entry.tolist())
+        state, head = model.trace(text[:first], back, first)
+        shared, states, ends = _trace_states(model, text[last:], own - last, [0.0])
+        ids = np.concatenate([head, np.frombuffer(next(middles), np.int32), shared]).astype(np.int32)
+        found.append((ids, [state if s >= 0 else -1 for s in states], ends))
+    return found
+
+
+def _trace_states(model: pieces.PieceModel, text: str, own: int, entry: list[float]) -> Trace:
     best, back = model.forward(text, own, entry)
     states, paths = [], []
     for exit_state in range(model.longest):
@@ -243,11 +244,15 @@ def _cut(path: str, chunk: int):
 
 
 def _matrices(path: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.load(path)
-        for frame in frames:
-            found = [transfer(model, t, n) for t, n in zip(frame["chunk_text"], frame["own"])]
-            yield frame[["segment_row", "chunk"]].assign(matrix=[m.tobytes() for m in found])
+        for batch in batches:
+            for start in range(0, batch.num_rows, TRACED):
+                part = batch.slice(start, TRACED)
+                texts, own = part.column("chunk_text").to_pylist(), part.column("own").to_pylist()
+                found = [transfer(model, t, n).tobytes() for t, n in zip(texts, own)]
+                at = [part.column("segment_row"), part.column("chunk")]
+                yield pa.record_batch([*at, pa.array(found, pa.binary())], names=["segment_row", "chunk", "matrix"])
 
     return run
 
@@ -303,16 +308,23 @@ def entering(matrices: DataFrame, width: int, block: int = BLOCK) -> DataFrame:
 
 
 def _traces(path: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    states = pa.list_(pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.load(path)
-        for frame in frames:
-            found = [
-                trace_chunk(model, t, n, np.frombuffer(e))
-                for t, n, e in zip(frame["chunk_text"], frame["own"], frame["entry"])
-            ]
-            yield frame[["segment_row", "chunk"]].assign(
-                shared=[f[0] for f in found], states=[f[1] for f in found], ends=[f[2] for f in found]
-            )
+        for batch in batches:
+            for start in range(0, batch.num_rows, TRACED):
+                part = batch.slice(start, TRACED)
+                texts, own, entries = (part.column(c).to_pylist() for c in ("chunk_text", "own", "entry"))
+                found = trace_chunks(model, list(zip(texts, own, map(np.frombuffer, entries))))
+                columns = [
+                    part.column("segment_row"),
+                    part.column("chunk"),
+                    pa.array([f[0] for f in found], states),
+                    pa.array([f[1] for f in found], states),
+                    pa.array([f[2] for f in found], pa.list_(states)),
+                ]
+                yield pa.record_batch(columns, names=["segment_row", "chunk", "shared", "states", "ends"])
         model.forget()
 
     return run
@@ -361,10 +373,11 @@ def encode(
         .repartition("segment_row", "chunk"),
         "chunks",
     )
-    entries = entering(chunks.mapInPandas(_matrices(path), f"{at}, matrix binary"), width, block)
+    entries = entering(chunks.mapInArrow(_matrices(path), f"{at}, matrix binary"), width, block)
     linked = (
         chunks.join(entries, ["segment_row", "chunk"])
-        .mapInPandas(
+        .select("segment_row", "chunk", "own", "chunk_text", "entry")
+        .mapInArrow(
             _traces(path), f"{at}, shared array<int>, states array<int>, ends array<array<int>>"
         )
         .groupBy("segment_row")

@@ -126,7 +126,7 @@ def chunked(model, text, chunk):
         scores = (scores[:, None] + segment.transfer(model, text_part, own)).max(axis=0)
     state, found = 0, []
     for (text_part, own), entry in reversed(list(zip(parts, entries))):
-        shared, states, ends = segment.trace_chunk(model, text_part, own, entry)
+        ((shared, states, ends),) = segment.trace_chunks(model, [(text_part, own, entry)])
         found.append([*shared.tolist(), *ends[state]])
         state = states[state]
     return [i for part in reversed(found) for i in part]
