@@ -1,9 +1,10 @@
 """A cuckoo filter over 32-byte digests, with the digests themselves kept per bucket.
 
 The filter answers most lookups of new digests from 16-bit fingerprints alone. A hit is verified
-against the digests stored for the two buckets, so answers are exact. Deleting frees the slot;
-an insertion that finds no room within ``KICKS`` moves doubles the table and rebuilds it from
-the stored digests. One filter serves one shard of the digest space.
+against the digests stored for the two buckets, so answers are exact. What belongs to a digest is
+stored in its slot. Deleting frees the slot; an insertion that finds no room within ``KICKS``
+moves doubles the table and rebuilds it from the stored digests. One filter serves one shard of
+the digest space.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ KICKS = 200
 
 
 class CuckooIndex:
-    """Live digests of a shard: ``insert``, ``delete``, ``in``; each digest has a row number."""
+    """Live digests of a shard, each with a value: ``insert``, ``get``, ``delete``, ``in``."""
 
     def __init__(self, buckets: int = 4):
         self._start(max(2, 1 << (buckets - 1).bit_length()))
@@ -27,6 +28,7 @@ class CuckooIndex:
         self.buckets = buckets
         self.marks = array("H", bytes(2 * buckets * SLOTS))  # 0: a free slot
         self.stored: list[bytes | None] = [None] * (buckets * SLOTS)
+        self.values: list = [None] * (buckets * SLOTS)
         self._random = random.Random(buckets)
         self.size = 0
 
@@ -53,49 +55,55 @@ class CuckooIndex:
                     self.false_hits += 1
         return -1
 
-    def insert(self, digest: bytes) -> bool:
-        """True if the digest is new; a live one stays as it is."""
+    def get(self, digest: bytes):
+        """The value of a live digest; None for any other."""
+        slot = self._find(digest)
+        return None if slot < 0 else self.values[slot]
+
+    def insert(self, digest: bytes, value=None) -> bool:
+        """True if the digest is new; a live one stays as it is, with its value."""
         if self._find(digest) >= 0:
             return False
         while True:
-            homeless = self._put(digest)
+            homeless = self._put(digest, value)
             if homeless is None:
                 return True
-            digest = homeless
+            digest, value = homeless
             self._resize()
 
-    def _put(self, digest: bytes) -> bytes | None:
-        """Store the digest; the one left without a slot if the table overflows."""
+    def _free(self, bucket: int, mark: int, digest: bytes, value) -> bool:
+        for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
+            if not self.marks[slot]:
+                self.marks[slot], self.stored[slot], self.values[slot] = mark, digest, value
+                self.size += 1
+                return True
+        return False
+
+    def _put(self, digest: bytes, value) -> tuple | None:
+        """Store a digest; the one left without a slot, with its value, if the table overflows."""
         mark, bucket, second = self._place(digest)
-        for b in (bucket, second):
-            for slot in range(b * SLOTS, b * SLOTS + SLOTS):
-                if not self.marks[slot]:
-                    self.marks[slot], self.stored[slot] = mark, digest
-                    self.size += 1
-                    return None
+        if self._free(bucket, mark, digest, value) or self._free(second, mark, digest, value):
+            return None
         bucket = self._random.choice((bucket, second))
         for _ in range(KICKS):
             slot = bucket * SLOTS + self._random.randrange(SLOTS)
-            moved_mark, moved = self.marks[slot], self.stored[slot]
-            self.marks[slot], self.stored[slot] = mark, digest
-            mark, digest = moved_mark, moved
+            moved = self.marks[slot], self.stored[slot], self.values[slot]
+            self.marks[slot], self.stored[slot], self.values[slot] = mark, digest, value
+            mark, digest, value = moved
             bucket = self._other(bucket, mark)
-            for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
-                if not self.marks[slot]:
-                    self.marks[slot], self.stored[slot] = mark, digest
-                    self.size += 1
-                    return None
-        return digest
+            if self._free(bucket, mark, digest, value):
+                return None
+        return digest, value
 
     def _resize(self) -> None:
         """Double the table and insert the stored digests anew."""
-        keys = [d for d in self.stored if d is not None]
+        live = list(self.items())
         buckets = self.buckets
         while True:
             buckets *= 2
             self.resizes += 1
             self._start(buckets)
-            if all(self._put(d) is None for d in keys):
+            if all(self._put(*entry) is None for entry in live):
                 return
 
     def delete(self, digest: bytes) -> bool:
@@ -103,12 +111,16 @@ class CuckooIndex:
         slot = self._find(digest)
         if slot < 0:
             return False
-        self.marks[slot], self.stored[slot] = 0, None
+        self.marks[slot], self.stored[slot], self.values[slot] = 0, None, None
         self.size -= 1
         return True
 
     def __iter__(self):
         return (d for d in self.stored if d is not None)
 
+    def items(self):
+        """Live digests with their values."""
+        return ((d, v) for d, v in zip(self.stored, self.values) if d is not None)
+
     def __len__(self) -> int:
         return self.size

@@ -49,8 +49,9 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def _summed(rows: DataFrame) -> DataFrame:
     """Members and best row of each digest and salt, in the form of index rows."""
-    # The most characters, then the smallest doc_id, which is the largest negated one.
-    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("negated"))).alias("best")
+    # The most characters, then the smallest doc_id; a null one comes last.
+    first = [(-F.col("chars")).alias("fewer"), F.col("doc_id").isNull().alias("unnamed"), "chars", "doc_id"]
+    best = F.min(F.struct(*first)).alias("best")
     return (
         rows.groupBy("text_sha256", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
         .agg(F.count("*").alias("members"), best)
@@ -58,7 +59,7 @@ def _summed(rows: DataFrame) -> DataFrame:
             F.unhex("text_sha256").alias("digest"),
             "members",
             F.col("best.chars").alias("chars"),
-            (-F.col("best.negated")).alias("holder"),
+            F.col("best.doc_id").alias("holder"),
         )
     )
 
@@ -72,28 +73,25 @@ def _better(chars: int, holder: int | None, than_chars: int, than_holder: int |
 
 
 class Shard:
-    """Index rows of one shard behind its cuckoo filter."""
+    """Index rows of one shard, held by its cuckoo filter."""
 
     def __init__(self, number: int):
         self.number = number
         self.filter = CuckooIndex()
-        self.rows: dict[bytes, list] = {}
 
     def add(self, digest: bytes, members: int, chars: int, holder: int | None) -> None:
-        if self.filter.insert(digest):
-            self.rows[digest] = [members, chars, holder]
+        if self.filter.insert(digest, [members, chars, holder]):
             return
-        row = self.rows[digest]
+        row = self.filter.get(digest)
         row[0] += members
         if _better(chars, holder, row[1], row[2]):
             row[1:] = [chars, holder]
 
     def remove(self, digest: bytes) -> None:
-        if self.filter.delete(digest):
-            del self.rows[digest]
+        self.filter.delete(digest)
 
     def live(self) -> list[tuple]:
-        return [(digest, *self.rows[digest]) for digest in self.filter]
+        return [(digest, *row) for digest, row in self.filter.items()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -29,6 +29,19 @@ def test_index_holds_what_was_inserted_and_not_deleted():
     assert index.resizes >= 5
 
 
+def test_values_move_with_their_digests():
+    rng, live, index = random.Random(6), {}, CuckooIndex(2)
+    for n in range(5000):
+        d = digest(rng.randrange(4000))
+        if index.insert(d, [n]):
+            live[d] = [n]
+        elif rng.random() < 0.3:
+            index.delete(d)
+            del live[d]
+    assert dict(index.items()) == live
+    assert index.get(digest(-1)) is None
+
+
 def test_equal_fingerprints_and_buckets_overflow_into_a_larger_table():
     # Digests that differ only where the filter does not look share both buckets.
     same = [digest(1)[:24] + n.to_bytes(8, "big") for n in range(8)]
@@ -58,6 +71,8 @@ def brute(rows):
 def test_groups_agree_with_brute_force(spark):
     assert rows_of(exact.exact_groups(frame(spark, clashing=True))) == brute(documents())
     assert exact.exact_groups(empty(spark)).count() == 0
+    far = [(i, t, "en", "s", 1) for i in (-(1 << 63), (1 << 63) - 1, 0, None) for t in ("x y", "xy", "z")]
+    assert rows_of(exact.exact_groups(frame(spark, far))) == brute(far)
 
 
 def test_survivors_are_the_kept_rows_once(spark):
