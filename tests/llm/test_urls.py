@@ -11,7 +11,8 @@ URLS = [
     "http://example.org/es/1", "http://EXAMPLE.org/es", "http://www.example.org/en/12?q=/es/",
     "http://xexample.org/en/1", "http://shop.com/fr/", "http://com/de/#x", "http://shop.com?x=/de/",
     "http://a.b.c.d.example.org/en/1/2", "http://user@example.org:80/es/", "ftp://x.com/de/\n/y",
-    "http://x.com/fr/http://example.org/es/", "http://.org/x", "http://org./x", "http://ex\nample.com/de/",
+    "http://x.com/fr/http://example.org/es/", "http://www.example.org/es/" + "long/" * 50_000,
+    "http://" + "a." * 3000 + "com/de/" + "é" * 9000, "http://.org/x", "http://org./x", "http://ex\nample.com/de/",
 ]
 
 
@@ -34,3 +35,21 @@ def test_no_pages_no_rules_equal_rules(spark):
     assert [r["verdict"] for r in urls.judge(pages, none, "block").collect()] == ["block"]
     both = spark.createDataFrame([("org", "/", "allow"), ("ORG", "/", "block"), (None, "/", "block"), ("", "/", "block")], RULES)
     assert [(r["rule"], r["verdict"]) for r in urls.judge(pages, both).collect()] == [("org/", "block")]
+
+
+def test_many_shapes_are_judged_by_one_plan(spark):
+    import time
+
+    rules = spark.range(20_000).selectExpr(
+        "concat(repeat('a.', cast(id % 40 as int)), 'org') as host",
+        "concat('/', repeat('x', cast(id div 40 as int))) as path", "'block' as verdict",
+    )
+    pages = spark.range(500).selectExpr(
+        "id as page_id", "concat('http://', repeat('a.', cast(id % 50 as int)), 'org/', repeat('x', cast(id % 90 as int))) as url"
+    )
+    start = time.perf_counter()
+    found = urls.judge(pages, rules).collect()
+    assert time.perf_counter() - start < 60
+    for r in found:
+        host, path = r["host"].count("a."), r["path"].count("x")
+        assert r["rule"] == "a." * min(host, 39) + "org/" + "x" * path and r["verdict"] == "block"
