@@ -97,6 +97,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("spans").alias("n_spans"),
+        "spans",
     )
 
 

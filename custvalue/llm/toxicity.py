@@ -8,11 +8,14 @@ copies and near copies of a document do not speak for its other words. A chain o
 forward and backward passes give every token's marginal; the score is the largest one, and runs
 of tokens at 0.5 or more are the offending spans.
 
-The fit uses a bounded sample of the labelled documents (``TOXIC_DOCS``, ``CLEAN_DOCS``), whole
-texts of them; scores cover every document. With two states the forward pass needs one number
-per token, the ratio of the states' weights, so a pass is linear and cannot underflow.
-
-Defined cases: a null text or one without a word scores 0; labels that repeat a document count as
+The fit uses a bounded sample of the labelled documents (``TOXIC_DOCS``, ``CLEAN_DOCS``). Tokens
+are counted and marked in whole texts of them; the windows of the chain lie at up to ``MARKED``
+marked tokens and ``WINDOWS`` others of each, chosen by hash over all places of the text, so a
+long text teaches from all its parts. Scores cover every document. With two states the forward
+pass needs one number per token, the ratio of the states' weights, so a pass is linear and
+cannot underflow.
+
+Defined cases: a null text or one without a word scores 0; very long texts are scored whole; labels that repeat a document count as
 toxic if one of them is; null labels and labels of absent documents are ignored; without a toxic
 example everything scores 0; repeated rows are scored alike; other columns are ignored.
 """
@@ -24,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
 from itertools import accumulate
 from operator import mul
 
@@ -37,8 +41,8 @@ from custvalue.llm.common import settle, ship
 WORD = re.compile(r"\w+")
 #: Documents of each label that a fit reads at most, those with the smallest hashes.
 TOXIC_DOCS, CLEAN_DOCS = 4000, 8000
-#: Features that may mark tokens, windows per document, tokens to each side.
-LEXICON, WINDOWS, SIDE = 5000, 4, 5
+#: Windows of a document around marked tokens and around any, tokens to each side.
+MARKED, WINDOWS, SIDE = 16, 4, 5
 STARTS = (3, 4, 5, 6)
 DIMENSION = 1 << 18
 ROUNDS, RATE, PENALTY = 80, 0.3, 1e-4
@@ -167,7 +171,7 @@ def lexicon(sample: DataFrame) -> set[str]:
     """Features whose contexts are toxic far more often than chance allows.
 
     The measure is the log-likelihood ratio; its threshold grows with the logarithm of the
-    number of features, as many are tried.
+    number of features, as many are tried. They are words of the bounded sample.
     """
     by_word = (
         sample.mapInArrow(_contexts, "word string, context long, toxic int")
@@ -200,25 +204,31 @@ def lexicon(sample: DataFrame) -> set[str]:
         by_feature.where((k / n > 0.7) & (k >= 3))
         .withColumn("ratio", ratio)
         .where(F.col("ratio") > 2 * math.log(total["words"]) + 2)
-        .orderBy(F.desc("ratio"), "feature")
-        .limit(LEXICON)
         .collect()
     )
     return {r["feature"] for r in found}
 
 
+def _chosen(text: str, places: list[int], most: int) -> list[int]:
+    """Places by the hash of the text and the place."""
+    seed = zlib.crc32(text.encode())
+    return nsmallest(most, places, key=lambda i: (zlib.crc32(b"%d" % i, seed), i))
+
+
 def _windows(marks: set[str]):
-    """Windows of a document: around marked tokens, and at places spread over it."""
+    """Windows of a document: around marked tokens, and around others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, flags = [], []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = WORD.findall(text.lower())
-                marked = [i for i, w in enumerate(words) if any(f in marks for f in features(w))]
-                step = max(1, len(words) // WINDOWS)
-                centers = {*marked[:WINDOWS], *range(step // 2, len(words), step)}
-                for center in sorted(centers)[: 2 * WINDOWS]:
+                found = {w: any(f in marks for f in features(w)) for w in set(words)}
+                marked = [i for i, w in enumerate(words) if found[w]]
+                others = [i for i, w in enumerate(words) if not found[w]]
+                at = [*_chosen(text, marked, MARKED), *_chosen(text, others, WINDOWS)]
+                marked = set(marked)
+                for center in at:
                     places = range(center - SIDE, center + SIDE + 1)
                     rows.append([words[i] if 0 <= i < len(words) else None for i in places])
                     flags.append([int(toxic == 1 and i in marked) for i in places])
@@ -233,7 +243,7 @@ def _windows(marks: set[str]):
 def fit(docs: DataFrame, labels: DataFrame) -> Chain | None:
     """Learn from a bounded sample of the labelled documents; None without toxic examples.
 
-    The windows that come to the driver are at most 2 * WINDOWS per sampled document, of
+    The windows that come to the driver are at most MARKED + WINDOWS per sampled document, of
     eleven words each.
     """
     ship(docs.sparkSession)

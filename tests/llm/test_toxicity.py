@@ -77,6 +77,22 @@ def test_copies_do_not_speak_for_their_other_words(spark):
     assert toxicity.lexicon(joined) == {"=idiot", "^idi", "^idio"}
 
 
+def test_windows_lie_in_all_parts_of_a_text():
+    import pyarrow as pa
+
+    text = " ".join(["scum" if i % 40 == 39 else f"w{i}" for i in range(8000)])
+    batch = pa.record_batch([pa.array([text, "only w1 here"]), pa.array([1, 0])], names=["text", "toxic"])
+    (found,) = toxicity._windows({"=scum"})([batch])
+    rows = found.to_pylist()
+    centers = [r["words"][toxicity.SIDE] for r in rows]
+    marked = [r for r, c in zip(rows, centers) if c == "scum"]
+    assert len(marked) == toxicity.MARKED and all(r["flags"][toxicity.SIDE] == 1 for r in marked)
+    places = sorted(int(r["words"][toxicity.SIDE - 1][1:]) for r in marked)
+    assert places[0] < 3000 and places[-1] > 5000
+    assert len(rows) == toxicity.MARKED + toxicity.WINDOWS + 3
+    assert found.to_pylist() == next(iter(toxicity._windows({"=scum"})([batch]))).to_pylist()
+
+
 def test_held_out_quality(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     from custvalue.llm.language import held_out
