@@ -114,10 +114,12 @@ def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the pages as archives, then read all records back, checking every payload."""
+    """Write the pages as archives, then read the responses, checking every payload, and the
+    revisits, from whose read the headers keep all payloads."""
     path = scratch_path(spark, "archive")
     warc.write_warc(warc.page_records(table(spark, folder, "pages")), path)
-    records = warc.read_warc(spark, path, types=("response", "revisit"), payload="digest")
+    responses = warc.read_warc(spark, path, types=("response",), payload="digest")
+    records = responses.unionByName(warc.read_warc(spark, path, types=("revisit",), payload="none"))
     return records.select(
         warc.page_of("record_id").alias("page_id"),
         F.col("payload_length").alias("payload_bytes"),

@@ -2,20 +2,24 @@
 
 Every record is a gzip member of its own, with its compressed length in the header's ``sl``
 field, so a reader parses the record's headers, decides, and jumps over a payload it does not
-want without inflating it. Members of other writers, without that field, and plain files are
-read too; there an unwanted payload is passed over without being decoded.
+want without inflating it. Members of other writers, without that field or with several records
+in a member, and plain files are read too; there an unwanted payload is passed over.
 
-Reading: files are dealt to tasks by size. The options ``types`` (record types, by comma) and
-``payload`` (``full``; ``digest``: checked but not returned; ``none``: not read) apply always.
-With ``spark.sql.python.filterPushdown.enabled``, filters on record_type, record_id, target_uri,
-date, refers_to and payload_digest are pushed into the header check as well.
+Reading: files of a folder and of those in it are dealt to tasks by size; names end with .warc or
+.warc.gz in any case, hidden ones (``.`` or ``_`` in front) are passed over, and any other stops
+the read. The options ``types`` (record types, by comma), ``ids`` (record ids, by blank),
+``uri_prefix``, ``date_prefix`` and ``payload`` (``full``; ``digest``: checked but not returned;
+``none``: not read) are applied to the headers of a record before its payload is touched. With
+``spark.sql.python.filterPushdown.enabled``, which is off by default, Spark's own filters on
+record_type, record_id, target_uri, date, refers_to and payload_digest are applied there as well.
 
 Writing: the columns are those of ``RECORD``; a task writes files of ``max_bytes`` at most under
 ``_temporary``, and the commit moves those of the tasks that count, so a lost or repeated task
 leaves nothing. Paths are opened by pyarrow's file systems, local ones and those with a scheme.
 
 Defined cases: a null payload is an empty one; null headers are left out; control characters and
-blanks in a header value are percent-encoded; an empty folder gives no rows; a record whose
+blanks in a header value are percent-encoded; headers are read as UTF-8, and as Latin-1 where
+they are not; an empty folder gives no rows; a very long payload is held once; a record whose
 payload does not match its digest, or a cut file, stops the read.
 """
 
@@ -187,7 +191,11 @@ class WarcFiles(InputPartition):
 
 
 def _headers(head: bytes) -> dict[str, str]:
-    lines = head.decode().split("\r\n")
+    try:
+        text = head.decode()
+    except UnicodeDecodeError:
+        text = head.decode("latin-1")
+    lines = text.split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"no WARC record but {lines[0][:40]!r}")
     found = {}
@@ -197,6 +205,79 @@ def _headers(head: bytes) -> dict[str, str]:
     return found
 
 
+class _Member:
+    """What a gzip member holds, inflated as it is asked for."""
+
+    def __init__(self, file, at: int):
+        self.file, self.at = file, at
+        file.seek(at)
+        start = file.read(HEAD_BYTES)
+        self.empty = not start
+        if self.empty:
+            return
+        if start[:3] != b"\x1f\x8b\x08":
+            raise ValueError(f"no gzip member at {at}")
+        #: Compressed and plain length, if the member names them.
+        self.lengths = None
+        if start[3] & 4 and start[12:14] == b"sl" and len(start) >= 24:
+            self.lengths = struct.unpack("<II", start[16:24])
+        self.inflater = zlib.decompressobj(31)
+        self.used = len(start)
+        self.held = self.inflater.decompress(start, HEAD_BYTES)
+        self.passed = 0  # plain bytes that were taken
+
+    def _more(self) -> bool:
+        """Inflate some more; False at the member's end."""
+        inflater = self.inflater
+        if inflater.eof:
+            return False
+        data = inflater.unconsumed_tail
+        if not data:
+            data = self._read(self.at + self.used)
+            self.used += len(data)
+        self.held += inflater.decompress(data, BLOCK)
+        return True
+
+    def _read(self, at: int) -> bytes:
+        self.file.seek(at)
+        data = self.file.read(BLOCK)
+        if not data:
+            raise ValueError("the file ends within a record")
+        return data
+
+    def head(self) -> bytes | None:
+        """Headers of the next record; None if there is none."""
+        while True:
+            while self.held[:1] in (b"\r", b"\n"):
+                self.take(1, False)
+            end = self.held.find(b"\r\n\r\n")
+            if end >= 0:
+                head = self.held[:end]
+                self.take(end + 4, False)
+                return head
+            if not self._more():
+                if self.held:
+                    raise ValueError(f"the record at {self.at} is cut")
+                return None
+
+    def take(self, size: int, keep: bool) -> bytes:
+        """The next plain bytes, or nothing if they are not kept."""
+        parts, left = [], size
+        while left:
+            if not self.held and not self._more():
+                raise ValueError(f"the record at {self.at} is cut")
+            piece, self.held = self.held[:left], self.held[left:]
+            left -= len(piece)
+            if keep:
+                parts.append(piece)
+        self.passed += size
+        return b"".join(parts)
+
+    def end(self) -> int:
+        """Where the next member starts, once this one is taken."""
+        return self.at + self.used - len(self.inflater.unused_data)
+
+
 class _Members:
     """Records of a gzip file, member by member."""
 
@@ -206,54 +287,18 @@ class _Members:
     def __iter__(self) -> Iterator[tuple[dict[str, str], callable]]:
         """Headers of every record, and a function that returns its block."""
         at = 0
-        while True:
-            self.file.seek(at)
-            start = self.file.read(HEAD_BYTES)
-            if not start:
-                return
-            if start[:3] != b"\x1f\x8b\x08":
-                raise ValueError(f"no gzip member at {at}")
-            known = None
-            if start[3] & 4 and start[12:14] == b"sl" and len(start) >= 24:
-                known = struct.unpack("<I", start[16:20])[0]
-            inflater = zlib.decompressobj(31)
-            plain, used = inflater.decompress(start, HEAD_BYTES), len(start)
-            while b"\r\n\r\n" not in plain:
-                more = inflater.unconsumed_tail or self._more(at + used)
-                used += 0 if inflater.unconsumed_tail else len(more)
-                plain += inflater.decompress(more, HEAD_BYTES)
-            head, _, rest = plain.partition(b"\r\n\r\n")
-            headers = _headers(head)
-            size = int(headers["content-length"])
-            state = {"used": used, "end": None if known is None else at + known}
-
-            def pull(keep: bool, inflater=inflater, rest=rest, state=state, at=at, size=size) -> bytes:
-                """Inflate to the end of the member; the block if it is kept."""
-                parts, have = [rest], len(rest)
-                while not inflater.eof:
-                    tail = inflater.unconsumed_tail
-                    more = tail or self._more(at + state["used"])
-                    state["used"] += 0 if tail else len(more)
-                    piece = inflater.decompress(more, BLOCK)
-                    have += len(piece)
-                    if keep:
-                        parts.append(piece)
-                state["end"] = at + state["used"] - len(inflater.unused_data)
-                if have < size:
-                    raise ValueError(f"the record at {at} is cut")
-                return b"".join(parts)[:size] if keep else b""
-
-            yield headers, pull
-            if state["end"] is None:
-                pull(False)
-            at = state["end"]
-
-    def _more(self, at: int) -> bytes:
-        self.file.seek(at)
-        data = self.file.read(BLOCK)
-        if not data:
-            raise ValueError("the file ends within a record")
-        return data
+        while not (member := _Member(self.file, at)).empty:
+            at = None
+            while (head := member.head()) is not None:
+                headers = _headers(head)
+                size, start = int(headers["content-length"]), member.passed
+                yield headers, lambda keep, member=member, size=size: member.take(size, keep)
+                alone = member.lengths and member.lengths[1] == start + size + 4
+                if alone and member.passed == start:
+                    at = member.at + member.lengths[0]  # without inflating the block
+                    break
+                member.take(start + size - member.passed, False)
+            at = member.end() if at is None else at
 
 
 class _Plain:
@@ -300,16 +345,26 @@ class WarcReader(DataSourceReader):
         self.prefixes: list[tuple[str, str]] = []
         if options.get("types"):
             self.equal["record_type"] = set(options["types"].split(","))
+        if options.get("ids"):
+            self.equal["record_id"] = set(options["ids"].split(" "))
+        for column, name in (("target_uri", "uri_prefix"), ("date", "date_prefix")):
+            if options.get(name):
+                self.prefixes.append((column, options[name]))
 
     def partitions(self) -> list[InputPartition]:
         """Files dealt by size, large ones alone."""
         files_of, base = _file_system(self.path)
-        found = files_of.get_file_info(fs.FileSelector(base, recursive=False))
-        files = sorted(
-            (i.path, i.size)
-            for i in found
-            if i.type == fs.FileType.File and i.path.endswith((".warc", ".warc.gz"))
-        )
+        if files_of.get_file_info(base).type == fs.FileType.File:
+            return [WarcFiles([base])]
+        files = []
+        for info in files_of.get_file_info(fs.FileSelector(base, recursive=True)):
+            names = info.path[len(base) :].strip("/").split("/")
+            if info.type != fs.FileType.File or any(n.startswith((".", "_")) for n in names):
+                continue
+            if not names[-1].lower().endswith((".warc", ".warc.gz")):
+                raise ValueError(f"{info.path} is no archive")
+            files.append((info.path, info.size))
+        files.sort()
         parts, size = [[]], 0
         for path, length in files:
             if parts[-1] and size + length > self.split:
@@ -330,7 +385,7 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for path in partition.files:
             with files_of.open_input_file(path) as raw, io.BufferedReader(raw, BLOCK) as file:
-                records = _Members(file) if path.endswith(".gz") else _Plain(file)
+                records = _Members(file) if path.lower().endswith(".gz") else _Plain(file)
                 for headers, pull in records:
                     if not self._wanted(headers):
                         continue
@@ -421,12 +476,26 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_warc(spark: SparkSession, path: str, types: tuple[str, ...] = (), payload: str = "full") -> DataFrame:
-    """Records of the archives in a folder; ``types`` empty for all."""
+def read_warc(
+    spark: SparkSession,
+    path: str,
+    types: tuple[str, ...] = (),
+    payload: str = "full",
+    ids: tuple[str, ...] = (),
+    uri_prefix: str = "",
+    date_prefix: str = "",
+) -> DataFrame:
+    """Records of the archives in a folder, or of one; what is empty is not asked for."""
     register(spark)
-    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-    reader = spark.read.format("warc").option("payload", payload).option("pushdown", pushdown)
-    return (reader.option("types", ",".join(types)) if types else reader).load(path)
+    options = {
+        "payload": payload,
+        "types": ",".join(types),
+        "ids": " ".join(ids),
+        "uri_prefix": uri_prefix,
+        "date_prefix": date_prefix,
+        "pushdown": spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"),
+    }
+    return spark.read.format("warc").options(**{k: v for k, v in options.items() if v}).load(path)
 
 
 def write_warc(records: DataFrame, path: str) -> None:

@@ -79,7 +79,7 @@ def test_a_skipped_member_is_not_inflated(tmp_path, monkeypatch):
     (tmp_path / "a.warc.gz").write_bytes(data + last)
     reader = warc.WarcReader({"path": str(tmp_path), "types": "resource"})
     blocks = []
-    monkeypatch.setattr(warc._Members, "_more", lambda self, at: blocks.append(at))
+    monkeypatch.setattr(warc._Member, "_read", lambda self, at: blocks.append(at))
     (batch,) = reader.read(reader.partitions()[0])
     assert batch.column("record_id").to_pylist() == ["<b>"] and not blocks
 
@@ -111,3 +111,46 @@ def test_no_pages_and_rolled_files(spark):
     assert read_back(spark, path).count() == pages(spark).count()
     records.write.format("warc").mode("overwrite").save(path)
     assert read_back(spark, path).count() == pages(spark).count()
+
+
+def test_several_records_in_a_member(spark, tmp_path):
+    row = dict.fromkeys([*warc.HEADERS, "payload"]) | {"record_type": "resource"}
+    sizes = [0, 5, 300_000, 1, 70_000]
+    plain = [warc.record_bytes(row | {"record_id": f"<{i}>", "payload": os.urandom(n)}) for i, n in enumerate(sizes)]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(plain[:3])) + gzip.compress(b"".join(plain[3:])))
+    (tmp_path / "b.warc.gz").write_bytes(warc.member(b"".join(plain), 4) + warc.member(plain[0], 4))
+    for payload in ("full", "digest"):
+        found = warc.read_warc(spark, str(tmp_path), payload=payload).collect()
+        assert sorted(r["payload_length"] for r in found) == sorted(sizes * 2 + [0])
+    none = warc.read_warc(spark, str(tmp_path), payload="none", ids=("<1>", "<4>")).collect()
+    assert sorted(r["record_id"] for r in none) == ["<1>", "<1>", "<4>", "<4>"]
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(plain[1] + plain[2][:-1000]))
+    with pytest.raises(Exception, match="cut"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+
+
+def test_folders_names_and_headers_of_others(spark, tmp_path):
+    row = dict.fromkeys([*warc.HEADERS, "payload"]) | {"record_type": "resource", "payload": b"p"}
+    one = [warc.member(warc.record_bytes(row | {"record_id": f"<{i}>", "target_uri": f"http://{'ab'[i % 2]}.org/{i}", "date": f"202{i}-01-01T00:00:00Z"}), 4) for i in range(5)]
+    (tmp_path / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "A.WARC.GZ").write_bytes(one[0])
+    (tmp_path / "sub" / "b.warc.gz").write_bytes(one[1] + one[2])
+    (tmp_path / "sub" / "deep" / "c.Warc").write_bytes(gzip.decompress(one[3]))
+    (tmp_path / "_hidden" / "d.warc.gz").write_bytes(one[4])
+    (tmp_path / ".e.crc").write_bytes(b"")
+
+    def ids(**options):
+        return sorted(r["record_id"] for r in warc.read_warc(spark, str(tmp_path), **options).collect())
+
+    assert ids() == ["<0>", "<1>", "<2>", "<3>"]
+    assert ids(uri_prefix="http://a.") == ["<0>", "<2>"]
+    assert ids(date_prefix="2021-", payload="none") == ["<1>"]
+    assert ids(uri_prefix="http://a.", date_prefix="2020") == ["<0>"]
+    assert warc.read_warc(spark, str(tmp_path / "A.WARC.GZ")).count() == 1
+    latin = warc.record_bytes(row | {"record_id": "<x>", "target_uri": "http://a.org/?"}).replace(b"?", "é".encode("latin-1"))
+    (tmp_path / "sub" / "l.warc").write_bytes(latin)
+    assert "http://a.org/é" in [r["target_uri"] for r in warc.read_warc(spark, str(tmp_path)).collect()]
+    (tmp_path / "sub" / "notes.txt").write_bytes(b"x")
+    with pytest.raises(Exception, match="notes.txt is no archive"):
+        ids()
