@@ -174,17 +174,31 @@ def mix(
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix, one taken twice as two rows; columns unchanged.
 
-    Of rows that share a doc_id all are taken as often as the one taken most.
+    Rows that share doc_id, size and source are dealt what the mix takes of all of them, so the
+    budget holds; of a repeated doc_id each text has its own share.
     """
-    own_id, copies, copy = fresh(docs, "own_id", "copies", "copy")
+    names = fresh(docs, "own_id", "own_size", "own_source", "copies", "rows", "copy", "own_size_", "place")
+    own_id, own_size, own_source, copies, rows, copy, size, place = names
     taken = (
         mix(docs, **settings)
-        .where("taken > 0")
-        .groupBy(F.col("doc_id").alias(own_id))
-        .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(copies))
+        .groupBy(F.col("doc_id").alias(own_id), F.col("size").alias(own_size), F.col("source").alias(own_source))
+        .agg(
+            F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("long").alias(copies),
+            F.count("*").alias(rows),
+        )
+        .where(F.col(copies) > 0)
     )
-    return (
-        docs.join(taken, docs["doc_id"].eqNullSafe(taken[own_id]))
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
-        .select(*[docs[c] for c in docs.columns])
+    sized = docs.withColumn(size, word_count(text_of("text")))
+    same = (
+        sized["doc_id"].eqNullSafe(taken[own_id])
+        & (sized[size] == taken[own_size])
+        & sized["source"].eqNullSafe(taken[own_source])
     )
+    found = sized.join(taken, same)
+    # Rows that nothing tells apart share their copies, the first of them the odd ones.
+    among = Window.partitionBy(own_id, own_size, own_source).orderBy("text")
+    several = found.where(F.col(rows) > 1).withColumn(place, F.row_number().over(among))
+    odd = (F.col(place) <= F.col(copies) % F.col(rows)).cast("long")
+    several = several.withColumn(copies, F.floor(F.col(copies) / F.col(rows)) + odd).drop(place)
+    every = found.where(F.col(rows) == 1).unionByName(several.where(F.col(copies) > 0))
+    return every.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)

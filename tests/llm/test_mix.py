@@ -1,3 +1,6 @@
+import random
+import re
+
 import duckdb
 import pytest
 from corpus_cases import documents, empty, frame, rows_of
@@ -45,9 +48,22 @@ def test_documents_of_the_mix(spark):
     docs = frame(spark, clashing=True)
     found = mix.apply_mix(docs)
     assert found.columns == docs.columns
-    per_id = {}
+    want = {}
     for r in mix.mix(docs).collect():
-        per_id.setdefault(r["doc_id"], []).append(r["taken"] // max(1, r["size"]))
-    rows = [r["doc_id"] for r in found.collect()]
-    for doc_id, copies in per_id.items():
-        assert rows.count(doc_id) == max(copies) * len(copies)
+        key = (r["doc_id"], r["source"], r["size"])
+        want[key] = want.get(key, 0) + r["taken"]
+    got = {}
+    for r in found.collect():
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+        key = (r["doc_id"], r["source"], size)
+        got[key] = got.get(key, 0) + size
+    assert got == {k: v for k, v in want.items() if v}
+
+
+def test_rows_of_one_id_are_taken_within_the_budget(spark):
+    rng = random.Random(2)
+    rows = [(7, " ".join("w" * rng.randrange(1, 30)), "en", "s", 1) for _ in range(60)]
+    rows += [(8, "the same words", "en", "s", 1)] * 9 + [(None, f"some {'more ' * (i % 5)}words", "en", None, 1) for i in range(20)]
+    docs = frame(spark, rows)
+    taken = sum(r["taken"] for r in mix.mix(docs).collect())
+    assert sum(len(r["text"].split()) for r in mix.apply_mix(docs).collect()) == taken
