@@ -15,6 +15,7 @@ from custvalue.functions.scratch import scratch_path, settle
 from custvalue.operators import (
     baseline,
     btyd,
+    choose,
     clean,
     explore,
     features,
@@ -26,7 +27,7 @@ from custvalue.operators import (
     split,
 )
 from custvalue.params import ClvParams
-from custvalue.plans import fit, models, pipeline, ridge, tune
+from custvalue.plans import boost, fit, models, pipeline, ridge, tune
 from custvalue.sources import readers, schemas, sinks
 from custvalue.sources.star import transactions_from_star
 
@@ -682,17 +683,100 @@ def fit_factorization(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fit_gbt_mae(spark: SparkSession, folder: str) -> DataFrame:
-    """Trees with absolute loss at the settings whose saved trial has the least MAE."""
+    """Trees with absolute loss, on chosen inputs and at the settings with the least error of a
+    hundred that were halved from rung to rung."""
     labelled = _labelled(spark, folder)
-    path = scratch_path(spark, "tree-trials")
-    best, trials = tune.tune(
-        models.ABSOLUTE_ERROR, labelled, tune.TREE_SPACE, 4, metric="mae", folder=path
+    train = labelled.where("split = 'train'")
+    inputs = choose.choose(train, schemas.used_columns(), schemas.TARGET)
+    data = boost.binned(labelled, inputs, schemas.TARGET)
+    best, rungs = boost.halving(data, boost.draw(boost.TRIALS), metric="mae")
+    options = models.FitOptions(
+        step_size=best.step_size, max_depth=best.max_depth, min_instances=best.min_instances, columns=tuple(inputs)
     )
-    model = models.fit_model(models.ABSOLUTE_ERROR, labelled.where("split = 'train'"), best)
-    least = trials.agg(F.min("mae")).scalar().alias("least_trial_mae")
+    model = models.fit_model(models.ABSOLUTE_ERROR, train, options)
+    least = rungs.agg(F.min("error")).scalar().alias("least_trial_mae")
     return models.evaluate_splits(model, labelled).select("*", least)
 
 
+def _binned(spark: SparkSession, folder: str) -> boost.Binned:
+    return boost.binned(_labelled(spark, folder), schemas.used_columns(), schemas.TARGET)
+
+
+#: One split, half of which is taken.
+STUMP = {"step_size": 0.5, "max_depth": 1, "min_instances": 5, "l2": 1.0}
+
+
+@query
+def boost_root(spark: SparkSession, folder: str) -> DataFrame:
+    """First split of a boosted tree."""
+    data, trial = _binned(spark, folder), boost.Trial(0, **STUMP)
+    trial.trees.append(boost._new_tree(1))
+    best = boost.best_splits(data, [trial]).select("best.*").where("feature is not null")
+    name = F.element_at(F.array(*(F.lit(c) for c in data.inputs)), (F.col("feature") + 1).cast("int"))
+    sides = [(F.col(f"{s}_total") / F.col(f"{s}_n")).alias(f"{s}_mean") for s in ("left", "right")]
+    return _rounded(best.select(name.alias("input"), "bin", "left_n", "right_n", *sides), 2, "left_mean", "right_mean")
+
+
+@query
+def boost_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of every split before and after the first round, from one pass."""
+    data, trial = _binned(spark, folder), boost.Trial(0, **STUMP)
+    boost.grow(data, [trial], 1)
+    return _rounded(boost.curve(data, [trial]).drop("trial"), 2, "rmse", "mae")
+
+
+@query
+def boost_rungs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rungs of a search of a hundred settings: how many go on, and whether they beat the mean."""
+    data = _binned(spark, folder)
+    _, table = boost.halving(data, boost.draw(boost.TRIALS))
+    rungs = table.groupBy("rung", "rounds").agg(
+        F.count("*").alias("trials"),
+        F.sum(F.col("stays").cast("int")).alias("stay"),
+        F.count_distinct("trial").alias("different"),
+        F.min("error").alias("least"),
+    )
+    (mean,) = boost.curve(data, [boost.Trial(0, **STUMP)]).where("split = 'eval'").collect()
+    rows = rungs.select(
+        *("rung", "rounds", "trials", "stay", "different"),
+        (F.col("least") < mean["rmse"]).alias("better"),
+        F.lit(mean["rmse"]).alias("rmse_of_mean"),
+    )
+    return _rounded(rows, 2, "rmse_of_mean")
+
+
+@query
+def boost_stopped(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved fit that is continued and stopped at its best round: its error against the curve's."""
+    data, path = _binned(spark, folder), scratch_path(spark, "boosting")
+    start = [boost.Trial(0, step_size=0.3, max_depth=2, min_instances=5, l2=1.0)]
+    boost.grow_saved(data, start, 2, path)
+    (trial,) = boost.grow_saved(data, start, 4, path)
+    stopped = boost.stopped_early(data, trial)
+    errors = boost.predict(data, stopped).groupBy("split").agg(metrics.rmse("predicted", "label").alias("rmse"))
+    last = boost.curve(data, [stopped]).where(F.col("round") == len(stopped.trees)).select("split", F.col("rmse").alias("on_curve"))
+    return errors.join(last, "split").withColumn("rounds", F.lit(len(stopped.trees)))
+
+
+@query
+def feature_information(spark: SparkSession, folder: str) -> DataFrame:
+    """Mutual information of all pairs of inputs and label."""
+    names = [*schemas.used_columns(), schemas.TARGET]
+    counts = choose.joint_counts(split_train(spark, folder), names)
+    return _rounded(choose.mutual_information(counts), 6, "information")
+
+
+@query
+def feature_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Inputs in the order in which they are chosen."""
+    inputs = schemas.used_columns()
+    counts = choose.joint_counts(split_train(spark, folder), [*inputs, schemas.TARGET])
+    order = choose.ranked(choose.mutual_information(counts), inputs, schemas.TARGET)
+    rows = [(i, *found) for i, found in enumerate(order, 1)]
+    table = spark.createDataFrame(rows, "place int, input string, relevance double, redundancy double, gain double")
+    return _rounded(table, 6, "relevance", "redundancy", "gain")
+
+
 @query
 def tune_linear(spark: SparkSession, folder: str) -> DataFrame:
     """A thousand penalties, all from one table of moments."""

@@ -35,7 +35,8 @@ class FitOptions:
 
     ``l1`` and ``l2`` are the strengths of the two penalties of a linear model;
     ``max_iter`` is 100 for the gradient methods and 20 for the boosted trees
-    unless given; the others belong to the trees.
+    unless given; ``columns`` are the used columns to fit on, all unless given; the others
+    belong to the trees.
     """
 
     l1: float = 0.0
@@ -46,6 +47,7 @@ class FitOptions:
     subsampling_rate: float = 1.0
     min_instances: int = 1
     seed: int = 42
+    columns: tuple[str, ...] | None = None
 
 
 def _indicators() -> SQLTransformer:
@@ -142,6 +144,10 @@ def pipeline(
         inputs, regressor = deep, _factorization(options)
     else:
         raise ValueError(f"model_type must be one of {REGRESSION_TYPES}, got {model_type!r}")
+    if options.columns is not None:
+        dropped = set(schemas.used_columns()) - set(options.columns)
+        one_hot = {f"{c}_{v}": c for c, values in featurize.VOCABULARIES.items() for v in values}
+        inputs = [name for name in inputs if one_hot.get(name, name) not in dropped]
     stages: list = [_indicators()]
     for i, keys in enumerate(crosses):
         stages += _cross_stages(keys, f"cross_{i}", dense=model_type != WIDE)

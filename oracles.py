@@ -329,6 +329,100 @@ TRIALS = "SELECT t AS trial, 1e-4 * pow(1e6, ((t + 1) * 0.6180339887498949) % 1.
 TERMS = ", ".join(f"'{name}'" for name in USED_COLUMNS)
 
 
+def shared_head(table: str) -> str:
+    """The shared blocks up to a table, for statements with blocks of their own."""
+    shared = statement(f"SELECT * FROM {table}")
+    return shared[: shared.rindex(f"SELECT * FROM {table}")].rstrip()
+
+
+def stump(result: str) -> str:
+    """Best first split of the label by the bins of an input; of equal ones the first."""
+    inputs = ", ".join(f'"{name}"::DOUBLE' for name in USED_COLUMNS)
+    k = len(USED_COLUMNS)
+    return f"""{shared_head("labelled")},
+cells AS (SELECT customer_id, split, target_monetary::DOUBLE AS y, unnest(range({k})) AS f,
+  unnest([sign(x) * ln(1 + abs(x)) FOR x IN [{inputs}]]) AS x FROM labelled),
+bounds AS (SELECT f, min(x) AS low, max(x) AS high FROM cells WHERE split = 'train' GROUP BY f),
+binned AS (SELECT c.*, CASE WHEN high > low
+    THEN greatest(0, least(31, floor((x - low) / (high - low) * 32)))::BIGINT ELSE 0 END AS bin
+  FROM cells c JOIN bounds USING (f)),
+base AS (SELECT avg(y) AS base, var_pop(y) * count(*) AS spread FROM binned WHERE split = 'train' AND f = 0),
+hist AS (SELECT f, bin, count(*) AS n, sum(y - base) AS total FROM binned, base WHERE split = 'train' GROUP BY f, bin),
+sums AS (SELECT f, bin, sum(n) OVER upto AS left_n, sum(total) OVER upto AS left_total,
+    sum(n) OVER whole AS n, sum(total) OVER whole AS total
+  FROM hist WINDOW whole AS (PARTITION BY f), upto AS (PARTITION BY f ORDER BY bin)),
+gains AS (SELECT *, n - left_n AS right_n, total - left_total AS right_total,
+    round((left_total * left_total / (left_n + 1.0::DOUBLE) + pow(total - left_total, 2) / (n - left_n + 1.0::DOUBLE)
+      - total * total / (n + 1.0::DOUBLE)) / spread, 9) AS gain FROM sums, base),
+best AS (SELECT * FROM gains WHERE left_n >= 5 AND right_n >= 5 AND gain > 0 ORDER BY gain DESC, f, bin LIMIT 1)
+{result}"""
+
+
+def information(result: str) -> str:
+    """Mutual information of the bins of every pair of columns of the training rows."""
+    names = (*USED_COLUMNS, "target_monetary")
+    columns = ", ".join(f'"{name}"::DOUBLE' for name in names)
+    listed = ", ".join(f"'{name}'" for name in names)
+    return f"""{shared_head("labelled").replace("WITH", "WITH RECURSIVE", 1)},
+cells AS (SELECT customer_id, unnest(range({len(names)})) AS k, unnest([{listed}]) AS name,
+  unnest([sign(x) * ln(1 + abs(x)) FOR x IN [{columns}]]) AS x FROM labelled WHERE split = 'train'),
+bounds AS (SELECT k, min(x) AS low, max(x) AS high FROM cells GROUP BY k),
+binned AS (SELECT customer_id, k, name, CASE WHEN high > low
+    THEN least(11, floor((x - low) / (high - low) * 12))::INT ELSE 0 END AS bin FROM cells JOIN bounds USING (k)),
+joint AS (SELECT a.name AS "left", b.name AS "right", a.bin AS i, b.bin AS j, count(*)::DOUBLE AS n
+  FROM binned a JOIN binned b ON a.customer_id = b.customer_id AND a.k <= b.k GROUP BY ALL),
+parts AS (SELECT *, sum(n) OVER (PARTITION BY "left", "right") AS whole,
+    sum(n) OVER (PARTITION BY "left", "right", i) AS ni, sum(n) OVER (PARTITION BY "left", "right", j) AS nj FROM joint),
+told AS (SELECT "left", "right", sum(n / whole * ln(n / whole / (ni / whole * (nj / whole)))) AS information
+  FROM parts GROUP BY "left", "right")
+{result}"""
+
+
+RANKING = f"""
+, pairs AS (SELECT "left" AS a, "right" AS b, information AS h FROM told
+  UNION SELECT "right", "left", information FROM told),
+chosen AS (
+  SELECT 0 AS place, []::VARCHAR[] AS names, NULL::VARCHAR AS input, 0.0::DOUBLE AS relevance, 0.0::DOUBLE AS redundancy
+  UNION ALL
+  SELECT place + 1, list_append(names, best.a), best.a, best.relevance, best.redundancy FROM (
+    SELECT c.place, c.names, arg_max({{'a': r.a, 'relevance': r.h, 'redundancy': coalesce(o.h, 0.0)}},
+      {{'gain': round(r.h - coalesce(o.h, 0.0), 9), 'first': -list_position(list_sort([{TERMS}]), r.a)}}) AS best
+    FROM chosen c JOIN pairs r ON r.b = 'target_monetary' AND r.a <> r.b AND NOT list_contains(c.names, r.a)
+    LEFT JOIN (SELECT c2.place, p.a, avg(p.h) AS h FROM chosen c2 JOIN pairs p ON list_contains(c2.names, p.b)
+      GROUP BY c2.place, p.a) o ON o.place = c.place AND o.a = r.a
+    WHERE c.place < {len(USED_COLUMNS)} GROUP BY c.place, c.names))
+SELECT place, input, {rnd('relevance', 6)} AS relevance, {rnd('redundancy', 6)} AS redundancy,
+  {rnd('(relevance - redundancy)', 6)} AS gain FROM chosen WHERE place > 0"""
+
+
+def tree_sql() -> dict[str, str]:
+    return {
+        "boost_root": stump(
+            f"""SELECT [{TERMS}][f + 1] AS input, bin, left_n::BIGINT AS left_n, right_n::BIGINT AS right_n,
+            {rnd('left_total / left_n')} AS left_mean, {rnd('right_total / right_n')} AS right_mean FROM best"""
+        ),
+        "boost_curve": stump(
+            f""", fitted AS (
+              SELECT split, y, base.base, coalesce(0.5 * CASE WHEN b.bin > best.bin
+                THEN right_total / (right_n + 1.0::DOUBLE) ELSE left_total / (left_n + 1.0::DOUBLE) END, 0) AS step
+              FROM binned b CROSS JOIN base LEFT JOIN best ON true WHERE b.f = coalesce(best.f, 0)),
+            rounds AS (SELECT split, unnest([0, 1])::BIGINT AS round, unnest([y - base, y - base - step]) AS rest FROM fitted)
+            SELECT split, round, count(*) AS n, {rnd('sqrt(avg(rest * rest))')} AS rmse, {rnd('avg(abs(rest))')} AS mae
+            FROM rounds GROUP BY split, round"""
+        ),
+        "boost_rungs": f"""{shared_head("labelled")},
+            mean AS (SELECT avg(target_monetary) AS base FROM labelled WHERE split = 'train'),
+            error AS (SELECT sqrt(avg(pow(target_monetary - base, 2))) AS e FROM labelled, mean WHERE split = 'eval')
+            SELECT rung, rounds, trials, stay, trials AS different, true AS better, {rnd('e')} AS rmse_of_mean
+            FROM (VALUES (0, 1, 100::BIGINT, 33::BIGINT), (1, 2, 33, 11), (2, 4, 11, 3), (3, 8, 3, 1))
+              AS rungs(rung, rounds, trials, stay), error""",
+        "feature_information": information(
+            f"""SELECT "left", "right", {rnd('information', 6)} AS information FROM told"""
+        ),
+        "feature_ranking": information(RANKING),
+    }
+
+
 def linear_sql() -> dict[str, str]:
     # Equal columns share their effect, as in the limit of a penalty that goes to zero.
     one = "SELECT 0 AS trial, 1e-10::DOUBLE AS l2"
@@ -548,4 +642,4 @@ def all_statements() -> dict[str, str]:
         money="2000.0",
     )
     made["monetary_density"] = density()
-    return made | linear_sql()
+    return made | linear_sql() | tree_sql()
