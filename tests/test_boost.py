@@ -131,7 +131,7 @@ def test_choice_of_inputs(spark):
     rng = np.random.default_rng(5)
     signal, noise = rng.normal(0, 10, 3000), rng.normal(0, 10, 3000)
     other = rng.normal(0, 10, 3000)
-    rows = [(float(s), float(s) * 2, float(n), float(o), 7, float(s + 0.5 * o), None) for s, n, o in zip(signal, noise, other)]
+    rows = [(float(s), float(s), float(n), float(o), 7, float(s + 0.5 * o), None) for s, n, o in zip(signal, noise, other)]
     df = spark.createDataFrame(rows, "signal double, copy double, noise double, other double, still int, y double, none double")
     names = ["signal", "copy", "noise", "other", "still", "none"]
     table = choose.mutual_information(choose.joint_counts(df, [*names, "y"]))
