@@ -7,10 +7,11 @@ import functools
 import operator
 
 from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custvalue.functions.hashing import hash_bucket_sql
+from custvalue.operators.order import numbered
 from custvalue.sources import schemas
 
 # Numeric model inputs and the categorical one with its vocabulary.
@@ -44,16 +45,12 @@ def one_hot(name: str, values: tuple) -> dict[str, Column]:
 def as_category(df: DataFrame, name: str, out: str) -> DataFrame:
     """Treat a column as a category, numbered from the most frequent value; ties in text order.
 
-    The values are counted into a dictionary and joined back; none comes to the driver.  A NULL
-    has no number.
+    The values are counted into a dictionary, numbered by ranges of its order and joined back;
+    none comes to the driver, and no task sees all of them.  A NULL has no number.
     """
-    order = Window.orderBy(F.desc("n"), F.col(name).cast("string"))
-    dictionary = (
-        df.where(F.col(name).isNotNull())
-        .groupBy(name)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(name, (F.row_number().over(order) - 1).cast("int").alias(out))
-    )
+    counted = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    places = numbered(counted, "_place", F.desc("_n"), F.col(name).cast("string"))
+    dictionary = places.select(name, F.col("_place").cast("int").alias(out))
     return df.join(dictionary, name, "left").select(*df.columns, out)
 
 
