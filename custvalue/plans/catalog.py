@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from custvalue.functions import hashing
 from custvalue.functions.numeric import round_half_away
 from custvalue.functions.scratch import scratch_path, settle
 from custvalue.operators import (
@@ -30,6 +31,7 @@ from custvalue.params import ClvParams
 from custvalue.plans import boost, fit, models, pipeline, ridge, tune
 from custvalue.sources import readers, schemas, sinks
 from custvalue.sources.star import transactions_from_star
+from custvalue.sources.store import KeyedStore
 
 PARAMS = ClvParams(threshold_date="2000-06-30", predict_end="2001-08-01", max_monetary=25000.0)
 LOW_CLIPS = dataclasses.replace(PARAMS, freq_clip=10, money_clip=2000.0)
@@ -170,6 +172,13 @@ def _table_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+def _and_dropped(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of a table that is dropped once they are written elsewhere."""
+    kept = settle(rows)
+    rows.sparkSession.sql(f"DROP TABLE {name}")
+    return kept
+
+
 @query
 def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Features as a catalog table, read by its name and by SQL text with a parameter."""
@@ -178,7 +187,7 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     few = readers.query(
         spark, "SELECT * FROM IDENTIFIER(:name) WHERE frequency_dnn <= :most", name=name, most=9
     )
-    return few.unionByName(readers.read_table(spark, name).where("frequency_dnn > 9"))
+    return _and_dropped(few.unionByName(readers.read_table(spark, name).where("frequency_dnn > 9")), name)
 
 
 @query
@@ -188,7 +197,19 @@ def predictions_table(spark: SparkSession, folder: str) -> DataFrame:
     loaded = predictions_load(spark, folder)
     sinks.write_table(loaded.limit(0), name)
     sinks.write_table(loaded, name)
-    return readers.read_table(spark, name)
+    return _and_dropped(readers.read_table(spark, name), name)
+
+
+@query
+def entity_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions in a keyed store after a second upsert for about half of the customers."""
+    store = KeyedStore(spark, scratch_path(spark, "entities"), "customer_id", buckets=16)
+    rows = settle(_predictions(spark, folder).select("customer_id", "predicted_monetary"))
+    store.upsert(rows)
+    half = hashing.hash_bucket(F.col("customer_id"), 100_000) < 50_000
+    store.upsert(rows.where(half).withColumn("predicted_monetary", F.col("predicted_monetary") + 1000))
+    store.prune(keep=1)
+    return _rounded(store.read(), 2, "predicted_monetary")
 
 
 @query
@@ -984,4 +1005,7 @@ def fit_parameters(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def run_btyd(spark: SparkSession, folder: str) -> DataFrame:
     rows = settle(_features(spark, folder))
-    return pipeline.run_btyd(rows, "bgnbd_model", PARAMS)[0]
+    run = pipeline.run_btyd(rows, "bgnbd_model", PARAMS)
+    return run.predicted.withColumns(
+        {"purchases_status": F.lit(run.purchases_status), "spend_status": F.lit(run.spend_status)}
+    )

@@ -15,7 +15,7 @@ from custvalue.operators import featurize
 from custvalue.operators.metrics import evaluation_report
 from custvalue.sources import schemas
 from custvalue.sources.readers import with_defaults
-from custvalue.sources.sinks import latest_version, mark_complete, version_path
+from custvalue.sources.sinks import keep_latest, latest_version, mark_complete, version_path
 
 PREDICTION = "predicted_monetary"
 
@@ -202,11 +202,16 @@ def linear_terms(model: PipelineModel) -> list[tuple[str, float]]:
     ]
 
 
-def save_version(model: PipelineModel, base: str, version: int) -> str:
-    """Save under ``base`` as a version, replacing that version if it exists."""
+def save_version(model: PipelineModel, base: str, version: int, keep: int | None = None) -> str:
+    """Save under ``base`` as a version, replacing that version if it exists.
+
+    With ``keep`` only so many versions, the largest, stay.
+    """
     path = version_path(base, version)
     model.write().overwrite().save(path)
     mark_complete(SparkSession.active(), path)
+    if keep is not None:
+        keep_latest(SparkSession.active(), base, keep)
     return path
 
 
@@ -235,5 +240,5 @@ def fit_or_resume(
     if resume and has_version(train.sparkSession, base):
         return load_latest(train.sparkSession, base)
     model = fit_model(model_type, train, options)
-    save_version(model, base, version)
+    save_version(model, base, version, keep=1)
     return model

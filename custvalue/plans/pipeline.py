@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,19 +14,25 @@ from custvalue.plans import fit, models
 from custvalue.sources import readers, sinks
 
 
-def run_btyd(
-    feature_rows: DataFrame, model_type: str, params: ClvParams
-) -> tuple[DataFrame, float | None]:
-    """Fit a repeat-purchase model and the spend model; predictions per customer and RMSE."""
+class BtydRun(NamedTuple):
+    """Predictions per customer, their RMSE, and how the fits of the two models ended."""
+
+    predicted: DataFrame
+    rmse: float | None
+    purchases_status: str
+    spend_status: str
+
+
+def run_btyd(feature_rows: DataFrame, model_type: str, params: ClvParams) -> BtydRun:
+    """Fit a repeat-purchase model and the spend model, and predict with them."""
     fitters = dict(zip(models.REPEAT_TYPES, (fit.fit_paretonbd, fit.fit_bgnbd)))
     if model_type not in fitters:
         raise ValueError(f"model_type must be one of {models.REPEAT_TYPES}, got {model_type!r}")
     summary = btyd.summary(feature_rows)
-    model = fitters[model_type](summary, params).model
-    money = fit.fit_gamma_gamma(summary).model
-    predicted = btyd.predict_value(feature_rows, model, money, params)
+    purchases, spend = fitters[model_type](summary, params), fit.fit_gamma_gamma(summary)
+    predicted = btyd.predict_value(feature_rows, purchases.model, spend.model, params)
     error = predicted.agg(rmse("predicted_total", "actual_total")).first()[0]
-    return predicted, error
+    return BtydRun(predicted, error, purchases.status, spend.status)
 
 
 def build(
@@ -52,7 +60,7 @@ def build(
     rows = stage(features.features_n_target(cleaned, params), "features_n_target")
     if model_type in models.REPEAT_TYPES:
         sinks.write_csv(rows, f"{root}/btyd.csv", header=True)
-        predicted, _ = run_btyd(rows, model_type, params)
+        predicted = run_btyd(rows, model_type, params).predicted
         sinks.write_csv(predicted, f"{root}/predictions.csv", header=True)
         written = readers.read_csv(spark, f"{root}/predictions.csv", predicted.schema)
         return evaluation_report(written, "predicted_total", "actual_total")

@@ -73,8 +73,8 @@ def mark_complete(spark: SparkSession, path: str) -> None:
     files.create(marker, True).close()
 
 
-def latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """One row with the numerically largest finished ``version=<n>`` folder right under ``base``.
+def finished_versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the finished ``version=<n>`` folders right under ``base``, smallest first.
 
     A version is finished if it, or the write of all of them, left its marker.
     """
@@ -88,4 +88,17 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
             own = _file_system(spark, f"{version_path(base, match[1])}/{MARKER}")[0]
             if all_done or files.exists(own):
                 numbers.append(int(match[1]))
+    return sorted(numbers)
+
+
+def keep_latest(spark: SparkSession, base: str, count: int = 1) -> None:
+    """Remove all finished versions but the numerically largest; unfinished ones stay."""
+    for number in finished_versions(spark, base)[:-count]:
+        path, files = _file_system(spark, version_path(base, number))
+        files.delete(path, True)
+
+
+def latest_version(spark: SparkSession, base: str) -> DataFrame:
+    """One row with the numerically largest finished version right under ``base``."""
+    numbers = finished_versions(spark, base)
     return spark.createDataFrame([(max(numbers, default=None),)], "version bigint")

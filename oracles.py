@@ -501,6 +501,8 @@ BODIES = {
     "table_roundtrip": "SELECT * FROM feats",
     "predictions_table": f"""SELECT customer_id, {rnd('predicted_monetary')} AS predicted_monetary,
        cast(NULL AS double) AS predictions FROM base""",
+    "entity_store": f"""SELECT customer_id, {rnd(f"({rnd('predicted_monetary')} + if({text_hash('customer_id')} % 100000 < 50000, 1000.0::DOUBLE, 0.0))")}
+       AS predicted_monetary FROM base""",
     "shard_names": """SELECT least(3, count(*)) AS shards, least(3, count(*)) AS names FROM base""",
     "score_serve": f"""SELECT '{{"key":{{"path":[{{"kind":"clv","name":' || to_json(customer_id)
        || '}}]}},"properties":{{"predicted_monetary":{{"doubleValue":' || to_json({rnd('g')})
