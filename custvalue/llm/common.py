@@ -72,7 +72,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_custvalue_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    package = os.path.join(tempfile.mkdtemp(), "custvalue_package.zip")
+    # Spark copies the file when it is added; the folder goes with the driver's process.
+    context._custvalue_folder = tempfile.TemporaryDirectory(prefix="custvalue-", ignore_cleanup_errors=True)
+    package = os.path.join(context._custvalue_folder.name, "custvalue_package.zip")
     with zipfile.ZipFile(package, "w") as out:
         for folder, _, names in os.walk(os.path.join(root, "custvalue")):
             for name in names:

@@ -14,8 +14,9 @@ text is rejected below ``SHARE`` of the median score of the learning texts that
 the same language and have about as many n-grams, as short texts score otherwise than long ones.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0, as is everything if
-no profile was learned; rows without a language teach nothing; repeated rows are all counted and
-judged alike; other columns of the input are ignored.
+no profile was learned; rows without a language teach nothing; very long texts are counted whole,
+a block of characters at a time; repeated rows are all counted and judged alike; other columns of
+the input are ignored.
 """
 
 from __future__ import annotations

@@ -103,3 +103,32 @@ def test_query_compares_whole_sets_and_places_passages(spark, tmp_path):
     at = {h: p for p, h in anchors[0]}
     apart = [at[h] - p for p, h in map(tuple, found[2]["positions"]) if h in at]
     assert apart.count(3000) >= 15
+
+
+def whole_set(text):
+    """Every distinct 64-bit anchor hash in order; of a text without one that of all its words."""
+    text = re.sub("([⺀-\U0010ffff])", r" \1 ", text or "")
+    words = [h64_of(w) for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    pairs = [h64(a, b) for a, b in zip(words, words[1:])]
+    found = {
+        h64(pairs[i], pairs[i + 2], pairs[i + 3])
+        for i in range(len(words) - 4)
+        if min(pairs[i], pairs[i + 3]) <= min(pairs[i + 1], pairs[i + 2])
+    }
+    return found or ({h64(*words)} if words else set())
+
+
+def test_query_agrees_with_brute_force_on_the_hard_cases(spark, tmp_path):
+    frame(spark, clashing=True).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(documents(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want = []
+    for i, row in enumerate(rows):
+        text, after = row[1] or "", rows[i - 1][1] or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + after[:cut]
+        a, b, c = whole_set(text), whole_set(edited), whole_set(after)
+        prints = ["".join(f"{h & (2**64 - 1):016x}" for h in sorted(x)) for x in (a, b)]
+        like = [len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c)]
+        want.append((row[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), *prints, *like))
+    found = queries.op7_document_fingerprints(spark, str(tmp_path)).drop("positions").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
