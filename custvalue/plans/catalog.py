@@ -681,6 +681,30 @@ def fit_linear_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(models.score(model, labelled), 2, models.PREDICTION)
 
 
+@query
+def fit_proximal(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide model by decayed proximal steps at a small penalty: what it predicts for each value."""
+    hot = featurize.one_hot("has_returned", featurize.VOCABULARIES["has_returned"])
+    rows = _labelled(spark, folder).withColumns(hot)
+    table = moments.moments(rows, list(hot), schemas.TARGET)
+    found = ridge.products(table, list(hot), schemas.TARGET)
+    if "train" not in found:
+        return spark.createDataFrame([], "customer_id string, predicted_monetary double")
+    train = found["train"]
+    model = ridge.proximal(train, [train], l1=1e-9, decay_rate=0.999, steps=5000)
+    value = F.lit(model.intercept)
+    for name, coefficient in zip(model.names, model.coefficients.tolist()):
+        value = value + F.col(name) * coefficient
+    return _rounded(rows.select("customer_id", value.alias("predicted_monetary")), 1, "predicted_monetary")
+
+
+@query
+def tune_proximal(spark: SparkSession, folder: str) -> DataFrame:
+    """A hundred settings of the steps, the decay of their rate among them."""
+    found = _moments(spark, folder)
+    return ridge.step_search(spark, found["train"], [found["train"]], found["eval"])[1]
+
+
 @query
 def fit_linear_crossed(spark: SparkSession, folder: str) -> DataFrame:
     """Wide model with one crossed column."""

@@ -84,12 +84,68 @@ class Products:
                 break
         return self.terms(b)
 
+    def around(self, whole: Products) -> np.ndarray:
+        """Products of these rows in the standardized columns of others, by row."""
+        means = np.concatenate([[0.0], whole.means])
+        raw = self.matrix / self.count
+        centred = raw - np.outer(means, raw[0]) - np.outer(raw[0], means) + np.outer(means, means)
+        return centred[1:, 1:] / np.outer(whole.spread, whole.spread)
+
     def rmse(self, model: Terms) -> float:
         """Error of a model, which may come from other rows, on these."""
         residual = np.concatenate([[-model.intercept], -model.coefficients, [1.0]])
         return math.sqrt(max(0.0, residual @ self.matrix @ residual) / self.count)
 
 
+def proximal(
+    whole: Products,
+    blocks: list[Products],
+    l1: float,
+    l2: float = 0.0,
+    rate: float = 0.5,
+    decay_rate: float = 1.0,
+    decay_steps: int = 100,
+    steps: int = 2000,
+) -> Terms:
+    """The model of both penalties by proximal Adagrad steps, a block of rows after the other.
+
+    The rate falls by ``decay_rate`` after every ``decay_steps`` steps. A block's gradient comes from
+    its moments, so any number of steps and settings costs the one pass that made these.
+    """
+    matrices = [b.around(whole) for b in blocks]
+    free = whole.varies[:-1]
+    b, squares = np.zeros(len(free)), np.full(len(free), 0.1)
+    for step in range(steps):
+        m = matrices[step % len(matrices)]
+        slope = np.where(free, 2 * (m[:-1, :-1] @ b - m[:-1, -1] + l2 * b), 0.0)
+        squares += slope * slope
+        pace = rate * decay_rate ** (step // decay_steps) / np.sqrt(squares)
+        moved = b - pace * slope
+        b = np.sign(moved) * np.maximum(np.abs(moved) - pace * l1, 0.0)
+    return whole.terms(b)
+
+
+#: Settings of a search over steps, with the decay of their rate.
+STEP_RANGES = {"l1": (1e-4, 0.1), "l2": (1e-4, 0.1), "rate": (0.05, 1.0), "decay_rate": (0.5, 1.0)}
+
+
+def step_search(
+    spark: SparkSession, train: Products, blocks: list[Products], chosen: Products, trials: int = 100
+) -> tuple[Terms, DataFrame]:
+    """The best of many settings of ``proximal`` by the error on other rows, and all of them."""
+    rows, models = [], []
+    for trial in range(trials):
+        shares = [math.fmod((trial + 1) * GOLDEN * (k + 1) ** 0.5, 1.0) for k in range(len(STEP_RANGES))]
+        drawn = {
+            name: low * (high / low) ** u for u, (name, (low, high)) in zip(shares, STEP_RANGES.items())
+        }
+        models.append(proximal(train, blocks, steps=400, decay_steps=40, **drawn))
+        rows.append((trial, *drawn.values(), train.rmse(models[-1]), chosen.rmse(models[-1])))
+    ddl = ", ".join(["trial int", *(f"{name} double" for name in STEP_RANGES), "train_rmse double", "rmse double"])
+    best = min(range(trials), key=lambda i: rows[i][-1])
+    return models[best], spark.createDataFrame(rows, ddl)
+
+
 def products(moments: DataFrame, inputs: list[str], label: str, by: str = "split") -> dict[str, Products]:
     """Products of every group of a table of moments."""
     names = [ONE, *inputs, label]

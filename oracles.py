@@ -597,6 +597,9 @@ BODIES = {
        {rnd('g')} AS predicted_monetary
        FROM labelled l JOIN (SELECT has_returned, avg(target_monetary) AS g FROM labelled
          WHERE split = 'train' GROUP BY 1) m ON l.has_returned = m.has_returned""",
+    "fit_proximal": f"""SELECT l.customer_id, {rnd('g', 1)} AS predicted_monetary
+       FROM labelled l JOIN (SELECT has_returned, avg(target_monetary) AS g FROM labelled
+         WHERE split = 'train' GROUP BY 1) m ON l.has_returned = m.has_returned""",
     "btyd_summary": "SELECT * FROM summary",
     "btyd_actuals": """SELECT customer_id, frequency_btyd AS train_frequency,
        monetary_dnn AS train_monetary, target_monetary AS act_target_monetary FROM feats""",

@@ -87,3 +87,34 @@ def test_a_search_reads_no_rows_and_its_trials_differ(spark, feature_rows, param
 
 def test_no_rows(spark, rows):
     assert ridge.products(moments.moments(rows.limit(0), INPUTS, "y"), INPUTS, "y") == {}
+
+
+@pytest.mark.parametrize("l1,l2", [(1e-6, 0.05), (0.1, 0.05), (0.4, 0.2)])
+def test_steps_end_at_the_closed_form(rows, found, l1, l2):
+    want = found["train"].elastic_net(l1, l2)
+    got = ridge.proximal(found["train"], [found["train"]], l1, l2, steps=20_000)
+    assert got.effects == pytest.approx(want.effects, abs=1e-3 * found["train"].spread[-1])
+    assert [e == 0 for e in got.effects] == [e == 0 for e in want.effects]
+
+
+def test_blocks_of_rows_and_a_falling_rate(rows, found):
+    """Steps over blocks come as near as the rate has fallen."""
+    blocked = rows.where("split = 'train'").withColumn("block", F.pmod(F.xxhash64("b"), F.lit(4)).cast("string"))
+    blocks = ridge.products(moments.moments(blocked, INPUTS, "y", by="block"), INPUTS, "y", by="block")
+    assert sum(b.count for b in blocks.values()) == found["train"].count
+    summed = sum(b.around(found["train"]) * b.count for b in blocks.values()) / found["train"].count
+    assert summed == pytest.approx(found["train"].correlation, abs=1e-9)
+    want = found["train"].elastic_net(0.01, 0.1).effects
+    away = [
+        np.abs(ridge.proximal(found["train"], list(blocks.values()), 0.01, 0.1, decay_rate=d, steps=4000).effects - want).max()
+        for d in (1.0, 0.9)
+    ]
+    assert away[1] < away[0] and away[1] < 0.02 * found["train"].spread[-1]
+
+
+def test_a_search_over_steps_and_their_decay(spark, found):
+    train = found["train"]
+    best, trials = ridge.step_search(spark, train, [train], found["eval"], trials=30)
+    table = trials.collect()
+    assert len({r["decay_rate"] for r in table}) == 30 and all(0.5 <= r["decay_rate"] <= 1 for r in table)
+    assert found["eval"].rmse(best) == min(r["rmse"] for r in table)
