@@ -172,6 +172,85 @@ def describe_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+#: Size parameter of a quantile sketch, and the share of the rows by which a rank may be off: the
+#: bound of such sketches at that size, at 99 % confidence.
+SKETCH_SIZE, RANK_ERROR = 400, 0.0085
+
+
+def sketches(df: DataFrame, names: list[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """A row for each column from one pass over the rows: counts, sum, range and a quantile sketch.
+
+    Rows of several frames merge by ``merge_sketches``, so they may be stored by batch. NULL and
+    NaN count as unknown. The sketch is approximate, by ``RANK_ERROR``; the rest is exact.
+    """
+    cells = []
+    for name in names:
+        value = F.col(name).cast("double")
+        value = F.when(~F.isnan(value), value)
+        cells.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.count(value).alias("count"),
+                (F.count(F.lit(1)) - F.count(value)).alias("unknown"),
+                F.sum(value).alias("total"),
+                F.min(value).alias("min"),
+                F.max(value).alias("max"),
+                F.kll_sketch_agg_double(value, F.lit(size)).alias("sketch"),
+            )
+        )
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+def merge_sketches(parts: DataFrame) -> DataFrame:
+    """Sketches of all rows from those of disjoint parts."""
+    sums = [F.sum(c).alias(c) for c in ("count", "unknown", "total")]
+    known = F.when(F.col("count") > 0, F.col("sketch"))
+    merged = F.kll_merge_agg_double(known).alias("sketch")
+    return parts.groupBy("column").agg(*sums, F.min("min").alias("min"), F.max("max").alias("max"), merged)
+
+
+def describe_sketches(found: DataFrame) -> DataFrame:
+    """``describe`` of sketched columns, with quartiles within ``RANK_ERROR`` and no deviation."""
+
+    def quantile(share: float) -> Column:
+        return F.when(F.col("count") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(share)))
+
+    return found.select(
+        "column",
+        "count",
+        F.try_divide("total", "count").alias("mean"),
+        "min",
+        *(quantile(q).alias(f"p{round(q * 100)}") for q in (0.25, 0.5, 0.75)),
+        "max",
+    )
+
+
+def rank_errors(df: DataFrame, described: DataFrame) -> DataFrame:
+    """How far the quartiles of ``describe_sketches`` are off, by a further pass that counts ranks.
+
+    The rank of a repeated value is a range; a quartile within it is not off.
+    """
+    rows = {r["column"]: r for r in described.collect()}  # a row for each column
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    counts = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(q).alias("quartile"),
+            F.try_divide(F.count_if(F.col(name) < F.lit(row[q])), F.lit(row["count"])).alias("below"),
+            F.try_divide(F.count_if(F.col(name) <= F.lit(row[q])), F.lit(row["count"])).alias("upto"),
+        )
+        for name, row in rows.items()
+        for q in shares
+        if row["count"]
+    ]
+    if not counts:
+        return described.sparkSession.createDataFrame([], "column string, quartile string, error double")
+    share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("quartile"))
+    ranks = df.agg(F.array(*counts).alias("ranks")).select(F.inline("ranks"))
+    off = F.greatest(F.lit(0.0), F.col("below") - share, share - F.col("upto"))
+    return ranks.select("column", "quartile", off.alias("error"))
+
+
 def limited(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows whose value lies within the limits of a plot, both ends included."""
     return df.where(F.col(column).between(low, high))

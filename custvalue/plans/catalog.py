@@ -510,6 +510,21 @@ def profile_sample(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(table, 6, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+@query
+def profile_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile of all used columns from sketches of two batches, and whether quartiles are as near
+    as they should be."""
+    rows, names = settle(_features(spark, folder)), [*schemas.used_columns(), schemas.TARGET]
+    half = hashing.hash_bucket(F.col("customer_id"), 2) == 0
+    parts = profile.sketches(rows.where(half), names).unionByName(profile.sketches(rows.where(~half), names))
+    described = settle(profile.describe_sketches(profile.merge_sketches(settle(parts))))
+    near = profile.rank_errors(rows, described).groupBy("column").agg(
+        (F.max("error") <= profile.RANK_ERROR).alias("quartiles_near")
+    )
+    table = described.join(near, "column", "left").drop("p25", "p50", "p75")
+    return _rounded(table, 4, "mean", "min", "max")
+
+
 @query
 def profile_unit_price(spark: SparkSession, folder: str) -> DataFrame:
     prices = transactions_from_star(spark, folder, ("UnitPrice",))

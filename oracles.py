@@ -588,6 +588,12 @@ BODIES = {
        SELECT regr_slope(target_monetary, monetary_dnn) AS a,
               regr_intercept(target_monetary, monetary_dnn) AS b
        FROM labelled WHERE split = 'train')""",
+    "profile_sketched": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count("{name}") AS count, {rnd(f'avg("{name}")', 4)} AS mean,
+        {rnd(f'min("{name}")::DOUBLE', 4)} AS min, {rnd(f'max("{name}")::DOUBLE', 4)} AS max,
+        if(count("{name}") > 0, true, NULL) AS quartiles_near FROM feats"""
+        for name in (*USED_COLUMNS, "target_monetary")
+    ),
     "fit_linear_normal": " UNION ALL ".join(
         f"""SELECT '{name}' AS input, {rnd('m', 0)} AS by_label, {rnd('m', 0)} AS by_fit FROM (
         SELECT avg("{name}" / 10.0::DOUBLE * target_monetary) AS m FROM labelled WHERE split = 'train')"""

@@ -1,3 +1,5 @@
+import functools
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -92,3 +94,29 @@ def test_density_integrates_to_one(spark):
     df = spark.range(2000).select((F.randn(5) * 10).alias("v"))
     curve = profile.density(df, "v", -100, 100, 1.0, 201).collect()
     assert sum(r.density for r in curve) == pytest.approx(1.0, abs=1e-3)
+
+
+def test_sketches_merge_and_are_near(spark):
+    rng = np.random.default_rng(2)
+    values = rng.lognormal(3, 2, 60_000)
+    rows = spark.createDataFrame(
+        [(float(v), int(v) % 50, None if i % 7 else float(v), None, float("nan")) for i, v in enumerate(values)],
+        "a double, b int, c double, d double, e double",
+    ).repartition(9).cache()
+    names = ["a", "b", "c", "d", "e"]
+    batch = F.pmod(F.xxhash64("a"), F.lit(5))
+    parts = [profile.sketches(rows.where(batch == i), names) for i in range(5)]
+    parts += [profile.sketches(rows.limit(0), names)]
+    merged = profile.merge_sketches(functools.reduce(lambda x, y: x.unionByName(y), parts))
+    described = profile.describe_sketches(merged).cache()
+    found = {r["column"]: r for r in described.collect()}
+    assert found["a"]["count"] == found["b"]["count"] == 60_000
+    assert (found["a"]["min"], found["a"]["max"]) == (values.min(), values.max())
+    assert found["a"]["mean"] == pytest.approx(values.mean(), rel=1e-9)
+    assert found["c"]["count"] == len(values[::7])
+    assert found["d"]["count"] == found["e"]["count"] == 0 and found["d"]["p50"] is None
+    errors = profile.rank_errors(rows, described).collect()
+    assert len(errors) == 9 and max(r["error"] for r in errors) <= profile.RANK_ERROR
+    # One pass: a single scan and exchange, whatever the number of columns.
+    plan = profile.sketches(rows, names)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") == 1
