@@ -24,7 +24,7 @@ from custvalue.params import ClvParams
 # Ages are scaled so that the oldest customer is 10 time units old.
 OLDEST = 10.0
 STEPS = (1.0, 0.25, 0.02)
-LONGEST_MOVE = 2.0
+LONGEST_MOVE = 4.0
 ROUNDS = 50
 # Beyond this logarithm of a (scaled) parameter the data says nothing more about it.
 EDGE = 9.0
@@ -92,6 +92,9 @@ class Objective:
         self.steps = model.derivatives(
             {name: F.col(f"p.{name}") for name in columns}, *[F.col(c) for c in model.inputs]
         )
+        self.means = [
+            (F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in value_names(self.names)
+        ]
 
     def terms(self, points: list[dict[str, float]]) -> DataFrame:
         """For each customer and point ``i``: the log-likelihood and its derivatives."""
@@ -104,8 +107,7 @@ class Objective:
 
     def __call__(self, points: list[dict[str, float]]) -> list[Slope]:
         size, names = len(self.names), value_names(self.names)
-        means = [(F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in names]
-        found = {row["i"]: row for row in self.terms(points).groupBy("i").agg(*means).collect()}
+        found = {row["i"]: row for row in self.terms(points).groupBy("i").agg(*self.means).collect()}
         slopes = []
         for i in range(len(points)):
             numbers = [math.nan if found[i][c] is None else found[i][c] for c in names]
@@ -119,7 +121,7 @@ class Objective:
 def minimise(
     evaluate: Callable[[np.ndarray], list[Slope]],
     start: np.ndarray,
-    tolerance: float = 1e-10,
+    tolerance: float = 1e-7,
     rounds: int = ROUNDS,
 ) -> Descent:
     """Newton descent; a round scores the next point and shorter steps at once.
