@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -13,16 +14,19 @@ from pyspark.sql import types as T
 LGAMMA_SHIFT = 8
 
 
-def lgamma(x: Column) -> Column:
-    """Log of the gamma function for ``x > 0``: Stirling's series at ``x + 8``, recursed down."""
+def lgamma(x: Column | np.ndarray, ln: Callable = F.ln) -> Column | np.ndarray:
+    """Log of the gamma function for ``x > 0``: Stirling's series at ``x + 8``, recursed down.
+
+    Of a Column, or of an array with numpy's ``ln``.
+    """
     product = x
     for i in range(1, LGAMMA_SHIFT):
         product = product * (x + i)
     z = x + LGAMMA_SHIFT
-    inverse = F.lit(1.0) / z
+    inverse = 1.0 / z
     square = inverse * inverse
     tail = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680)))
-    return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + tail - F.ln(product)
+    return (z - 0.5) * ln(z) - z + 0.5 * math.log(2 * math.pi) + tail - ln(product)
 
 
 def log_add_exp(a: Column, b: Column) -> Column:
@@ -35,20 +39,20 @@ def log1p_exp(y: Column) -> Column:
     return F.greatest(y, F.lit(0.0)) + F.log1p(F.exp(-F.abs(y)))
 
 
-def digamma(x: Column) -> Column:
-    """First derivative of ``lgamma`` for ``x > 0``, by the same shift."""
-    above = F.lit(0.0)
+def digamma(x: Column | np.ndarray, ln: Callable = F.ln) -> Column | np.ndarray:
+    """First derivative of ``lgamma`` for ``x > 0``, by the same shift; of an array with numpy's ``ln``."""
+    above = 0.0
     for i in range(LGAMMA_SHIFT):
         above = above + 1 / (x + i)
     z = x + LGAMMA_SHIFT
     square = 1 / (z * z)
     tail = square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square * (1 / 240 - square / 132))))
-    return F.ln(z) - 0.5 / z - tail - above
+    return ln(z) - 0.5 / z - tail - above
 
 
-def trigamma(x: Column) -> Column:
-    """Second derivative of ``lgamma`` for ``x > 0``."""
-    above = F.lit(0.0)
+def trigamma(x: Column | np.ndarray) -> Column | np.ndarray:
+    """Second derivative of ``lgamma`` for ``x > 0``, of a Column or an array."""
+    above = 0.0
     for i in range(LGAMMA_SHIFT):
         above = above + 1 / ((x + i) * (x + i))
     z = x + LGAMMA_SHIFT
@@ -70,31 +74,31 @@ def polygamma_numbers(x: float) -> tuple[float, float]:
     return first, second
 
 
-#: What ``dropout_moments`` gives after the logarithm: means, then covariances, of
+#: What the moments of ``dropout_kernel`` are: means, then covariances, of
 #: ln(alpha + u), 1 / (alpha + u), ln(beta + u) and 1 / (beta + u).
 MOMENTS = ("la", "ia", "lb", "ib")
 PAIRS = tuple((m, n) for i, m in enumerate(MOMENTS) for n in MOMENTS[i:])
 
 
-def _dropout_kernel(with_moments: bool):
-    """Vectorized UDF of the integral of ``(alpha + u) ** -p * (beta + u) ** -q`` from tx to T.
+def dropout_kernel(with_moments: bool) -> Callable:
+    """Function of arrays: the integral of ``(alpha + u) ** -p * (beta + u) ** -q`` from tx to T.
 
-    Double-exponential quadrature in ``ln(min(alpha, beta) + u)``, in which the integrand is an
-    exponential with bends: its 161 nodes lie densely at both ends, so steep ones are met
-    as well. All terms are positive and no difference is taken. The work of a row does not
-    depend on its values. The inner function stands alone, so tasks need no import of this package.
+    A column with its logarithm, -Infinity if it is empty; ``with_moments`` adds one column for each
+    of ``MOMENTS`` and ``PAIRS`` under the integrand. Double-exponential quadrature in
+    ``ln(min(alpha, beta) + u)``, in which the integrand is an exponential with bends: its 161
+    nodes lie densely at both ends, so steep ones are met as well. All terms are positive and no
+    difference is taken. The work of a row does not depend on its values. The inner function
+    stands alone, so tasks need no import of this package.
     """
 
-    def evaluate(
-        p: pd.Series, alpha: pd.Series, q: pd.Series, beta: pd.Series, tx: pd.Series, T_: pd.Series
-    ) -> pd.Series:
+    def evaluate(p, alpha, q, beta, tx, end) -> np.ndarray:
         t = np.linspace(-3.2, 3.2, 161)
         y = np.pi * np.sinh(t)
         place = 1 / (1 + np.exp(-y))  # of the range, exact near its start
         log_w = np.log(np.pi * np.cosh(t) * (t[1] - t[0])) - np.logaddexp(0, y) - np.logaddexp(0, -y)
-        columns = [np.asarray(s, dtype=float) for s in (p, alpha, q, beta, tx, T_)]
-        out = np.empty((len(p), 15 if with_moments else 1))
-        for start in range(0, len(p), 1024):  # bounds the matrix of rows by nodes
+        columns = np.broadcast_arrays(*(np.asarray(s, dtype=float) for s in (p, alpha, q, beta, tx, end)))
+        out = np.empty((len(columns[0]), 15 if with_moments else 1))
+        for start in range(0, len(out), 1024):  # bounds the matrix of rows by nodes
             with np.errstate(divide="ignore", invalid="ignore"):
                 ps, al, qs, be, low, high = (c[start : start + 1024, None] for c in columns)
                 least, spread = np.minimum(al, be), np.abs(al - be)
@@ -119,19 +123,21 @@ def _dropout_kernel(with_moments: bool):
                 spreads = [(share * apart[i] * apart[j]).sum(axis=1) for i in range(4) for j in range(i, 4)]
                 found = np.stack([*means, *spreads], axis=1)
                 out[start : start + 1024, 1:] = np.where(empty[:, None], 0.0, found)
-        return pd.Series(list(out)) if with_moments else pd.Series(out[:, 0])
+        return out
 
-    return F.pandas_udf(evaluate, T.ArrayType(T.DoubleType()) if with_moments else T.DoubleType())
+    return evaluate
 
 
 def dropout_integral(p: Column, alpha: Column, q: Column, beta: Column, tx: Column, end: Column) -> Column:
-    """Logarithm of the integral of ``(alpha + u) ** -p * (beta + u) ** -q``; -Infinity if empty."""
-    return _dropout_kernel(False)(p, alpha, q, beta, tx.cast("double"), end.cast("double"))
+    """Logarithm of the integral of ``dropout_kernel``; -Infinity if it is empty."""
+    kernel = dropout_kernel(False)
 
+    def evaluate(
+        p: pd.Series, alpha: pd.Series, q: pd.Series, beta: pd.Series, tx: pd.Series, end: pd.Series
+    ) -> pd.Series:
+        return pd.Series(kernel(p, alpha, q, beta, tx, end)[:, 0])
 
-def dropout_moments(p: Column, alpha: Column, q: Column, beta: Column, tx: Column, end: Column) -> Column:
-    """The same, followed by means and covariances of ``MOMENTS`` under the integrand."""
-    return _dropout_kernel(True)(p, alpha, q, beta, tx.cast("double"), end.cast("double"))
+    return F.pandas_udf(evaluate, T.DoubleType())(p, alpha, q, beta, tx.cast("double"), end.cast("double"))
 
 
 def dropout_purchases(

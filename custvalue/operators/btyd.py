@@ -8,8 +8,8 @@ Fader and Hardie's notation; Gamma-Gamma is Fader and Hardie (2013).
 The log-likelihoods take their parameters as Columns, so one plan can score many
 parameter points.  ``constants`` holds what depends on the parameters alone and
 is computed once per point.  ``derivatives`` gives the log-likelihood with its gradient
-and curvature in closed form, as columns that are added step by step, so that what
-several of them share is computed once per row.
+and curvature in closed form, of arrays of customers: as expressions they would take
+longer to compile for each point than to evaluate.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import math
 import operator
 from typing import ClassVar
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from custvalue.functions.special import (
     PAIRS,
     digamma,
     dropout_integral,
-    dropout_moments,
+    dropout_kernel,
     dropout_purchases,
     lgamma,
     log_add_exp,
@@ -87,40 +88,36 @@ def _if_known(value: Column, *inputs: Column) -> Column:
     return F.when(known, value)
 
 
-Steps = list[dict[str, Column]]
-Slopes = dict[str, Column]
-Bends = dict[tuple[str, str], Column]
+Numbers = np.ndarray | float
+Slopes = dict[str, Numbers]
+Bends = dict[tuple[str, str], Numbers]
 
 
 def value_names(names: tuple[str, ...]) -> list[str]:
-    """Columns of the last step of ``derivatives``: value, gradient, upper triangle of curvature."""
+    """What ``derivatives`` gives, in order: value, gradient, upper triangle of curvature."""
     pairs = [f"bend_{m}_{n}" for i, m in enumerate(names) for n in names[i:]]
     return ["value", *(f"slope_{n}" for n in names), *pairs]
 
 
-def _named(names: tuple[str, ...], value: Column, slopes: Slopes, bends: Bends) -> dict[str, Column]:
-    """What a model gives for all its parameters; a pair that is not there has no curvature."""
-    zero = F.lit(0.0)
-    found = {"value": value} | {f"slope_{n}": slopes.get(n, zero) for n in names}
-    for i, m in enumerate(names):
-        for n in names[i:]:
-            found[f"bend_{m}_{n}"] = bends.get((m, n), bends.get((n, m), zero))
-    return found
+def _listed(names: tuple[str, ...], value: np.ndarray, slopes: Slopes, bends: Bends) -> list[np.ndarray]:
+    """Arrays in the order of ``value_names``; a pair that is not there has no curvature."""
+    pairs = [(m, n) for i, m in enumerate(names) for n in names[i:]]
+    found = [value, *(slopes[n] for n in names), *(bends.get(pair, 0.0) for pair in pairs)]
+    return [np.broadcast_to(column, value.shape) for column in found]
 
 
 def _blend(
-    names: tuple[str, ...], share: Column, one: tuple[Slopes, Bends], other: tuple[Slopes, Bends]
+    names: tuple[str, ...], share: np.ndarray, one: tuple[Slopes, Bends], other: tuple[Slopes, Bends]
 ) -> tuple[Slopes, Bends]:
     """Derivatives of ``ln(exp(one) + exp(other))``; ``share`` is that of the other."""
-    zero = F.lit(0.0)
-    slopes = {n: (1 - share) * one[0].get(n, zero) + share * other[0].get(n, zero) for n in names}
+    slopes = {n: (1 - share) * one[0].get(n, 0.0) + share * other[0].get(n, 0.0) for n in names}
     bends: Bends = {}
     for i, m in enumerate(names):
         for n in names[i:]:
-            apart = [other[0].get(k, zero) - one[0].get(k, zero) for k in (m, n)]
+            apart = [other[0].get(k, 0.0) - one[0].get(k, 0.0) for k in (m, n)]
             bends[m, n] = (
-                (1 - share) * one[1].get((m, n), zero)
-                + share * other[1].get((m, n), zero)
+                (1 - share) * one[1].get((m, n), 0.0)
+                + share * other[1].get((m, n), 0.0)
                 + share * (1 - share) * apart[0] * apart[1]
             )
     return slopes, bends
@@ -165,48 +162,45 @@ class BgNbd(_Model):
         return p["base"] + gammas + ended
 
     @staticmethod
-    def derivatives(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Steps:
+    def derivatives(p: dict[str, float], x: np.ndarray, tx: np.ndarray, T: np.ndarray) -> list[np.ndarray]:
         r, alpha, a, b = p["r"], p["alpha"], p["a"], p["b"]
         names = ("r", "alpha", "a", "b")
-        shared = {"alive": -(r + x) * F.ln(alpha + T)}
-        shared["gone"] = F.when(x > 0, F.ln(a) - F.ln(b + x - 1) - (r + x) * F.ln(alpha + tx))
-        for name, at in (("rx", r + x), ("bx", b + x), ("abx", a + b + x)):
-            shared[f"psi_{name}"], shared[f"psi1_{name}"] = digamma(at), trigamma(at)
-        either = log_add_exp(F.col("alive"), F.col("gone"))
-        ended = {"ended": F.when(x > 0, either).otherwise(F.col("alive"))}
-        share = {"share": F.coalesce(F.exp(F.col("gone") - F.col("ended")), F.lit(0.0))}
-        # Where x is 0 the share is, and b + x - 1 is not used.
-        later = F.when(x > 0, b + x - 1).otherwise(1.0)
+        # Where x is 0 nobody has gone, and b + x - 1 is not used.
+        later = np.where(x > 0, b + x - 1, 1.0)
+        alive = -(r + x) * np.log(alpha + T)
+        gone = np.where(x > 0, np.log(a) - np.log(later) - (r + x) * np.log(alpha + tx), -np.inf)
+        ended = np.logaddexp(alive, gone)
         slopes, bends = _blend(
             names,
-            F.col("share"),
+            np.exp(gone - ended),
             (
-                {"r": -F.ln(alpha + T), "alpha": -(r + x) / (alpha + T)},
-                {("r", "alpha"): -1 / (alpha + T), ("alpha", "alpha"): (r + x) / F.pow(alpha + T, 2)},
+                {"r": -np.log(alpha + T), "alpha": -(r + x) / (alpha + T)},
+                {("r", "alpha"): -1 / (alpha + T), ("alpha", "alpha"): (r + x) / (alpha + T) ** 2},
             ),
             (
-                {"r": -F.ln(alpha + tx), "alpha": -(r + x) / (alpha + tx), "a": 1 / a, "b": -1 / later},
+                {"r": -np.log(alpha + tx), "alpha": -(r + x) / (alpha + tx), "a": 1 / a, "b": -1 / later},
                 {
                     ("r", "alpha"): -1 / (alpha + tx),
-                    ("alpha", "alpha"): (r + x) / F.pow(alpha + tx, 2),
+                    ("alpha", "alpha"): (r + x) / (alpha + tx) ** 2,
                     ("a", "a"): -1 / (a * a),
                     ("b", "b"): 1 / (later * later),
                 },
             ),
         )
-        both, both1 = p["psi_ab"] - F.col("psi_abx"), p["psi1_ab"] - F.col("psi1_abx")
-        slopes["r"] += F.col("psi_rx") - p["psi_r"] + F.ln(alpha)
+        both = p["psi_ab"] - digamma(a + b + x, np.log)
+        both1 = p["psi1_ab"] - trigamma(a + b + x)
+        slopes["r"] += digamma(r + x, np.log) - p["psi_r"] + np.log(alpha)
         slopes["alpha"] += r / alpha
         slopes["a"] += both
-        slopes["b"] += both - p["psi_b"] + F.col("psi_bx")
-        bends["r", "r"] += F.col("psi1_rx") - p["psi1_r"]
+        slopes["b"] += both - p["psi_b"] + digamma(b + x, np.log)
+        bends["r", "r"] += trigamma(r + x) - p["psi1_r"]
         bends["r", "alpha"] += 1 / alpha
         bends["alpha", "alpha"] += -r / (alpha * alpha)
         bends["a", "a"] += both1
         bends["a", "b"] += both1
-        bends["b", "b"] += both1 - p["psi1_b"] + F.col("psi1_bx")
-        value = p["base"] + lgamma(r + x) + lgamma(b + x) - lgamma(a + b + x) + F.col("ended")
-        return [shared, ended, share, _named(names, value, slopes, bends)]
+        bends["b", "b"] += both1 - p["psi1_b"] + trigamma(b + x)
+        gammas = lgamma(r + x, np.log) + lgamma(b + x, np.log) - lgamma(a + b + x, np.log)
+        return _listed(names, p["base"] + gammas + ended, slopes, bends)
 
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
@@ -260,35 +254,30 @@ class ParetoNbd(_Model):
         return p["base"] + lgamma(p["r"] + x) + log_add_exp(alive, left)
 
     @staticmethod
-    def derivatives(p: dict[str, Column], x: Column, tx: Column, T: Column) -> Steps:
+    def derivatives(p: dict[str, float], x: np.ndarray, tx: np.ndarray, T: np.ndarray) -> list[np.ndarray]:
         r, alpha, s, beta = p["r"], p["alpha"], p["s"], p["beta"]
         names = ("r", "alpha", "s", "beta")
-        shared = {
-            "alive": ParetoNbd._log_alive(p, x, T),
-            "moments": dropout_moments(r + x, alpha, s + 1, beta, tx, T),
-            "psi_rx": digamma(r + x),
-            "psi1_rx": trigamma(r + x),
-        }
-        mean = {m: F.get("moments", F.lit(i + 1)) for i, m in enumerate(MOMENTS)}
-        spread = {pair: F.get("moments", F.lit(i + 5)) for i, pair in enumerate(PAIRS)}
-        left = {"left": F.ln(s) + F.get("moments", F.lit(0))}
-        ended = {"ended": log_add_exp(F.col("alive"), F.col("left"))}
-        share = {"share": F.exp(F.col("left") - F.col("ended"))}
+        moments = dropout_kernel(True)(r + x, alpha, s + 1, beta, tx, T).T
+        mean = dict(zip(MOMENTS, moments[1:5]))
+        spread = dict(zip(PAIRS, moments[5:]))
+        alive = -(r + x) * np.log(alpha + T) - s * np.log(beta + T)
+        left = np.log(s) + moments[0]
+        ended = np.logaddexp(alive, left)
         slopes, bends = _blend(
             names,
-            F.col("share"),
+            np.exp(left - ended),
             (
                 {
-                    "r": -F.ln(alpha + T),
+                    "r": -np.log(alpha + T),
                     "alpha": -(r + x) / (alpha + T),
-                    "s": -F.ln(beta + T),
+                    "s": -np.log(beta + T),
                     "beta": -s / (beta + T),
                 },
                 {
                     ("r", "alpha"): -1 / (alpha + T),
-                    ("alpha", "alpha"): (r + x) / F.pow(alpha + T, 2),
+                    ("alpha", "alpha"): (r + x) / (alpha + T) ** 2,
                     ("s", "beta"): -1 / (beta + T),
-                    ("beta", "beta"): s / F.pow(beta + T, 2),
+                    ("beta", "beta"): s / (beta + T) ** 2,
                 },
             ),
             (
@@ -314,17 +303,16 @@ class ParetoNbd(_Model):
                 },
             ),
         )
-        slopes["r"] += F.col("psi_rx") - p["psi_r"] + F.ln(alpha)
+        slopes["r"] += digamma(r + x, np.log) - p["psi_r"] + np.log(alpha)
         slopes["alpha"] += r / alpha
-        slopes["s"] += F.ln(beta)
+        slopes["s"] += np.log(beta)
         slopes["beta"] += s / beta
-        bends["r", "r"] += F.col("psi1_rx") - p["psi1_r"]
+        bends["r", "r"] += trigamma(r + x) - p["psi1_r"]
         bends["r", "alpha"] += 1 / alpha
         bends["alpha", "alpha"] += -r / (alpha * alpha)
         bends["s", "beta"] += 1 / beta
         bends["beta", "beta"] += -s / (beta * beta)
-        value = p["base"] + lgamma(r + x) + F.col("ended")
-        return [shared, left, ended, share, _named(names, value, slopes, bends)]
+        return _listed(names, p["base"] + lgamma(r + x, np.log) + ended, slopes, bends)
 
     def p_alive(self, x: Column, tx: Column, T: Column) -> Column:
         """Probability that the customer is still active at age ``T``."""
@@ -373,28 +361,27 @@ class GammaGamma(_Model):
         )
 
     @staticmethod
-    def derivatives(k: dict[str, Column], x: Column, m: Column) -> Steps:
+    def derivatives(k: dict[str, float], x: np.ndarray, m: np.ndarray) -> list[np.ndarray]:
         p, q, v = k["p"], k["q"], k["v"]
-        shared = {"px": p * x, "spent": x * m, "log_all": F.ln(x * m + v), "all": x * m + v}
-        px, all_ = F.col("px"), F.col("all")
-        gammas = {}
-        for name, at in (("px", px), ("pxq", px + q)):
-            gammas[f"psi_{name}"], gammas[f"psi1_{name}"] = digamma(at), trigamma(at)
+        px, spent = p * x, x * m
+        every = spent + v
+        psi_all, psi1_all = digamma(px + q, np.log), trigamma(px + q)
         slopes = {
-            "p": x * (F.col("psi_pxq") - F.col("psi_px") + F.ln("spent") - F.col("log_all")),
-            "q": F.ln(v) - k["psi_q"] + F.col("psi_pxq") - F.col("log_all"),
-            "v": q / v - (px + q) / all_,
+            "p": x * (psi_all - digamma(px, np.log) + np.log(spent) - np.log(every)),
+            "q": np.log(v) - k["psi_q"] + psi_all - np.log(every),
+            "v": q / v - (px + q) / every,
         }
         bends = {
-            ("p", "p"): x * x * (F.col("psi1_pxq") - F.col("psi1_px")),
-            ("p", "q"): x * F.col("psi1_pxq"),
-            ("p", "v"): -x / all_,
-            ("q", "q"): F.col("psi1_pxq") - k["psi1_q"],
-            ("q", "v"): 1 / v - 1 / all_,
-            ("v", "v"): (px + q) / (all_ * all_) - q / (v * v),
+            ("p", "p"): x * x * (psi1_all - trigamma(px)),
+            ("p", "q"): x * psi1_all,
+            ("p", "v"): -x / every,
+            ("q", "q"): psi1_all - k["psi1_q"],
+            ("q", "v"): 1 / v - 1 / every,
+            ("v", "v"): (px + q) / (every * every) - q / (v * v),
         }
-        value = GammaGamma.log_likelihood(k, x, m)
-        return [shared, gammas, _named(("p", "q", "v"), value, slopes, bends)]
+        gammas = lgamma(px + q, np.log) - lgamma(px, np.log)
+        value = k["base"] + gammas + px * np.log(spent) - np.log(m) - (px + q) * np.log(every)
+        return _listed(("p", "q", "v"), value, slopes, bends)
 
     def expected_profit(self, x: Column, m: Column) -> Column:
         """Expected mean value of a purchase."""

@@ -982,9 +982,9 @@ def _score_equations(rows: DataFrame, found: fit.Fit, observed: dict, penalizer:
     model = found.model
     inputs = rows.select(*model.inputs, F.lit(1).alias("n"))
     known = model.values()
-    terms = fit.Objective(inputs, type(model)).terms([known])
-    scores = terms.agg(
-        F.count(F.lit(1)).alias("customers"), *(F.avg(f"slope_{name}").alias(name) for name in known)
+    sums = fit.Objective(inputs, type(model)).sums([known])
+    scores = sums.select(
+        F.col("n").cast("bigint").alias("customers"), *((F.col(f"slope_{name}") / F.col("n")).alias(name) for name in known)
     )
     bound = found.scaled
     means = rows.agg(*(F.avg(value).alias(f"by_data_{name}") for name, value in observed.items()))

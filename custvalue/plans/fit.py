@@ -8,12 +8,12 @@ pass over the compressed customer table for each round of a Newton descent.
 from __future__ import annotations
 
 import dataclasses
-import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,43 +78,44 @@ class Slope(NamedTuple):
 class Objective:
     """Mean log-likelihood of a model over compressed inputs, with its derivatives.
 
-    The expressions are built once; a batch of points arrives as one JSON literal
-    that the optimizer folds into an array.
+    A task sums the closed forms over a batch of customers at once, for all points of a round; only
+    these sums are shuffled. A customer with an unknown input has no likelihood and is left out.
     """
 
     def __init__(self, inputs: DataFrame, model: type) -> None:
-        self.inputs = inputs
+        numbers = [F.col(c).cast("double").alias(c) for c in ("n", *model.inputs)]
+        self.inputs = inputs.select(*numbers).dropna()
         self.model = model
         self.names = tuple(field.name for field in dataclasses.fields(model))
-        known = {name: 1.0 for name in self.names}
-        columns = [*self.names, *model.constants(**known)]
-        self.schema = f"array<struct<i int, {', '.join(f'{name} double' for name in columns)}>>"
-        self.steps = model.derivatives(
-            {name: F.col(f"p.{name}") for name in columns}, *[F.col(c) for c in model.inputs]
-        )
-        self.means = [
-            (F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in value_names(self.names)
-        ]
 
-    def terms(self, points: list[dict[str, float]]) -> DataFrame:
-        """For each customer and point ``i``: the log-likelihood and its derivatives."""
-        rows = [{"i": i} | p | self.model.constants(**p) for i, p in enumerate(points)]
-        literal = F.from_json(F.lit(json.dumps(rows)), self.schema)
-        spread = self.inputs.select("n", *self.model.inputs, F.explode(literal).alias("p"))
-        for step in self.steps:
-            spread = spread.withColumns(step)
-        return spread.select("n", F.col("p.i").alias("i"), *value_names(self.names))
+    def sums(self, points: list[dict[str, float]]) -> DataFrame:
+        """For each point ``i``: customers ``n``, sums of the log-likelihood and its derivatives."""
+        model, names = self.model, ["n", *value_names(self.names)]
+        known = [point | model.constants(**point) for point in points]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(known), len(names)))
+            for batch in batches:
+                n, *columns = (np.asarray(column) for column in batch.columns)
+                for i, point in enumerate(known):
+                    with np.errstate(all="ignore"):  # a point may lie where there is no value
+                        total[i] += [n.sum(), *(n @ found for found in model.derivatives(point, *columns))]
+            yield pa.record_batch([np.arange(len(known)), *total.T], names=["i", *names])
+
+        schema = f"i long, {', '.join(f'{name} double' for name in names)}"
+        partial = self.inputs.mapInArrow(run, schema)
+        return partial.groupBy("i").agg(*(F.sum(name).alias(name) for name in names))
 
     def __call__(self, points: list[dict[str, float]]) -> list[Slope]:
         size, names = len(self.names), value_names(self.names)
-        found = {row["i"]: row for row in self.terms(points).groupBy("i").agg(*self.means).collect()}
+        found = {row["i"]: row for row in self.sums(points).collect()}
         slopes = []
         for i in range(len(points)):
-            numbers = [math.nan if found[i][c] is None else found[i][c] for c in names]
+            numbers = np.array([found[i][c] for c in names]) / found[i]["n"]
             curvature = np.zeros((size, size))
             upper = np.triu_indices(size)
             curvature[upper] = curvature.T[upper] = numbers[1 + size :]
-            slopes.append(Slope(numbers[0], np.array(numbers[1 : 1 + size]), curvature))
+            slopes.append(Slope(numbers[0], numbers[1 : 1 + size], curvature))
         return slopes
 
 

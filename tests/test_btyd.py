@@ -43,6 +43,10 @@ def test_derivatives_of_lgamma(spark):
     first, second = values(df, special.digamma(F.col("x"))), values(df, special.trigamma(F.col("x")))
     for x, f, s in zip(xs, first, second):
         assert (f, s) == pytest.approx(special.polygamma_numbers(x), rel=1e-10)
+    array = np.array(xs)
+    assert special.digamma(array, np.log).tolist() == pytest.approx(first, rel=1e-13)
+    assert special.trigamma(array).tolist() == pytest.approx(second, rel=1e-13)
+    assert special.lgamma(array, np.log).tolist() == pytest.approx([math.lgamma(x) for x in xs], rel=1e-12, abs=1e-11)
     assert special.polygamma_numbers(1.0) == pytest.approx((-0.5772156649015329, math.pi**2 / 6), rel=1e-12)
 
 
@@ -58,7 +62,8 @@ def test_dropout_integral_closed_forms(spark):
         scaled = -math.expm1(-power * math.log((beta + T) / (beta + tx))) / power
         assert log == pytest.approx(math.log(scaled) - power * math.log(beta + tx), abs=1e-9)
     assert got[-1] == -math.inf
-    assert [m[0] for m in values(df, special.dropout_moments(*columns))] == got
+    moments = special.dropout_kernel(True)(*np.array(cases).T)
+    assert moments[:, 0].tolist() == got
 
 
 def test_dropout_integral_has_bounded_work(spark):
@@ -91,6 +96,9 @@ def test_gradient_and_curvature_against_differences(spark, kind, point):
     for name in point:
         points += [point | {name: point[name] + s} for s in (step, -step)]
     here, *near = fit.Objective(inputs, kind)(points)
+    model, columns = kind(**point), [F.col(c) for c in kind.inputs]
+    terms = inputs.select("n", model.log_likelihood(model.point(), *columns).alias("value"))
+    assert here.value == pytest.approx(terms.agg(F.sum(F.col("n") * F.col("value")) / F.sum("n")).first()[0], rel=1e-12)
     assert here.gradient == pytest.approx([(u.value - d.value) / (2 * step) for u, d in zip(near[::2], near[1::2])], abs=1e-6)
     for row, u, d in zip(here.curvature, near[::2], near[1::2]):
         assert row == pytest.approx((u.gradient - d.gradient) / (2 * step), abs=1e-6)
@@ -230,6 +238,16 @@ def test_gamma_gamma_recovers_parameters(spark):
     assert np.mean(values(df, profit)) == pytest.approx(np.mean(p / nu), rel=0.05)
 
 
+def test_unknown_inputs_are_left_out(spark):
+    rows = [(2.0, 2.0, 3.0, 4), (0.0, 0.0, 3.0, 1)]
+    columns = "frequency double, recency double, T double, n int"
+    whole = spark.createDataFrame(rows, columns)
+    more = spark.createDataFrame([*rows, (None, 1.0, 3.0, 1), (1.0, 1.0, None, 2)], columns)
+    point = {"r": 0.9, "alpha": 1.3, "a": 0.7, "b": 2.1}
+    means = [fit.Objective(df, btyd.BgNbd)([point])[0].value for df in (whole, more)]
+    assert means[0] == pytest.approx(means[1], rel=1e-14)
+
+
 def test_penalty_shrinks(spark):
     df = table(spark, simulate_bgnbd(1500, 0.8, 25.0, 0.8, 2.5), list(btyd.CUSTOMER_COLUMNS))
     free = fit.fit_bgnbd(df, FREE).model
