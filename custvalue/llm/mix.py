@@ -6,9 +6,9 @@ source's target. All copies are ordered by finish time over all sources, and the
 where the total reaches the budget, so each source ends close to its own target.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own;
-rows that repeat a doc_id count as documents of their own; an empty table gives no rows. Other
-columns of the input are ignored. The shuffled order depends on the seed, doc_id and size alone,
-so a rerun, or a recomputed task, gives the same mix.
+rows that repeat a doc_id, null ones too, count as documents of their own and are dealt by their
+texts; an empty table gives no rows. Other columns of the input are ignored. The shuffled order
+depends on the seed, doc_id and text alone, so a rerun, or a recomputed task, gives the same mix.
 """
 
 from __future__ import annotations
@@ -70,6 +70,12 @@ def _range_of(finish: Column) -> Column:
     return F.when(finish < 2, near).otherwise(far)
 
 
+def shuffle_key(seed: str) -> Column:
+    """Hexadecimal hash of doc_id and text: rows that share a doc_id lie apart unless texts are equal."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), doc_id, F.lit(":"), F.md5(text_of("text"))))
+
+
 def mix(
     docs: DataFrame,
     cycle: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -82,8 +88,15 @@ def mix(
     ``cycle`` are the weights by source order, ``share`` the budget as a share of all words,
     ``rounds`` how often a document may be taken. Documents are taken whole.
     """
+    columns = ("doc_id", "source", "size", "source_size", "target", "taken")
+    return mix_by_key(docs, cycle, share, rounds, seed).select(*columns)
+
+
+def mix_by_key(
+    docs: DataFrame, cycle: tuple[float, ...], share: float, rounds: int, seed: str
+) -> DataFrame:
+    """The same with the shuffle key of each document."""
     source = ["no_source", "source_text"]
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sizes = settle(
         docs.select(
             "doc_id",
@@ -91,7 +104,7 @@ def mix(
             F.col("source").isNull().alias("no_source"),
             text_of("source").alias("source_text"),
             word_count(text_of("text")).alias("size"),
-            key.alias("key"),
+            shuffle_key(seed).alias("key"),
         ).withColumn("slot", F.substring("key", 1, SLOT_DIGITS)),
         "mix-sizes",
     )
@@ -167,36 +180,38 @@ def mix(
             count = F.size(F.filter("finish", lambda t: F.struct(t, *own) <= bound))
     taken = F.when(F.col("finish").isNull(), 0).otherwise(F.col("size") * count).cast("long")
     return queue.select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken")
+        "key", "doc_id", "source", "size", "source_size", "target", taken.alias("taken")
     )
 
 
-def apply_mix(docs: DataFrame, **settings) -> DataFrame:
+def apply_mix(
+    docs: DataFrame,
+    cycle: tuple[float, ...] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    rounds: int = 2,
+    seed: str = "mix",
+) -> DataFrame:
     """The documents of the mix, one taken twice as two rows; columns unchanged.
 
-    Rows that share doc_id, size and source are dealt what the mix takes of all of them, so the
-    budget holds; of a repeated doc_id each text has its own share.
+    Rows equal in doc_id, text and source are dealt what the mix takes of all of them, so the
+    budget holds.
     """
-    names = fresh(docs, "own_id", "own_size", "own_source", "copies", "rows", "copy", "own_size_", "place")
-    own_id, own_size, own_source, copies, rows, copy, size, place = names
+    names = fresh(docs, "own_key", "own_source", "copies", "rows", "copy", "key", "place")
+    own_key, own_source, copies, rows, copy, key, place = names
     taken = (
-        mix(docs, **settings)
-        .groupBy(F.col("doc_id").alias(own_id), F.col("size").alias(own_size), F.col("source").alias(own_source))
+        mix_by_key(docs, cycle, share, rounds, seed)
+        .groupBy(F.col("key").alias(own_key), F.col("source").alias(own_source))
         .agg(
             F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("long").alias(copies),
             F.count("*").alias(rows),
         )
         .where(F.col(copies) > 0)
     )
-    sized = docs.withColumn(size, word_count(text_of("text")))
-    same = (
-        sized["doc_id"].eqNullSafe(taken[own_id])
-        & (sized[size] == taken[own_size])
-        & sized["source"].eqNullSafe(taken[own_source])
-    )
-    found = sized.join(taken, same)
+    keyed = docs.withColumn(key, shuffle_key(seed))
+    same = (keyed[key] == taken[own_key]) & keyed["source"].eqNullSafe(taken[own_source])
+    found = keyed.join(taken, same)
     # Rows that nothing tells apart share their copies, the first of them the odd ones.
-    among = Window.partitionBy(own_id, own_size, own_source).orderBy("text")
+    among = Window.partitionBy(own_key, own_source).orderBy("text")
     several = found.where(F.col(rows) > 1).withColumn(place, F.row_number().over(among))
     odd = (F.col(place) <= F.col(copies) % F.col(rows)).cast("long")
     several = several.withColumn(copies, F.floor(F.col(copies) / F.col(rows)) + odd).drop(place)

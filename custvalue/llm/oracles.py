@@ -5,7 +5,7 @@ STATEMENTS: dict[str, str] = {}
 STATEMENTS["op1_mix_sources"] = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (

@@ -14,12 +14,15 @@ spaces, is a word of its own.
 
 Defined cases: a null text counts as empty; no words give an empty fingerprint, and two empty
 ones have likeness 1; a text without an anchor, as any of fewer than five words, has the hash of
-all its words as the only one; repeated rows are ordered by text and are each other's next; a
-null doc_id comes last; the next document of a single row is itself; other columns are ignored.
+all its words as the only one; rows that share a doc_id are ordered by the hash of their text and
+are each other's next; a null doc_id comes last; the next document of a single row is itself;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,27 +131,49 @@ def positions(docs: DataFrame, size: int | None = SIZE) -> DataFrame:
 def _by_range(docs: DataFrame) -> DataFrame:
     """Rows with their range of doc_id, and before each range the row that precedes it.
 
-    The last row of a range is sent to the range above it too, the last of all to the lowest
-    one; those guests have ``own`` false. So the row before any row is in its range. Only the
-    bounds of the ranges come to the driver.
+    The rows of a doc_id that fills several ranges, or of none, are dealt over as many slices by the
+    hash of their text, so a range has about the same number of rows whatever the ids. The last row
+    of a range is sent to the range above it too, the last of all to the lowest one; those guests
+    have ``own`` false. So the row before any row is in its range. Only the bounds of the ranges
+    come to the driver.
     """
     spark = docs.sparkSession
     count = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     fractions = [i / count for i in range(1, count)]
-    bounds = docs.agg(F.percentile_approx("doc_id", fractions, 10_000).alias("b")).first()["b"]
-    limits = F.array(*(F.lit(b) for b in sorted(set(bounds or [])))).cast("array<bigint>")
+    head = docs.agg(
+        F.percentile_approx("doc_id", fractions, 10_000).alias("bounds"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col("doc_id").isNull()).alias("without"),
+    ).first()
+    often = Counter(head["bounds"] or [])
+    limits = F.array(*(F.lit(b) for b in sorted(often))).cast("array<bigint>")
+    slices = F.array(*(F.lit(often[b]) for b in sorted(often))).cast("array<int>")
     # The number of bounds below the doc_id; null ones form the lowest range.
     below = F.size(F.filter(limits, lambda b: b < F.col("doc_id")))
-    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(below))
-    tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).orderBy("range").collect()
+    is_bound = F.get(limits, below) == F.col("doc_id")
+    share = F.when(F.col("doc_id").isNull(), 1 + count * head["without"] // max(1, head["rows"]))
+    share = share.when(is_bound & (F.get(slices, below) > 1), F.get(slices, below))
+    place = F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * share)
+    ranged = docs.withColumns(
+        {
+            "hash": F.xxhash64("text"),
+            "range": F.when(F.col("doc_id").isNull(), -1).otherwise(below),
+        }
+    ).withColumn("slice", F.coalesce(F.least(place, share - 1), F.lit(-1)).cast("int"))
+    last = F.max(F.struct("doc_id", "hash")).alias("last")
+    tops = ranged.groupBy("range", "slice").agg(last).orderBy("range", "slice").collect()
     before = [tops[-1], *tops[:-1]] if tops else []
-    sent = [(low["top"], high["range"]) for low, high in zip(before, tops)]
-    to = F.broadcast(spark.createDataFrame(sent, "top long, to int"))  # one row per range
-    guests = ranged.join(to, F.col("doc_id").eqNullSafe(F.col("top")))
-    guests = guests.withColumn("range", F.col("to")).drop("top", "to")
-    return ranged.withColumn("own", F.lit(True)).unionByName(
-        guests.withColumn("own", F.lit(False))
+    sent = [(*low["last"], high["range"], high["slice"]) for low, high in zip(before, tops)]
+    # One row per range.
+    to = F.broadcast(spark.createDataFrame(sent, "last_id long, last_hash long, to int, to_slice int"))
+    same = F.col("doc_id").eqNullSafe(F.col("last_id")) & (F.col("hash") == F.col("last_hash"))
+    # Of equal rows one is sent.
+    guests = (
+        ranged.join(to, same)
+        .groupBy(F.col("to").alias("range"), F.col("to_slice").alias("slice"))
+        .agg(*(F.max(c).alias(c) for c in ("doc_id", "text", "hash")), F.lit(False).alias("own"))
     )
+    return ranged.withColumn("own", F.lit(True)).unionByName(guests)
 
 
 def edit_likeness(docs: DataFrame, size: int | None = SIZE) -> DataFrame:
@@ -160,8 +185,8 @@ def edit_likeness(docs: DataFrame, size: int | None = SIZE) -> DataFrame:
     """
     rows = _by_range(docs.select("doc_id", text_of("text").alias("text")))
     # The next document by descending doc_id is the one before in ascending order.
-    order = Window.partitionBy("range").orderBy(
-        "own", F.col("doc_id").asc_nulls_first(), "text"
+    order = Window.partitionBy("range", "slice").orderBy(
+        "own", F.col("doc_id").asc_nulls_first(), "hash", "text"
     )
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(

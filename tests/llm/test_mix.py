@@ -67,3 +67,11 @@ def test_rows_of_one_id_are_taken_within_the_budget(spark):
     docs = frame(spark, rows)
     taken = sum(r["taken"] for r in mix.mix(docs).collect())
     assert sum(len(r["text"].split()) for r in mix.apply_mix(docs).collect()) == taken
+
+
+def test_rows_of_one_id_are_dealt_over_slots(spark):
+    rows = [(None if i % 2 else 5, f"text {'and ' * (i % 9)}{i}", "en", "s", 1) for i in range(600)]
+    docs = frame(spark, rows)
+    slots = docs.select(mix.shuffle_key("mix").substr(1, mix.SLOT_DIGITS).alias("slot")).groupBy("slot").count()
+    assert max(r["count"] for r in slots.collect()) < 10
+    assert rows_of(mix.mix(docs)) == duck(rows)

@@ -44,8 +44,13 @@ def slow_likeness(a, b):
     return len({*smallest} & {*a} & {*b}) / len(smallest)
 
 
+def in_order(rows):
+    """By doc_id, null first, and hash of the text."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h64_of(r[1] or ""), r[1] or ""))
+
+
 def test_fingerprints_and_edits_agree_with_brute_force(spark):
-    rows = sorted(documents(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = in_order(documents())
     want = []
     for i, row in enumerate(rows):
         text, after = row[1] or "", rows[i - 1][1] or ""
@@ -120,7 +125,7 @@ def whole_set(text):
 
 def test_query_agrees_with_brute_force_on_the_hard_cases(spark, tmp_path):
     frame(spark, clashing=True).write.parquet(f"{tmp_path}/documents.parquet")
-    rows = sorted(documents(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = in_order(documents())
     want = []
     for i, row in enumerate(rows):
         text, after = row[1] or "", rows[i - 1][1] or ""
@@ -132,3 +137,22 @@ def test_query_agrees_with_brute_force_on_the_hard_cases(spark, tmp_path):
         want.append((row[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), *prints, *like))
     found = queries.op7_document_fingerprints(spark, str(tmp_path)).drop("positions").collect()
     assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def test_rows_of_one_id_are_dealt_over_ranges(spark):
+    """A third of the rows share a doc_id, a third have none; copies among both."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(12)) for _ in range(900)]
+    rows = [(7 if i % 3 else i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    rows = [(None, *r[1:]) if i % 3 == 1 else r for i, r in enumerate(rows)]
+    rows += [(7, texts[2], "en", "s", 1)] * 40 + [(None, texts[1], "en", "s", 1)] * 40
+    docs = frame(spark, rows)
+    dealt = syncmers._by_range(docs.select("doc_id", "text")).groupBy("range", "slice")
+    assert max(r["count"] for r in dealt.count().collect()) < 120
+    want, ordered = [], in_order(rows)
+    for i, row in enumerate(ordered):
+        cut = len(row[1]) // 3
+        edited = row[1][: len(row[1]) - cut] + ordered[i - 1][1][:cut]
+        want.append((row[0], hashlib.sha256(edited.encode()).hexdigest()))
+    found = syncmers.edit_likeness(docs, None).select("doc_id", "edited_sha256").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
